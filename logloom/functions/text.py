@@ -37,8 +37,16 @@ def tokens(c: Column | str) -> Column:
 
 def ngrams(arr: Column | str, n: int) -> Column:
     """M-01/M-02 n-grams joined by a space, as ``ml.feature.NGram``: an
-    array shorter than ``n`` gives an empty array."""
+    array shorter than ``n`` gives an empty array.
+
+    Built from ``n`` shifted slices zipped together, so the work is linear
+    in the array length (a lambda that slices the outer array would
+    re-evaluate it for every position)."""
     a = _c(arr)
-    k = F.size(a) - F.lit(n) + F.lit(1)
-    grams = F.transform(F.sequence(F.lit(1), k), lambda i: F.array_join(F.slice(a, i, n), " "))
-    return F.when(k >= 1, grams).otherwise(F.array().cast("array<string>"))
+    if n == 1:
+        return a
+    m = F.size(a) - F.lit(n - 1)
+    length = F.greatest(m, F.lit(0))
+    zipped = F.arrays_zip(*[F.slice(a, i + 1, length).alias(f"g{i}") for i in range(n)])
+    grams = F.transform(zipped, lambda s: F.concat_ws(" ", *[s[f"g{i}"] for i in range(n)]))
+    return F.when(m >= 1, grams).otherwise(F.array().cast("array<string>"))

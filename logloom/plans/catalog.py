@@ -11,6 +11,9 @@ from logloom.session import ensure_checkpoint_dir
 
 _MODULES = [
     "logloom.plans.weblog_queries",
+    "logloom.plans.pages_queries",
+    "logloom.plans.text_queries",
+    "logloom.plans.table_queries",
 ]
 
 
