@@ -14,6 +14,7 @@ _MODULES = [
     "logloom.plans.pages_queries",
     "logloom.plans.text_queries",
     "logloom.plans.table_queries",
+    "logloom.plans.som_queries",
 ]
 
 

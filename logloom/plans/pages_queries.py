@@ -138,3 +138,21 @@ QUERIES = {
     "path_word_stats": q_path_word_stats,
     "path_depth_stats": q_path_depth_stats,
 }
+
+
+# ---- similarity join over all page URLs (J-02) ---------------------------------
+
+URL_MAX_DISTANCE = 3
+
+
+def q_url_pair_distance(spark, sf_dir):
+    from logloom.operators.similarity import similar_pairs
+    return similar_pairs(_pages(spark, sf_dir), "url", k=URL_MAX_DISTANCE,
+                         left="url_a", right="url_b")
+
+
+SQL["url_pair_distance"] = f"""WITH u AS (SELECT DISTINCT url FROM pages)
+SELECT a.url AS url_a, b.url AS url_b, CAST(levenshtein(a.url, b.url) AS BIGINT) AS levenshtein_distance
+FROM u a JOIN u b ON a.url <> b.url AND abs(length(a.url) - length(b.url)) <= {URL_MAX_DISTANCE}
+WHERE levenshtein(a.url, b.url) <= {URL_MAX_DISTANCE}"""
+QUERIES["url_pair_distance"] = q_url_pair_distance

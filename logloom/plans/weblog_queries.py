@@ -232,3 +232,23 @@ QUERIES = {
     "string_index": q_string_index,
     "one_hot": q_one_hot,
 }
+
+
+# ---- similarity joins (J-01) -------------------------------------------------
+
+PATH_MAX_DISTANCE = 2
+
+
+def q_similar_paths(spark, sf_dir):
+    from logloom.operators.similarity import similar_pairs
+    df = _featured(spark, sf_dir).select("domain", "clean_path")
+    return similar_pairs(df, "clean_path", ["domain"], k=PATH_MAX_DISTANCE,
+                         left="path_a", right="path_b")
+
+
+SQL["similar_paths"] = _FEATURED + f""", p AS (SELECT DISTINCT domain, clean_path FROM featured2)
+SELECT a.domain, a.clean_path AS path_a, b.clean_path AS path_b,
+       CAST(levenshtein(a.clean_path, b.clean_path) AS BIGINT) AS levenshtein_distance
+FROM p a JOIN p b ON a.domain = b.domain AND a.clean_path <> b.clean_path
+WHERE levenshtein(a.clean_path, b.clean_path) <= {PATH_MAX_DISTANCE}"""
+QUERIES["similar_paths"] = q_similar_paths
