@@ -15,6 +15,7 @@ _MODULES = [
     "logloom.plans.text_queries",
     "logloom.plans.table_queries",
     "logloom.plans.som_queries",
+    "logloom.plans.autoencoder_queries",
 ]
 
 
