@@ -16,6 +16,7 @@ _MODULES = [
     "logloom.plans.table_queries",
     "logloom.plans.som_queries",
     "logloom.plans.autoencoder_queries",
+    "logloom.plans.model_queries",
 ]
 
 
