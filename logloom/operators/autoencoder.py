@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
+from logloom.sources.tables import spread
 from logloom.operators.vectors import FEATURES, as_double_array, batch_matrix, check_model_size
 
 
@@ -156,7 +157,7 @@ def train_autoencoder(df: DataFrame, features: str | list[str], hidden: list[int
                       epochs: int = 10, batch_size: int = 256, learning_rate: float = 1e-3,
                       seed: int = 0, minmax: bool = True, persist: bool = True) -> Autoencoder:
     """M-20/M-21. ``hidden`` is e.g. [64, 32, 16, 32, 64] or [10]."""
-    data = df.select(as_double_array(df, features).alias(FEATURES))
+    data = spread(df.select(as_double_array(df, features).alias(FEATURES)))
     if persist:
         data = data.persist(StorageLevel.MEMORY_AND_DISK)
     try:

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import (ArrayType, DoubleType, IntegerType, LongType,
                                StructField, StructType)
 
+from logloom.sources.tables import spread
 from logloom.operators.vectors import FEATURES, as_double_array, batch_matrix, check_model_size
 
 _CHUNK = 512  # rows per distance block: chunk x nodes x dim doubles in memory
@@ -183,7 +184,7 @@ def train_som(df: DataFrame, features: str | list[str], m: int = 10, n: int = 10
               init: np.ndarray | None = None, persist: bool = True) -> SomModel:
     """M-12..M-14 as batch passes. With ``decay`` the rate and radius fall
     linearly over the passes (floored so the kernel stays defined)."""
-    data = df.select(as_double_array(df, features).alias(FEATURES))
+    data = spread(df.select(as_double_array(df, features).alias(FEATURES)))
     if persist:
         data = data.persist(StorageLevel.MEMORY_AND_DISK)
     try:

@@ -82,10 +82,20 @@ def accepted_lines(lines: DataFrame, value_col: str = "value") -> DataFrame:
     return lines.filter(F.col(value_col).rlike(LOG_PATTERN))
 
 
+# Text a double cast reads as NaN: optional sign, any case, surrounded by
+# whitespace or control characters. Tested with a pattern rather than
+# ``isnan(try_cast(c AS double))``: that cast throws and catches an
+# exception for every non-numeric field, which dominates the cost.
+_NAN_TEXT = r"^[\x00-\x20]*[+-]?(?i:nan)[\x00-\x20]*$"
+
+
 def _to_null(name: str, dtype: str) -> Column:
     c = F.col(name)
-    as_text = c if dtype == "string" else c.cast("string")
-    missing = c.isNull() | F.isnan(c.try_cast("double")) | (F.trim(as_text) == "")
+    if dtype != "string":
+        # An integral value is never blank or NaN text.
+        return c.alias(name)
+    maybe_nan = (F.length(c) < 24) & (c.contains("a") | c.contains("A"))
+    missing = c.isNull() | (F.trim(c) == "") | (maybe_nan & c.rlike(_NAN_TEXT))
     return F.when(~missing, c).alias(name)
 
 

@@ -7,13 +7,13 @@ from pyspark.sql import functions as F
 
 from logloom.functions import text
 from logloom.operators import wordcount as WC
-from logloom.sources.tables import read_table
+from logloom.sources.tables import read_table, spread
 
 TOP_K = 100
 
 
 def _lines(spark, sf_dir):
-    return WC.text_lines(read_table(spark, sf_dir, "documents", "text"))
+    return WC.text_lines(spread(read_table(spark, sf_dir, "documents", "text")))
 
 
 def q_word_count(spark, sf_dir):
@@ -25,7 +25,7 @@ def q_top_words(spark, sf_dir):
 
 
 def q_token_ngrams(spark, sf_dir):
-    docs = read_table(spark, sf_dir, "documents", "text")
+    docs = spread(read_table(spark, sf_dir, "documents", "text"))
     grams = docs.select(F.explode(text.ngrams(text.tokens("text"), 2)).alias("ngram"))
     return grams.groupBy("ngram").agg(F.count(F.lit(1)).alias("n"))
 

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from logloom.sources import staging
-from logloom.sources.tables import read_table, table_path
+from logloom.sources.tables import read_table, spread, table_path
 
 
 def weblog_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -47,7 +47,7 @@ def weblog_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     import logloom.plans.weblog_fixture as me
     key = staging.fingerprint(table_path(sf_dir, "events"), table_path(sf_dir, "pages"),
                               code_modules=(me,))
-    return staging.stage_text(spark, weblog_lines(spark, sf_dir), "weblog", key)
+    return staging.stage_text(spark, spread(weblog_lines(spark, sf_dir)), "weblog", key)
 
 
 # DuckDB form of the same lines, as a CTE named ``weblog(value)``.

@@ -47,3 +47,13 @@ def read_csv(spark: SparkSession, path: str, schema: StructType | str | None = N
     if schema is not None:
         return reader.schema(schema).csv(path)
     return reader.option("inferSchema", "true").csv(path)
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin repartition only when the scan yields fewer partitions
+    than the cluster has task slots (a small file with one row group).
+    CPU-heavy stages (tokenizing, parsing, training) then use every core;
+    on large inputs the scan already has enough splits and this is a
+    no-op, so no full shuffle of the raw data is added at scale."""
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
