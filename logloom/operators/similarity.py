@@ -6,8 +6,9 @@ compares all pairs in a group. Candidates come from the pigeonhole
 (pass-join) signature: split a string ``s`` of length >= k+1 into k+1
 segments; any ``r`` within k edits of ``s`` holds one of them unchanged,
 shifted by at most k positions. Indexed segments and probe substrings
-meet in an equi-join on (group, length, segment number, text); candidates
-are verified with ``levenshtein(a, b, k)``. Strings no longer than k are
+meet in an equi-join on (group, length, segment number, text); probe
+shifts are limited by the multi-match-aware bounds of Pass-Join (Li et al.,
+VLDB 2011). Candidates are verified with ``levenshtein(a, b, k)``. Strings no longer than k are
 all within k of each other, so those pairs are output directly.
 """
 
@@ -40,8 +41,12 @@ def similar_pairs(df: DataFrame, value_col: str, group_cols: list[str] | tuple =
         # the work by length, segment and text.
         df = df.withColumn("_g", F.lit(0))
         g = ["_g"]
+    # The distinct values feed three branches: checkpoint them once (the
+    # shared folder in spark.checkpoint.dir) so the input is read once.
+    from logloom.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(df.sparkSession)
     base = (df.select(*g, F.col(value_col).alias("_s")).filter(F.col("_s").isNotNull())
-              .distinct().withColumn("_len", F.length("_s")))
+              .distinct().withColumn("_len", F.length("_s"))).checkpoint(eager=True)
 
     # Index side: k+1 segments of every string of length >= k+1.
     segs = []
@@ -60,22 +65,31 @@ def similar_pairs(df: DataFrame, value_col: str, group_cols: list[str] | tuple =
     subs = []
     for i in range(k + 1):
         start, seg_len = _seg_bounds(F.col("_plen"), i, k)
-        for d in range(-k, k + 1):
+        for d in range(-i, i + 1):
             pos = start + F.lit(d)
-            ok = (pos >= 0) & (pos + seg_len <= F.col("_rlen"))
+            # Multi-match-aware shift bounds: segment i can only have moved
+            # by d with max(-i, D - (k - i)) <= d <= min(i, D + (k - i)),
+            # D = len(r) - len(s); other shifts cannot be a first match.
+            delta = F.col("_rlen") - F.col("_plen")
+            ok = ((pos >= 0) & (pos + seg_len <= F.col("_rlen"))
+                  & (F.lit(d) >= delta - (k - i)) & (F.lit(d) <= delta + (k - i)))
             subs.append(F.when(ok, F.struct(F.lit(i).alias("i"),
                                             F.substring(F.col("_r"), pos + 1, seg_len).alias("seg"))))
     probe = (probe_base.select(*g, "_r", "_plen", F.explode(F.array(*subs)).alias("p"))
                        .filter(F.col("p").isNotNull())
                        .select(*g, "_r", F.col("_plen").alias("_len"), "p.i", "p.seg"))
 
+    # Each unordered pair once (a pair can meet on several segments and in
+    # both directions), verified, then emitted in both orders.
+    lo, hi = F.least("_s", "_r"), F.greatest("_s", "_r")
     cand = (index.join(probe, [*g, "_len", "i", "seg"])
                  .filter(F.col("_s") != F.col("_r"))
-                 .select(*g, "_s", "_r").dropDuplicates([*g, "_s", "_r"]))
+                 .select(*g, lo.alias("_s"), hi.alias("_r")).dropDuplicates([*g, "_s", "_r"]))
     dist = F.levenshtein("_s", "_r", k)
     found = cand.select(*g, "_s", "_r", dist.alias("_d")).filter(F.col("_d") >= 0)
-    both = found.unionByName(found.select(*g, F.col("_r").alias("_s"), F.col("_s").alias("_r"), "_d"))
-    both = both.dropDuplicates([*g, "_s", "_r"])
+    both = found.select(*g, F.inline(F.array(
+        F.struct(F.col("_s").alias("_s"), F.col("_r").alias("_r"), F.col("_d").alias("_d")),
+        F.struct(F.col("_r").alias("_s"), F.col("_s").alias("_r"), F.col("_d").alias("_d")))))
 
     # Short strings: every pair is within k.
     short = base.filter(F.col("_len") <= k).select(*g, "_s")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -42,10 +43,23 @@ def extracted_tables(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
     import logloom.plans.weblog_queries as m6
     key = staging.fingerprint(table_path(sf_dir, "events"), table_path(sf_dir, "pages"),
                               code_modules=(m1, m2, m3, m4, m5, m6))
-    ext = W.extract_log(weblog_text(spark, sf_dir))
-    known, unknown = W.split_known(ext, domain_registry(spark, sf_dir))
-    known_root = staging.stage_parquet(spark, known, "extract-known", key, ["domain"])
-    unknown_root = staging.stage_parquet(spark, unknown, "extract-unknown", key)
+    known_root = staging.staged_dir(spark, "extract-known", key)
+    unknown_root = staging.staged_dir(spark, "extract-unknown", key)
+    if not (staging.path_exists(spark, f"{known_root}/_SUCCESS")
+            and staging.path_exists(spark, f"{unknown_root}/_SUCCESS")):
+        # Built only when needed: the index fits inside run jobs. The
+        # extract is persisted across the two writes so the log is parsed
+        # once; lost blocks are recomputed from lineage.
+        base = W.extract_log(weblog_text(spark, sf_dir), index=False).persist(
+            StorageLevel.MEMORY_AND_DISK)
+        ext = base
+        try:
+            ext = W.add_indexed_columns(base)
+            known, unknown = W.split_known(ext, domain_registry(spark, sf_dir))
+            known_root = staging.stage_parquet(spark, known, "extract-known", key, ["domain"])
+            unknown_root = staging.stage_parquet(spark, unknown, "extract-unknown", key)
+        finally:
+            base.unpersist()
     return known_root, unknown_root
 
 

@@ -71,9 +71,8 @@ def stage_text(spark: SparkSession, lines: DataFrame, name: str, key: str) -> Da
 
 def stage_parquet(spark: SparkSession, df: DataFrame, name: str, key: str,
                   partition_by: list[str] | None = None) -> str:
+    from logloom.sources.sinks import write_parquet
+
     def _write(p: str) -> None:
-        w = df.write.mode("overwrite")
-        if partition_by:
-            w = w.partitionBy(*partition_by)
-        w.parquet(p)
+        write_parquet(df, p, mode="overwrite", partition_by=partition_by)
     return stage(spark, name, key, _write)
