@@ -28,12 +28,17 @@ def profile_table(df: DataFrame) -> DataFrame:
                       ).select("s.column_name", "row_count", "column_count", "s.null_count")
 
 
-def length_stats(values: Column, prefix: str) -> list[Column]:
-    """min, max, avg, sample stddev of a numeric column in one aggregate."""
+def length_stats(values: Column, prefix: str, digits: int | None = 6) -> list[Column]:
+    """min, max, avg, sample stddev of a numeric column in one aggregate
+    (the job being matched ran four). Float results are rounded to
+    ``digits`` so they compare across engines whose summation order
+    differs."""
+    def r(c):
+        return F.round(c, digits) if digits is not None else c
     return [F.min(values).cast("bigint").alias(f"min_{prefix}"),
             F.max(values).cast("bigint").alias(f"max_{prefix}"),
-            F.avg(values).alias(f"avg_{prefix}"),
-            F.stddev_samp(values).alias(f"stddev_{prefix}")]
+            r(F.avg(values)).alias(f"avg_{prefix}"),
+            r(F.stddev_samp(values)).alias(f"stddev_{prefix}")]
 
 
 def _stage_values(df: DataFrame, col: str) -> DataFrame:

@@ -120,10 +120,10 @@ SQL = {
               FROM (SELECT page_id, {O.query_list('dec_url')} AS l FROM ({_DEC})))""",
     "path_word_stats": f"""SELECT count(*) AS n_words, count(DISTINCT word) AS n_distinct_words,
         CAST(min(length(word)) AS BIGINT) AS min_word_length, CAST(max(length(word)) AS BIGINT) AS max_word_length,
-        avg(length(word)) AS avg_word_length, stddev_samp(length(word)) AS stddev_word_length
+        round(avg(length(word)), 6) AS avg_word_length, round(stddev_samp(length(word)), 6) AS stddev_word_length
         FROM (SELECT unnest({_words('path')}) AS word FROM ({_PATH}))""",
     "path_depth_stats": f"""SELECT CAST(min(d) AS BIGINT) AS min_depth, CAST(max(d) AS BIGINT) AS max_depth,
-        avg(d) AS avg_depth, stddev_samp(d) AS stddev_depth
+        round(avg(d), 6) AS avg_depth, round(stddev_samp(d), 6) AS stddev_depth
         FROM (SELECT len({_words('path')}) AS d FROM ({_PATH}))""",
 }
 

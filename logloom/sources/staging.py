@@ -50,8 +50,13 @@ def fingerprint(*parts: str, code_modules: tuple = ()) -> str:
 
 
 def staged_dir(spark: SparkSession, name: str, key: str) -> str:
+    """``<checkpoint dir>/logloom-stage[/<namespace>]/<name>-<key>``; the
+    optional ``logloom.stage.namespace`` setting separates runs (the bench
+    uses a fresh one so staging is always measured)."""
     root = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{root}/logloom-stage/{name}-{key}"
+    ns = spark.conf.get("logloom.stage.namespace", "") or ""
+    sub = f"/{ns}" if ns else ""
+    return f"{root}/logloom-stage{sub}/{name}-{key}"
 
 
 def stage(spark: SparkSession, name: str, key: str,
