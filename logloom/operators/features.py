@@ -97,7 +97,11 @@ def index_labels(df: DataFrame, col: str, index_col: str | None = None) -> DataF
     driver) and an index is its partition offset plus the position in it.
     """
     index_col = index_col or f"{col}_index"
-    counts = df.groupBy(col).agg(F.count(F.lit(1)).alias("_n"))
+    from logloom.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(df.sparkSession)
+    # Checkpointed once: the range partitioner samples its input in one job
+    # and the write reads it again; the input itself is scanned once.
+    counts = df.groupBy(col).agg(F.count(F.lit(1)).alias("_n")).checkpoint(eager=True)
     ordered = counts.repartitionByRange(F.col("_n").desc(), F.col(col).asc()).sortWithinPartitions(
         F.col("_n").desc(), F.col(col).asc())
     spark = df.sparkSession

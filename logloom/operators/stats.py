@@ -41,7 +41,7 @@ def length_stats(values: Column, prefix: str, digits: int | None = 6) -> list[Co
             r(F.stddev_samp(values)).alias(f"stddev_{prefix}")]
 
 
-def _stage_values(df: DataFrame, col: str) -> DataFrame:
+def _stage_values(df: DataFrame, col: str) -> tuple[DataFrame, str]:
     """Write the (computed) score column once to the shared folder so each
     narrowing pass is a Parquet scan with the range filter pushed down."""
     spark = df.sparkSession
@@ -49,7 +49,7 @@ def _stage_values(df: DataFrame, col: str) -> DataFrame:
     (df.select(F.col(col).cast("double").alias("v"))
        .filter(F.col("v").isNotNull() & ~F.isnan("v"))
        .write.mode("overwrite").parquet(path))
-    return spark.read.parquet(path)
+    return spark.read.parquet(path), path
 
 
 def _kth(values: DataFrame, k: int, lo: float, hi: float, n_in: int, below: int,
@@ -97,19 +97,24 @@ def exact_percentile(df: DataFrame, col: str, p: float, max_collect: int = 50_00
     n = stats["n"]
     if n == 0:
         return None
-    values = clean
+    values, staged = clean, None
     if stage or (stage is None and n > max_collect):
-        values = _stage_values(df, col)
-    pos = p * (n - 1)
-    k_lo, k_hi = math.floor(pos), math.ceil(pos)
-    v_lo = _kth(values, k_lo, stats["lo"], stats["hi"], n, 0, max_collect, buckets)
-    if k_hi == k_lo:
-        return v_lo
-    v = F.col("v")
-    nxt = values.agg(F.count_if(v <= v_lo).alias("le"),
-                     F.min(F.when(v > v_lo, v)).alias("next")).first()
-    v_hi = v_lo if nxt["le"] > k_hi else nxt["next"]
-    return v_lo + (pos - k_lo) * (v_hi - v_lo)
+        values, staged = _stage_values(df, col)
+    try:
+        pos = p * (n - 1)
+        k_lo, k_hi = math.floor(pos), math.ceil(pos)
+        v_lo = _kth(values, k_lo, stats["lo"], stats["hi"], n, 0, max_collect, buckets)
+        if k_hi == k_lo:
+            return v_lo
+        v = F.col("v")
+        nxt = values.agg(F.count_if(v <= v_lo).alias("le"),
+                         F.min(F.when(v > v_lo, v)).alias("next")).first()
+        v_hi = v_lo if nxt["le"] > k_hi else nxt["next"]
+        return v_lo + (pos - k_lo) * (v_hi - v_lo)
+    finally:
+        if staged:
+            from logloom.sources.staging import delete_path
+            delete_path(df.sparkSession, staged)
 
 
 def approx_percentile(df: DataFrame, col: str, p: float, accuracy: int = 10_000) -> float:

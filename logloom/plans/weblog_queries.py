@@ -143,11 +143,11 @@ def q_partition_scan(spark, sf_dir):
 
 
 def q_string_index(spark, sf_dir):
-    from pyspark.ml.feature import StringIndexer
-    df = _featured(spark, sf_dir)
-    model = StringIndexer(inputCol="domain", outputCol="domain_index").fit(df)
-    return model.transform(df.select("domain").distinct()).select(
-        "domain", F.col("domain_index").cast("bigint").alias("domain_index"))
+    """M-05 as a distributed rank (no label list on the driver); equals
+    StringIndexer's frequency order with alphabetical ties."""
+    from logloom.operators.features import index_labels
+    df = _featured(spark, sf_dir).select("domain")
+    return index_labels(df, "domain", "domain_index")
 
 
 def q_one_hot(spark, sf_dir):

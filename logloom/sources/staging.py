@@ -30,6 +30,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(hpath))
 
 
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Remove a scratch table this library wrote (shared storage)."""
+    fs, hpath = _hadoop_path(spark, path)
+    fs.delete(hpath, True)
+
+
 def fingerprint(*parts: str, code_modules: tuple = ()) -> str:
     """Key of a staged table: input locations (plus size and mtime when they
     are local files) and the source of the modules that compute it, so a
