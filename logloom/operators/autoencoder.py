@@ -204,7 +204,8 @@ def flag_reconstruction(model: Autoencoder, df: DataFrame, features: str | list[
                         keep: list[str], p: float = 0.95, threshold: float | None = None,
                         output: str = "reconstruction_error") -> DataFrame:
     """M-23: fixed threshold, or the p-th percentile of the errors."""
-    from logloom.operators.stats import exact_percentile
+    from logloom.operators.stats import flag_above, flag_percentile
     scored = model.score(df, features, keep, output)
-    t = threshold if threshold is not None else exact_percentile(scored, output, p)
-    return scored.withColumn("is_anomaly", F.col(output) > F.lit(float(t)))
+    if threshold is not None:
+        return flag_above(scored, output, threshold)
+    return flag_percentile(scored, output, p, materialize=True)[0]

@@ -205,7 +205,8 @@ def som_anomalies(model: SomModel, df: DataFrame, features: str | list[str], kee
                   p: float = 0.95, threshold: float | None = None) -> DataFrame:
     """M-18 (percentile threshold) or M-19 (fixed threshold): rows whose
     distance to their BMU is strictly above the threshold."""
-    from logloom.operators.stats import exact_percentile
+    from logloom.operators.stats import flag_above, flag_percentile
     scored = model.score(df, features, keep)
-    t = threshold if threshold is not None else exact_percentile(scored, "distance", p)
-    return scored.withColumn("is_anomaly", F.col("distance") > F.lit(float(t)))
+    if threshold is not None:
+        return flag_above(scored, "distance", threshold)
+    return flag_percentile(scored, "distance", p, materialize=True)[0]

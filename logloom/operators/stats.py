@@ -128,7 +128,15 @@ def flag_above(df: DataFrame, score: str, threshold: float, flag: str = "is_anom
 
 
 def flag_percentile(df: DataFrame, score: str, p: float = 0.95, flag: str = "is_anomaly",
-                    exact: bool = True) -> tuple[DataFrame, float]:
-    """A-08 + M-18: flag rows above the p-th percentile of ``score``."""
-    t = exact_percentile(df, score, p) if exact else approx_percentile(df, score, p)
+                    exact: bool = True, materialize: bool = False) -> tuple[DataFrame, float]:
+    """A-08 + M-18: flag rows above the p-th percentile of ``score``.
+
+    With ``materialize`` (for computed scores) the scored rows are written
+    once to the shared folder; the percentile passes and the flagged
+    output both read that table, so the scores are computed once."""
+    if materialize:
+        from logloom.sources.staging import materialize as _mat
+        df = _mat(df, "scores")
+    t = (exact_percentile(df, score, p, stage=False if materialize else None) if exact
+         else approx_percentile(df, score, p))
     return flag_above(df, score, t, flag), t

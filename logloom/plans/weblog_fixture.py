@@ -15,7 +15,9 @@ from logloom.sources.tables import read_table, spread, table_path
 
 
 def weblog_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = read_table(spark, sf_dir, "events", "event_id", "ts", "user_id", "event_type")
+    # spread() on the scan (cheap to inspect) so the join output, and the
+    # text files written from it, use every task slot.
+    ev = spread(read_table(spark, sf_dir, "events", "event_id", "ts", "user_id", "event_type"))
     pages = read_table(spark, sf_dir, "pages", "page_id", "url")
     # Page count as a scalar subquery: one row, so the join below stays an
     # equi-join (broadcast or sort-merge, AQE's choice by measured size).
@@ -47,7 +49,7 @@ def weblog_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     import logloom.plans.weblog_fixture as me
     key = staging.fingerprint(table_path(sf_dir, "events"), table_path(sf_dir, "pages"),
                               code_modules=(me,))
-    return staging.stage_text(spark, spread(weblog_lines(spark, sf_dir)), "weblog", key)
+    return staging.stage_text(spark, weblog_lines(spark, sf_dir), "weblog", key)
 
 
 # DuckDB form of the same lines, as a CTE named ``weblog(value)``.

@@ -87,3 +87,14 @@ def stage_parquet(spark: SparkSession, df: DataFrame, name: str, key: str,
     def _write(p: str) -> None:
         write_parquet(df, p, mode="overwrite", partition_by=partition_by)
     return stage(spark, name, key, _write)
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once to a fresh folder under the shared checkpoint
+    folder and read it back: later passes scan Parquet (column pruning,
+    pushed filters) instead of recomputing an expensive plan."""
+    import uuid
+    spark = df.sparkSession
+    path = staged_dir(spark, f"tmp-{name}", uuid.uuid4().hex)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)

@@ -54,6 +54,9 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     than the cluster has task slots (a small file with one row group).
     CPU-heavy stages (tokenizing, parsing, training) then use every core;
     on large inputs the scan already has enough splits and this is a
-    no-op, so no full shuffle of the raw data is added at scale."""
+    no-op, so no full shuffle of the raw data is added at scale.
+
+    Apply it to scans: asking a plan with shuffles for its partition count
+    would run those shuffles under AQE."""
     target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(target) if df.rdd.getNumPartitions() < target else df
