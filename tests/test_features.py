@@ -50,3 +50,10 @@ def test_count_vectorizer(spark):
     df = spark.createDataFrame([(["a=1", "b=2"],), (["a=1"],)], "p array<string>")
     model, out = FE.count_vectorize(df, "p", "v")
     assert model.vocabulary[0] == "a=1" and out.count() == 2
+
+
+def test_flatten_query_words(spark):
+    """F-13: parameter items split into words and flattened."""
+    df = spark.createDataFrame([(["a=1", "b=2"],)], "q array<string>")
+    r = df.select(F.flatten(F.transform("q", lambda x: F.split(x, "="))).alias("w")).first()
+    assert list(r["w"]) == ["a", "1", "b", "2"]

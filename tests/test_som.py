@@ -55,3 +55,18 @@ def test_batch_update_keeps_empty_nodes():
     c = np.array([2.0, 0.0])
     k = np.eye(2)
     assert np.allclose(SOM.batch_update(w, s, c, k), [[2.0], [5.0]])
+
+
+def test_variant_without_decay_and_with_cutoff(spark):
+    """M-13: constant rate 0.4, no decay, neighbourhood cut at the radius
+    (half the larger grid side), on a wide grid."""
+    rng = np.random.default_rng(4)
+    rows = [(i, *map(float, rng.random(3))) for i in range(300)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    m, n = 2, 12
+    w0 = SOM.initial_codebook(df, FEATS, m, n, seed=2)
+    qe0 = SOM.SomModel(m, n, w0).quantization_error(df, FEATS)
+    model = SOM.train_som(df, FEATS, m, n, iterations=8, sigma=max(m, n) // 2, learning_rate=0.4,
+                          decay=False, cutoff=max(m, n) // 2, init=w0)
+    assert model.weights.shape == (24, 3)
+    assert model.quantization_error(df, FEATS) < qe0
