@@ -10,6 +10,7 @@ from logloom.functions import text, url
 from logloom.operators import classify as C
 from logloom.operators import features as FE
 from logloom.operators import sampling as S
+from logloom.plans import oracle_sql as O
 from logloom.plans.weblog_queries import _featured, extracted_tables
 from logloom.sources.tables import read_table
 
@@ -56,15 +57,17 @@ def q_hashed_url_features(spark, sf_dir):
 
 
 def q_param_vocabulary(spark, sf_dir):
+    """M-04 vocabulary. Index order among equal counts is arbitrary in
+    CountVectorizer, so the query returns the terms (the set is exact while
+    the vocabulary size cap is not reached)."""
     pages = read_table(spark, sf_dir, "pages", "url").select(
         url.query_list(url.decode_uri("url")).alias("params"))
     model, _ = FE.count_vectorize(pages, "params", "param_counts")
-    vocab = spark.createDataFrame([(t, i) for i, t in enumerate(model.vocabulary)],
-                                  "term string, term_index int")
-    return vocab
+    return spark.createDataFrame([(t,) for t in model.vocabulary], "term string")
 
 
 SQL = {
+    "param_vocabulary": f"""SELECT DISTINCT unnest({O.query_list(O.decode_uri('url'))}) AS term FROM pages""",
     "classification_metrics": """WITH p AS (SELECT CAST(quality AS DOUBLE) AS y, CAST(1 - toxic AS DOUBLE) AS p FROM labels),
 conf AS (SELECT y, p, count(*) AS n FROM p GROUP BY y, p),
 lab AS (SELECT y, sum(n) AS n_label, sum(CASE WHEN y = p THEN n ELSE 0 END) AS tp FROM conf GROUP BY y),

@@ -57,3 +57,20 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(path)
     return path
+
+
+def cluster_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 128 << 20) -> dict:
+    """Suggested settings for a cluster run over ``input_bytes`` of input.
+
+    Shuffle partitions start at about one per ``target_partition_bytes`` of
+    input (at least two waves of tasks) and AQE coalesces them down at run
+    time; scans split at the same size; AQE splits skewed join partitions.
+    Pass the result to ``build_session(extra=...)`` or a submit command."""
+    parts = max(2 * total_cores, input_bytes // target_partition_bytes)
+    return {
+        "spark.sql.shuffle.partitions": str(int(parts)),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
+    }
