@@ -50,3 +50,4 @@ def ngrams(arr: Column | str, n: int) -> Column:
     zipped = F.arrays_zip(*[F.slice(a, i + 1, length).alias(f"g{i}") for i in range(n)])
     grams = F.transform(zipped, lambda s: F.concat_ws(" ", *[s[f"g{i}"] for i in range(n)]))
     return F.when(m >= 1, grams).otherwise(F.array().cast("array<string>"))
+

@@ -45,15 +45,18 @@ def q_kmeans_traffic(spark, sf_dir):
 
 
 def q_hashed_url_features(spark, sf_dir):
+    """M-03 summary per page: non-zero buckets and total term weight of the
+    HashingTF vector. ``array_remove`` (codegen'd) drops the zeros before
+    any lambda runs."""
     pages = read_table(spark, sf_dir, "pages", "page_id", "url").withColumn(
         "dec", url.decode_uri("url"))
     feats = pages.withColumn("url_features", F.concat(
         text.ngrams(text.characters(url.url_path("dec")), 9),
         F.transform(url.query_list("dec"), url.param_key)))
     hashed = FE.hash_features(feats, "url_features", "hash_url_features", 16384)
-    arr = vector_to_array("hash_url_features")
-    return hashed.select("page_id", F.size(F.filter(arr, lambda v: v != 0)).alias("nnz"),
-                         F.aggregate(arr, F.lit(0.0), lambda a, v: a + v).alias("total"))
+    nz = F.array_remove(vector_to_array("hash_url_features"), 0.0)
+    return hashed.select("page_id", F.size(nz).alias("nnz"),
+                         F.aggregate(nz, F.lit(0.0), lambda a, v: a + v).alias("total"))
 
 
 def q_param_vocabulary(spark, sf_dir):

@@ -57,3 +57,4 @@ def test_flatten_query_words(spark):
     df = spark.createDataFrame([(["a=1", "b=2"],)], "q array<string>")
     r = df.select(F.flatten(F.transform("q", lambda x: F.split(x, "="))).alias("w")).first()
     assert list(r["w"]) == ["a", "1", "b", "2"]
+
