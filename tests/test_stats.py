@@ -2,7 +2,6 @@
 
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
 
 from logloom.operators import sampling as S
 from logloom.operators import stats as ST

@@ -2,7 +2,6 @@
 
 import urllib.parse
 
-from pyspark.sql import functions as F
 
 from logloom.functions import url
 
