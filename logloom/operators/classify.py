@@ -47,10 +47,18 @@ def classification_metrics(pred: DataFrame, label_col: str = "label",
     conf = (pred.select(F.col(label_col).cast("double").alias("y"),
                         F.col(prediction_col).cast("double").alias("p"))
                 .groupBy("y", "p").agg(F.count(F.lit(1)).alias("n")))
-    per_label = conf.groupBy("y").agg(F.sum("n").alias("n_label"),
-                                      F.sum(F.when(F.col("y") == F.col("p"), F.col("n")).otherwise(0)).alias("tp"))
-    per_pred = conf.groupBy(F.col("p").alias("y")).agg(F.sum("n").alias("n_pred"))
-    cls = per_label.join(per_pred, "y", "left").fillna(0, ["n_pred"])
+    # Each confusion cell counts towards its label class (n_label, tp) and
+    # its predicted class (n_pred): one pass over the predictions, no join.
+    zero = F.lit(0).cast("bigint")
+    cells = conf.select(F.inline(F.array(
+        F.struct(F.col("y").alias("c"), F.col("n").alias("n_label"),
+                 F.when(F.col("y") == F.col("p"), F.col("n")).otherwise(zero).alias("tp"),
+                 zero.alias("n_pred")),
+        F.struct(F.col("p").alias("c"), zero.alias("n_label"), zero.alias("tp"),
+                 F.col("n").alias("n_pred")))))
+    cls = (cells.groupBy("c").agg(F.sum("n_label").alias("n_label"), F.sum("tp").alias("tp"),
+                                  F.sum("n_pred").alias("n_pred"))
+                .filter(F.col("n_label") > 0))
     prec = F.when(F.col("n_pred") > 0, F.col("tp") / F.col("n_pred")).otherwise(0.0)
     rec = F.col("tp") / F.col("n_label")
     f1 = F.when((prec + rec) > 0, 2 * prec * rec / (prec + rec)).otherwise(0.0)
