@@ -7,28 +7,24 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def cluster_for_partitions(df: DataFrame, partition_by: list[str], salt_buckets: int = 16) -> DataFrame:
-    """Shuffle rows by (partition values, salt) before a partitioned write.
+def cluster_for_partitions(df: DataFrame, partition_by: list[str]) -> DataFrame:
+    """Cluster rows by the partition columns before a partitioned write.
 
-    Each partition value then gets at most ``salt_buckets`` files, and a
-    value holding a third of all rows is written by ``salt_buckets`` tasks
-    instead of one. The salt is a hash of the row's plain columns, so a
-    retried task sends every row to the same place."""
-    plain = [c for c, t in df.dtypes
-             if c not in partition_by and not t.startswith(("array", "map", "struct", "vector"))]
-    salt = F.pmod(F.xxhash64(*[F.col(c) for c in plain]) if plain else F.lit(0), F.lit(salt_buckets))
-    return df.repartition(*[F.col(c) for c in partition_by], salt)
+    The ``rebalance`` hint shuffles by those columns and lets AQE size the
+    result: a partition value holding a third of all rows is split into
+    advisory-sized tasks (``spark.sql.adaptive.advisoryPartitionSizeInBytes``)
+    instead of landing on one writer, and small values are coalesced. So
+    each value gets a few files of a reasonable size."""
+    return df.hint("rebalance", *partition_by)
 
 
 def write_parquet(df: DataFrame, path: str, mode: str = "errorifexists",
-                  partition_by: list[str] | None = None, repartition: int | None = None,
-                  salt_buckets: int = 16) -> None:
+                  partition_by: list[str] | None = None, repartition: int | None = None) -> None:
     """K-01 (partitioned) / K-02 (plain). With ``partition_by`` the rows
-    are clustered by (partition values, salt) first; AQE sizes that
-    shuffle."""
+    are rebalanced by the partition columns first (see above)."""
     out = df
     if partition_by:
-        out = cluster_for_partitions(out, partition_by, salt_buckets)
+        out = cluster_for_partitions(out, partition_by)
     elif repartition:
         out = out.repartition(repartition)
     w = out.write.mode(mode)

@@ -42,3 +42,21 @@ def test_flags_sink(spark, tmp_path):
     df = spark.createDataFrame([(0, True), (1, False)], "index bigint, is_anomaly boolean")
     sinks.write_flags(df, str(tmp_path / "flags"), "index")
     assert spark.read.parquet(str(tmp_path / "flags")).count() == 2
+
+
+def test_hot_partition_value_is_split_across_writers(spark, tmp_path):
+    """A domain holding most rows is written by several tasks (AQE splits the
+    rebalance partition), not by one."""
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "16k")
+    try:
+        df = spark.range(0, 60000).select(
+            F.when(F.col("id") % 3 != 0, F.lit("hot.example.com"))
+             .otherwise(F.concat(F.lit("d"), (F.col("id") % 50).cast("string"))).alias("domain"),
+            F.col("id"))
+        path = str(tmp_path / "skewed")
+        sinks.write_parquet(df, path, partition_by=["domain"])
+        hot = [f for f in spark.read.parquet(path).inputFiles() if "domain=hot.example.com" in f]
+        assert len(hot) > 1
+        assert spark.read.parquet(path).count() == 60000
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
