@@ -5,17 +5,13 @@ column-expression forms where a query needs plain columns."""
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import (CountVectorizer, HashingTF, MinMaxScaler, NGram,
                                 StandardScaler, Tokenizer, VectorAssembler)
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from logloom.sources.staging import staged_dir
 
 
 def assemble(df: DataFrame, inputs: list[str], output: str = "features",
@@ -92,31 +88,18 @@ def index_labels(df: DataFrame, col: str, index_col: str | None = None) -> DataF
     """M-05 without a driver-side label list: (value, index) ordered by
     frequency desc then value, computed as a distributed rank.
 
-    The value counts are range-partitioned by (count desc, value); each
-    partition's size is counted (one row per partition reaches the
-    driver) and an index is its partition offset plus the position in it.
+    The value counts get a global row index in (count desc, value) order
+    (``sampling.global_row_index``).
     """
     index_col = index_col or f"{col}_index"
+    from logloom.operators.sampling import global_row_index
     from logloom.session import ensure_checkpoint_dir
     ensure_checkpoint_dir(df.sparkSession)
     # Checkpointed once: the range partitioner samples its input in one job
     # and the write reads it again; the input itself is scanned once.
     counts = df.groupBy(col).agg(F.count(F.lit(1)).alias("_n")).checkpoint(eager=True)
-    ordered = counts.repartitionByRange(F.col("_n").desc(), F.col(col).asc()).sortWithinPartitions(
-        F.col("_n").desc(), F.col(col).asc())
-    spark = df.sparkSession
-    path = staged_dir(spark, "label-index", uuid.uuid4().hex)
-    (ordered.withColumn("_pid", F.spark_partition_id())
-            .withColumn("_mid", F.monotonically_increasing_id())
-            .write.mode("overwrite").parquet(path))
-    staged = spark.read.parquet(path)
-    sizes = staged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_c"), F.min("_mid").alias("_m0"))
-    # One row per partition: a window without keys is fine here.
-    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offs = sizes.select("_pid", "_m0", F.sum("_c").over(before).alias("_off"))
-    return (staged.join(F.broadcast(offs), "_pid")
-                  .select(col, (F.coalesce(F.col("_off"), F.lit(0)) + F.col("_mid") - F.col("_m0"))
-                          .alias(index_col)))
+    ranked = global_row_index(counts, [F.col("_n").desc(), F.col(col).asc()], index_col)
+    return ranked.select(col, index_col)
 
 
 def fit_pipeline(df: DataFrame, stages: list) -> PipelineModel:

@@ -2,8 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
+
+# Slices ending past this row use the distributed index instead of top-k
+# (top-k keeps start + n rows in every task).
+TOP_K_SLICE_LIMIT = 100_000
 
 
 def first_n(df: DataFrame, n: int, *order: str) -> DataFrame:
@@ -11,9 +18,38 @@ def first_n(df: DataFrame, n: int, *order: str) -> DataFrame:
     return df.orderBy(*order).limit(n)
 
 
+def global_row_index(df: DataFrame, order: list[Column | str], index_col: str = "row_index") -> DataFrame:
+    """0-based position of every row in ``order``, computed without a
+    single-partition window: rows are range-partitioned and sorted, each
+    row gets its partition id and an id increasing within the partition,
+    the sorted table is written once to the shared folder, the per-partition
+    row counts (one row per partition) give each partition's offset, and a
+    broadcast of that small table turns local ids into global positions.
+    Ties keep an arbitrary but fixed order."""
+    from logloom.sources.staging import staged_dir
+    spark = df.sparkSession
+    path = staged_dir(spark, "row-index", uuid.uuid4().hex)
+    (df.repartitionByRange(*order).sortWithinPartitions(*order)
+       .withColumn("_pid", F.spark_partition_id())
+       .withColumn("_mid", F.monotonically_increasing_id())
+       .write.mode("overwrite").parquet(path))
+    staged = spark.read.parquet(path)
+    sizes = staged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_c"), F.min("_mid").alias("_m0"))
+    # One row per partition: a window without keys is fine here.
+    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offs = sizes.select("_pid", "_m0", F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_off"))
+    out = staged.join(F.broadcast(offs), "_pid")
+    return out.select(*[c for c in staged.columns if c not in ("_pid", "_mid")],
+                      (F.col("_off") + F.col("_mid") - F.col("_m0")).alias(index_col))
+
+
 def row_slice(df: DataFrame, start: int, n: int, *order: str) -> DataFrame:
-    """O-03/O-04: rows [start, start + n) of the key order."""
-    return df.orderBy(*order).offset(start).limit(n)
+    """O-03/O-04: rows [start, start + n) of the key order. Shallow slices
+    are a top-k; deep ones select by the distributed global row index."""
+    if start + n <= TOP_K_SLICE_LIMIT:
+        return df.orderBy(*order).offset(start).limit(n)
+    idx = global_row_index(df, list(order), "_row")
+    return idx.filter((F.col("_row") >= start) & (F.col("_row") < start + n)).drop("_row")
 
 
 def unit_hash(key: Column | str, seed: int = 0, portable: bool = False) -> Column:

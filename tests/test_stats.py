@@ -57,3 +57,12 @@ def test_row_slice_and_first_n(spark):
 def test_flag_above_is_strict(spark):
     df = spark.createDataFrame([(1.0,), (2.0,)], "s double")
     assert [r[0] for r in ST.flag_above(df, "s", 1.0).select("is_anomaly").orderBy("s").collect()] == [False, True]
+
+
+def test_deep_row_slice_uses_distributed_index(spark, monkeypatch):
+    df = spark.range(0, 5000).withColumnRenamed("id", "k").repartition(6)
+    monkeypatch.setattr(S, "TOP_K_SLICE_LIMIT", 10)
+    got = [r[0] for r in S.row_slice(df, 4000, 7, "k").orderBy("k").collect()]
+    assert got == list(range(4000, 4007))
+    idx = S.global_row_index(df, ["k"]).collect()
+    assert all(r["row_index"] == r["k"] for r in idx)
