@@ -26,7 +26,10 @@ def q_top_words(spark, sf_dir):
 
 def q_token_ngrams(spark, sf_dir):
     docs = spread(read_table(spark, sf_dir, "documents", "text"))
-    grams = docs.select(F.explode(text.ngrams(text.tokens("text"), 2)).alias("ngram"))
+    # Tokens in their own projection: the n-gram expression refers to the
+    # array n+1 times, and a Generate does not share subexpressions.
+    toks = docs.select(text.tokens("text").alias("tokens"))
+    grams = toks.select(F.explode(text.ngrams("tokens", 2)).alias("ngram"))
     return grams.groupBy("ngram").agg(F.count(F.lit(1)).alias("n"))
 
 

@@ -49,7 +49,7 @@ def weblog_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     import logloom.plans.weblog_fixture as me
     key = staging.fingerprint(table_path(sf_dir, "events"), table_path(sf_dir, "pages"),
                               code_modules=(me,))
-    return staging.stage_text(spark, weblog_lines(spark, sf_dir), "weblog", key)
+    return staging.stage_text(spark, lambda: weblog_lines(spark, sf_dir), "weblog", key)
 
 
 # DuckDB form of the same lines, as a CTE named ``weblog(value)``.

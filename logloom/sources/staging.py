@@ -74,10 +74,14 @@ def stage(spark: SparkSession, name: str, key: str,
     return path
 
 
-def stage_text(spark: SparkSession, lines: DataFrame, name: str, key: str) -> DataFrame:
-    path = stage(spark, name, key,
-                 lambda p: lines.write.mode("overwrite").text(p))
-    return spark.read.text(path)
+def stage_text(spark: SparkSession, lines: DataFrame | Callable[[], DataFrame],
+               name: str, key: str) -> DataFrame:
+    """``lines`` may be a callable: the plan that computes them is then only
+    built when the table is missing (a finished table costs one listing)."""
+    def _write(p: str) -> None:
+        df = lines() if callable(lines) else lines
+        df.write.mode("overwrite").text(p)
+    return spark.read.text(stage(spark, name, key, _write))
 
 
 def stage_parquet(spark: SparkSession, df: DataFrame, name: str, key: str,
