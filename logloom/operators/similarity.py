@@ -1,21 +1,36 @@
 """Levenshtein similarity joins (J-01, J-02, F-18).
 
 ``similar_pairs`` returns every ordered pair of distinct strings in the
-same group whose edit distance is at most ``k``; it is exact, and it never
-compares all pairs in a group. Candidates come from the pigeonhole
-(pass-join) signature: split a string ``s`` of length >= k+1 into k+1
-segments; any ``r`` within k edits of ``s`` holds one of them unchanged,
-shifted by at most k positions. Indexed segments and probe substrings
-meet in an equi-join on (group, length, segment number, text); probe
-shifts are limited by the multi-match-aware bounds of Pass-Join (Li et al.,
-VLDB 2011). Candidates are verified with ``levenshtein(a, b, k)``. Strings no longer than k are
-all within k of each other, so those pairs are output directly.
+same group whose edit distance is at most ``k``. It is exact and never
+compares all pairs in a group; candidates come from equi-joins on
+signatures and are verified with ``levenshtein(a, b, k)``.
+
+Long strings (length >= q(k+1)) use prefix filtering on positional
+q-grams (Ed-Join, Xiao et al., VLDB 2008). An edit destroys at most q
+grams, so two strings within k edits share at least
+``max(|G(r)|, |G(s)|) - q*k`` grams (as multisets). Ordering each
+string's grams by their frequency in the group, rarest first, any such
+pair shares a gram among the first ``q*k + 1``. Only those rare grams
+are joined: a prefix that many strings share (``https://``, ``/api/``)
+sits at the end of the order and never becomes a join key, so it cannot
+turn into an all-pairs bucket.
+
+Strings shorter than that have too few grams for the bound. Pairs whose
+shorter member is short come from the pigeonhole (Pass-Join) signature:
+split a string ``s`` of length >= k+1 into k+1 segments; any ``r``
+within k edits of ``s`` holds one of them unchanged, shifted by at most
+k positions. Indexed segments and probe substrings meet in an equi-join
+on (group, length, segment number, text); probe shifts are limited by
+the multi-match-aware bounds of Pass-Join (Li et al., VLDB 2011).
+Strings no longer than k are all within k of each other, so those pairs
+are output directly.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 
 def _seg_bounds(length: Column, i: int, k: int) -> tuple[Column, Column]:
@@ -30,24 +45,9 @@ def _seg_bounds(length: Column, i: int, k: int) -> tuple[Column, Column]:
     return start, seg_len
 
 
-def similar_pairs(df: DataFrame, value_col: str, group_cols: list[str] | tuple = (),
-                  k: int = 2, left: str = "value_a", right: str = "value_b",
-                  distance_col: str = "levenshtein_distance") -> DataFrame:
-    if k < 0:
-        raise ValueError("k must be >= 0")
-    g = list(group_cols)
-    if not g:
-        # One group over the whole table; the join keys below still spread
-        # the work by length, segment and text.
-        df = df.withColumn("_g", F.lit(0))
-        g = ["_g"]
-    # The distinct values feed three branches: checkpoint them once (the
-    # shared folder in spark.checkpoint.dir) so the input is read once.
-    from logloom.session import ensure_checkpoint_dir
-    ensure_checkpoint_dir(df.sparkSession)
-    base = (df.select(*g, F.col(value_col).alias("_s")).filter(F.col("_s").isNotNull())
-              .distinct().withColumn("_len", F.length("_s"))).checkpoint(eager=True)
-
+def _pass_join(base: DataFrame, g: list[str], k: int, below: int) -> DataFrame:
+    """Unordered candidate pairs (``_s`` < ``_r``) from Pass-Join
+    signatures, keeping pairs whose shorter string is below ``below``."""
     # Index side: k+1 segments of every string of length >= k+1.
     segs = []
     for i in range(k + 1):
@@ -75,16 +75,75 @@ def similar_pairs(df: DataFrame, value_col: str, group_cols: list[str] | tuple =
                   & (F.lit(d) >= delta - (k - i)) & (F.lit(d) <= delta + (k - i)))
             subs.append(F.when(ok, F.struct(F.lit(i).alias("i"),
                                             F.substring(F.col("_r"), pos + 1, seg_len).alias("seg"))))
-    probe = (probe_base.select(*g, "_r", "_plen", F.explode(F.array(*subs)).alias("p"))
+    probe = (probe_base.select(*g, "_r", "_rlen", "_plen", F.explode(F.array(*subs)).alias("p"))
                        .filter(F.col("p").isNotNull())
-                       .select(*g, "_r", F.col("_plen").alias("_len"), "p.i", "p.seg"))
+                       .select(*g, "_r", "_rlen", F.col("_plen").alias("_len"), "p.i", "p.seg"))
 
-    # Each unordered pair once (a pair can meet on several segments and in
-    # both directions), verified, then emitted in both orders.
     lo, hi = F.least("_s", "_r"), F.greatest("_s", "_r")
-    cand = (index.join(probe, [*g, "_len", "i", "seg"])
-                 .filter(F.col("_s") != F.col("_r"))
-                 .select(*g, lo.alias("_s"), hi.alias("_r")).dropDuplicates([*g, "_s", "_r"]))
+    return (index.join(probe, [*g, "_len", "i", "seg"])
+                 .filter((F.col("_s") != F.col("_r")) & (F.least("_len", "_rlen") < below))
+                 .select(*g, lo.alias("_s"), hi.alias("_r")))
+
+
+def _prefix_join(base: DataFrame, g: list[str], k: int, q: int) -> DataFrame:
+    """Unordered candidate pairs (``_s`` < ``_r``) of strings of length >=
+    q(k+1) that share one of their q*k+1 rarest positional q-grams."""
+    grams = base.select(*g, "_s", "_len", F.posexplode(F.transform(
+        F.sequence(F.lit(0), F.col("_len") - q),
+        lambda i: F.substring(F.col("_s"), i + 1, q))).alias("_pos", "_gram"))
+    # Gram frequency in the group: partial + final aggregate, so a gram in
+    # every string is summed inside each task; joined back on the gram
+    # (AQE broadcasts the counts when small, and splits a hot gram's rows).
+    freq = grams.groupBy(*g, "_gram").agg(F.count(F.lit(1)).alias("_f"))
+    ranked = grams.join(freq, [*g, "_gram"])
+    # Per string, its grams in the global order (frequency, gram,
+    # position); the j-th copy of a gram in a string is the token
+    # (gram, j). Both windows are partitioned by the string (one shuffle;
+    # a window holds one string's grams).
+    p = q * k + 1
+    by_str = Window.partitionBy(*g, "_s")
+    prefix = (ranked
+              .withColumn("_rank", F.row_number().over(by_str.orderBy("_f", "_gram", "_pos")))
+              .withColumn("_occ", F.row_number().over(
+                  Window.partitionBy(*g, "_s", "_gram").orderBy("_pos")))
+              .filter(F.col("_rank") <= p)
+              .select(*g, "_s", "_len", "_gram", "_occ"))
+    other = prefix.select(*g, F.col("_s").alias("_r"), F.col("_len").alias("_rlen"), "_gram", "_occ")
+    return (prefix.join(other, [*g, "_gram", "_occ"])
+                  .filter((F.col("_s") < F.col("_r"))
+                          & (F.abs(F.col("_len") - F.col("_rlen")) <= k))
+                  .select(*g, "_s", "_r"))
+
+
+def similar_pairs(df: DataFrame, value_col: str, group_cols: list[str] | tuple = (),
+                  k: int = 2, left: str = "value_a", right: str = "value_b",
+                  distance_col: str = "levenshtein_distance", q: int = 3) -> DataFrame:
+    if k < 0:
+        raise ValueError("k must be >= 0")
+    if q < 1:
+        raise ValueError("q must be >= 1")
+    g = list(group_cols)
+    if not g:
+        # One group over the whole table; the join keys below still spread
+        # the work by gram, length, segment and text.
+        df = df.withColumn("_g", F.lit(0))
+        g = ["_g"]
+    # The distinct values feed several branches: checkpoint them once (the
+    # shared folder in spark.checkpoint.dir) so the input is read once.
+    from logloom.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(df.sparkSession)
+    base = (df.select(*g, F.col(value_col).alias("_s")).filter(F.col("_s").isNotNull())
+              .distinct().withColumn("_len", F.length("_s"))).checkpoint(eager=True)
+
+    # A pair within k whose shorter string is below q(k+1) has both
+    # lengths below q(k+1)+k: Pass-Join over those strings covers it.
+    long_min = q * (k + 1)
+    cand = (_pass_join(base.filter(F.col("_len") < long_min + k), g, k, long_min)
+            .unionByName(_prefix_join(base.filter(F.col("_len") >= long_min), g, k, q)))
+
+    # Each unordered pair once (a pair can meet on several signatures),
+    # verified, then emitted in both orders.
+    cand = cand.dropDuplicates([*g, "_s", "_r"])
     dist = F.levenshtein("_s", "_r", k)
     found = cand.select(*g, "_s", "_r", dist.alias("_d")).filter(F.col("_d") >= 0)
     both = found.select(*g, F.inline(F.array(

@@ -59,3 +59,21 @@ def test_no_cartesian_product_in_plan(spark):
     df = spark.createDataFrame([("a", "/x"), ("a", "/y")], "grp string, path string")
     plan = similar_pairs(df, "path", ["grp"], k=2)._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+@pytest.mark.parametrize("q,k", [(1, 1), (2, 2), (3, 1), (3, 3), (2, 0)])
+def test_prefix_filter_with_repeated_grams(spark, q, k):
+    # Small alphabets repeat grams inside a string (the occurrence
+    # numbering matters) and a shared prefix makes one gram very common.
+    rng = random.Random(100 * q + k)
+    vals = set()
+    while len(vals) < 70:
+        body = "".join(rng.choice("ab" if len(vals) % 2 else "abc") for _ in range(rng.randint(0, 16)))
+        vals.add(("http://" if len(vals) % 3 == 0 else "") + body)
+    rows = [("g", v) for v in sorted(vals)]
+    df = spark.createDataFrame(rows, "grp string, s string")
+    got = {(r["value_a"], r["value_b"], r["levenshtein_distance"])
+           for r in similar_pairs(df, "s", ["grp"], k=k, q=q).collect()}
+    want = {(a, b, _lev(a, b)) for a, b in itertools.permutations(sorted(vals), 2)
+            if _lev(a, b) <= k}
+    assert got == want
