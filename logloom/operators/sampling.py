@@ -25,11 +25,15 @@ def global_row_index(df: DataFrame, order: list[Column | str], index_col: str =
     the sorted table is written once to the shared folder, the per-partition
     row counts (one row per partition) give each partition's offset, and a
     broadcast of that small table turns local ids into global positions.
-    Ties keep an arbitrary but fixed order."""
+    Ties keep an arbitrary but fixed order: a unique row id is the last
+    sort key, so the range partitioner can split a key value that holds a
+    large share of the rows across many tasks."""
     from logloom.sources.staging import staged_dir
     spark = df.sparkSession
     path = staged_dir(spark, "row-index", uuid.uuid4().hex)
-    (df.repartitionByRange(*order).sortWithinPartitions(*order)
+    keyed = [*order, "_tb"]
+    (df.withColumn("_tb", F.monotonically_increasing_id())
+       .repartitionByRange(*keyed).sortWithinPartitions(*keyed).drop("_tb")
        .withColumn("_pid", F.spark_partition_id())
        .withColumn("_mid", F.monotonically_increasing_id())
        .write.mode("overwrite").parquet(path))

@@ -2,6 +2,7 @@
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from logloom.operators import sampling as S
 from logloom.operators import stats as ST
@@ -66,3 +67,15 @@ def test_deep_row_slice_uses_distributed_index(spark, monkeypatch):
     assert got == list(range(4000, 4007))
     idx = S.global_row_index(df, ["k"]).collect()
     assert all(r["row_index"] == r["k"] for r in idx)
+
+
+def test_global_row_index_splits_a_hot_key(spark):
+    # A third of the rows share one key (the unique tiebreak lets the range
+    # partitioner split it); the index is still 0..n-1 in key order.
+    df = spark.range(3000).select(F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id")).alias("k"),
+                                  F.col("id"))
+    idx = S.global_row_index(df, ["k"])
+    rows = idx.collect()
+    assert sorted(r["row_index"] for r in rows) == list(range(3000))
+    keys_in_order = [r["k"] for r in sorted(rows, key=lambda r: r["row_index"])]
+    assert keys_in_order == sorted(keys_in_order)
