@@ -16,14 +16,11 @@ sits at the end of the order and never becomes a join key, so it cannot
 turn into an all-pairs bucket.
 
 Strings shorter than that have too few grams for the bound. Pairs whose
-shorter member is short come from the pigeonhole (Pass-Join) signature:
-split a string ``s`` of length >= k+1 into k+1 segments; any ``r``
-within k edits of ``s`` holds one of them unchanged, shifted by at most
-k positions. Indexed segments and probe substrings meet in an equi-join
-on (group, length, segment number, text); probe shifts are limited by
-the multi-match-aware bounds of Pass-Join (Li et al., VLDB 2011).
-Strings no longer than k are all within k of each other, so those pairs
-are output directly.
+shorter member is short come from deletion neighbourhoods (as in FastSS):
+two strings within k edits both reach a common string by deleting at most
+k characters each, so such pairs share a variant. Short strings have few
+variants, and two strings share one only if they agree on all but k
+characters, which is far tighter than sharing one short segment.
 """
 
 from __future__ import annotations
@@ -33,62 +30,47 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 
-def _seg_bounds(length: Column, i: int, k: int) -> tuple[Column, Column]:
-    """0-based start and length of segment i of a string of ``length``;
-    the last ``length % (k+1)`` segments are one longer."""
-    parts = k + 1
-    base = F.floor(length / F.lit(parts)).cast("int")
-    rem = (length % F.lit(parts)).cast("int")
-    short = F.lit(parts) - rem
-    seg_len = base + F.when(F.lit(i) >= short, 1).otherwise(0)
-    start = F.lit(i) * base + F.greatest(F.lit(0), F.lit(i) - short)
-    return start, seg_len
-
-
-def _pass_join(base: DataFrame, g: list[str], k: int, below: int) -> DataFrame:
-    """Unordered candidate pairs (``_s`` < ``_r``) from Pass-Join
-    signatures, keeping pairs whose shorter string is below ``below``."""
-    # Index side: k+1 segments of every string of length >= k+1.
-    segs = []
-    for i in range(k + 1):
-        start, seg_len = _seg_bounds(F.col("_len"), i, k)
-        segs.append(F.struct(F.lit(i).alias("i"),
-                             F.substring(F.col("_s"), start + 1, seg_len).alias("seg")))
-    index = (base.filter(F.col("_len") >= k + 1)
-                 .select(*g, "_s", "_len", F.inline(F.array(*segs))))
-
-    # Probe side: for each plausible partner length, the substrings of r
-    # that could equal segment i after at most k shifts.
-    lens = F.sequence(F.greatest(F.lit(k + 1), F.col("_len") - k), F.col("_len") + k)
-    probe_base = base.select(*g, F.col("_s").alias("_r"), F.col("_len").alias("_rlen"),
-                             F.explode(lens).alias("_plen"))
-    subs = []
-    for i in range(k + 1):
-        start, seg_len = _seg_bounds(F.col("_plen"), i, k)
-        for d in range(-i, i + 1):
-            pos = start + F.lit(d)
-            # Multi-match-aware shift bounds: segment i can only have moved
-            # by d with max(-i, D - (k - i)) <= d <= min(i, D + (k - i)),
-            # D = len(r) - len(s); other shifts cannot be a first match.
-            delta = F.col("_rlen") - F.col("_plen")
-            ok = ((pos >= 0) & (pos + seg_len <= F.col("_rlen"))
-                  & (F.lit(d) >= delta - (k - i)) & (F.lit(d) <= delta + (k - i)))
-            subs.append(F.when(ok, F.struct(F.lit(i).alias("i"),
-                                            F.substring(F.col("_r"), pos + 1, seg_len).alias("seg"))))
-    probe = (probe_base.select(*g, "_r", "_rlen", "_plen", F.explode(F.array(*subs)).alias("p"))
-                       .filter(F.col("p").isNotNull())
-                       .select(*g, "_r", "_rlen", F.col("_plen").alias("_len"), "p.i", "p.seg"))
-
-    lo, hi = F.least("_s", "_r"), F.greatest("_s", "_r")
-    return (index.join(probe, [*g, "_len", "i", "seg"])
-                 .filter((F.col("_s") != F.col("_r")) & (F.least("_len", "_rlen") < below))
-                 .select(*g, lo.alias("_s"), hi.alias("_r")))
+def _one_deletion(v: Column) -> Column:
+    """Every string made by removing one character of ``v``."""
+    n = F.length(v)
+    return F.when(n > 0, F.transform(
+        F.sequence(F.lit(1), n),
+        lambda j: F.concat(F.substring(v, 1, j - 1), F.substring(v, j + 1, n)))
+    ).otherwise(F.array().cast("array<string>"))
+
+
+def _deletion_join(base: DataFrame, g: list[str], k: int, below: int) -> DataFrame:
+    """Unordered candidate pairs (``_s`` < ``_r``) that share a string
+    reachable from both by at most k deletions, keeping pairs whose shorter
+    string is below ``below``.
+
+    Within k edits, deleting the substituted and unmatched characters of
+    each side leaves a common string, so every result pair shares a
+    variant. The variants of a row are built inside the row (no shuffle);
+    for strings shorter than q(k+1)+k there are at most sum C(L, i) of
+    them. Strings of length <= k all share the empty variant; every such
+    pair is within k, so that key's candidates are all results."""
+    cur = base.select(*g, "_s", "_len", F.array("_s").alias("_vs"))
+    for _ in range(k):
+        # One projection per level: the next level reads this column.
+        cur = cur.select(*g, "_s", "_len", F.array_distinct(F.concat(
+            "_vs", F.flatten(F.transform("_vs", _one_deletion)))).alias("_vs"))
+    # ``_vs`` always holds the string itself. The outer form keeps Catalyst
+    # from inferring ``size(_vs) > 0`` and pushing that filter, with the
+    # whole variant expression inlined, below the length filter.
+    var = cur.select(*g, "_s", "_len", F.explode_outer("_vs").alias("_v"))
+    other = var.select(*g, F.col("_s").alias("_r"), F.col("_len").alias("_rlen"), "_v")
+    return (var.join(other, [*g, "_v"])
+               .filter((F.col("_s") < F.col("_r")) & (F.least("_len", "_rlen") < below))
+               .select(*g, "_s", "_r"))
 
 
 def _prefix_join(base: DataFrame, g: list[str], k: int, q: int) -> DataFrame:
     """Unordered candidate pairs (``_s`` < ``_r``) of strings of length >=
     q(k+1) that share one of their q*k+1 rarest positional q-grams."""
-    grams = base.select(*g, "_s", "_len", F.posexplode(F.transform(
+    # Never empty for these lengths; the outer form avoids an inferred
+    # filter that would evaluate the gram array twice.
+    grams = base.select(*g, "_s", "_len", F.posexplode_outer(F.transform(
         F.sequence(F.lit(0), F.col("_len") - q),
         lambda i: F.substring(F.col("_s"), i + 1, q))).alias("_pos", "_gram"))
     # Gram frequency in the group: partial + final aggregate, so a gram in
@@ -125,7 +107,7 @@ def similar_pairs(df: DataFrame, value_col: str, group_cols: list[str] | tuple =
     g = list(group_cols)
     if not g:
         # One group over the whole table; the join keys below still spread
-        # the work by gram, length, segment and text.
+        # the work by gram and variant.
         df = df.withColumn("_g", F.lit(0))
         g = ["_g"]
     # The distinct values feed several branches: checkpoint them once (the
@@ -136,9 +118,9 @@ def similar_pairs(df: DataFrame, value_col: str, group_cols: list[str] | tuple =
               .distinct().withColumn("_len", F.length("_s"))).checkpoint(eager=True)
 
     # A pair within k whose shorter string is below q(k+1) has both
-    # lengths below q(k+1)+k: Pass-Join over those strings covers it.
+    # lengths below q(k+1)+k: deletion variants of those strings cover it.
     long_min = q * (k + 1)
-    cand = (_pass_join(base.filter(F.col("_len") < long_min + k), g, k, long_min)
+    cand = (_deletion_join(base.filter(F.col("_len") < long_min + k), g, k, long_min)
             .unionByName(_prefix_join(base.filter(F.col("_len") >= long_min), g, k, q)))
 
     # Each unordered pair once (a pair can meet on several signatures),
@@ -146,17 +128,9 @@ def similar_pairs(df: DataFrame, value_col: str, group_cols: list[str] | tuple =
     cand = cand.dropDuplicates([*g, "_s", "_r"])
     dist = F.levenshtein("_s", "_r", k)
     found = cand.select(*g, "_s", "_r", dist.alias("_d")).filter(F.col("_d") >= 0)
-    both = found.select(*g, F.inline(F.array(
+    out = found.select(*g, F.inline(F.array(
         F.struct(F.col("_s").alias("_s"), F.col("_r").alias("_r"), F.col("_d").alias("_d")),
         F.struct(F.col("_r").alias("_s"), F.col("_s").alias("_r"), F.col("_d").alias("_d")))))
-
-    # Short strings: every pair is within k.
-    short = base.filter(F.col("_len") <= k).select(*g, "_s")
-    short_pairs = short.join(short.select(*g, F.col("_s").alias("_r")), g)
-    short_pairs = (short_pairs.filter(F.col("_s") != F.col("_r"))
-                   .select(*g, "_s", "_r", F.levenshtein("_s", "_r").alias("_d")))
-
-    out = both.unionByName(short_pairs)
     keep = [c for c in g if c != "_g"]
     return out.select(*keep, F.col("_s").alias(left), F.col("_r").alias(right),
                       F.col("_d").cast("bigint").alias(distance_col))
