@@ -140,14 +140,43 @@ def add_path_features(df: DataFrame, n: int = 9, num_features: int = 16384) -> D
                      numFeatures=num_features).transform(out)
 
 
-def add_indexed_columns(df: DataFrame, columns=("req_method", "domain")) -> DataFrame:
+# Up to this many distinct values an index column is fitted with
+# StringIndexer (its label list goes to the driver and, inside the model,
+# to every task); above it the distributed rank of
+# ``features.index_labels`` is joined back instead.
+MAX_DRIVER_LABELS = 200_000
+
+
+def _distributed_index(df: DataFrame, c: str) -> DataFrame:
+    """Frequency index without a label list on the driver, the same values
+    as ``StringIndexer(handleInvalid="keep")``: the rank table is joined on
+    the value (AQE broadcasts it only when it measures small, and splits a
+    hot value's rows), a missing value gets index ``n_labels``, and the
+    column carries nominal metadata with ``n_labels + 1`` values so the
+    one-hot size matches the StringIndexer path."""
+    from logloom.operators.features import index_labels
+    ranks = index_labels(df, c, "_idx")
+    n_labels = ranks.count()  # the rank table is staged: a cheap scan
+    meta = {"ml_attr": {"type": "nominal", "num_vals": n_labels + 1, "name": f"{c}_index"}}
+    out = df.join(ranks, c, "left")
+    idx = F.coalesce(F.col("_idx").cast("double"), F.lit(float(n_labels)))
+    return out.withColumn(f"{c}_index", idx.alias(f"{c}_index", metadata=meta)).drop("_idx")
+
+
+def add_indexed_columns(df: DataFrame, columns=("req_method", "domain"),
+                        max_driver_labels: int = MAX_DRIVER_LABELS) -> DataFrame:
     """M-05 + M-06: frequency-ordered index (ties alphabetical) and one-hot
-    with the last category dropped. Fitting collects one label per distinct
-    value to the driver, so use it on low-cardinality columns; see
-    ``operators.features.index_labels`` for the distributed form."""
+    with the last category dropped. The distinct count is estimated first
+    (one HyperLogLog pass): a bounded label list is fitted with
+    StringIndexer, a larger one with the distributed rank
+    (``_distributed_index``)."""
     for c in columns:
-        df = StringIndexer(inputCol=c, outputCol=f"{c}_index",
-                           handleInvalid="keep").fit(df).transform(df)
+        n = df.agg(F.approx_count_distinct(c).alias("n")).first()["n"]
+        if n <= max_driver_labels:
+            df = StringIndexer(inputCol=c, outputCol=f"{c}_index",
+                               handleInvalid="keep").fit(df).transform(df)
+        else:
+            df = _distributed_index(df, c)
         df = OneHotEncoder(inputCol=f"{c}_index", outputCol=f"{c}_onehot").fit(df).transform(df)
     return df
 

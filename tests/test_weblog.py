@@ -91,3 +91,18 @@ def test_hits_by_domain(spark):
     hits = {r["domain"]: r["hits"] for r in W.hits_by_domain(
         W.clean_log(W.parse_access_log(_lines(spark)))).collect()}
     assert hits == {"ref.example.com": 2, "Unknown": 2}
+
+
+def test_indexed_columns_distributed_path_matches_string_indexer(spark):
+    from pyspark.ml.functions import vector_to_array
+    from logloom.operators import weblog as W
+    rows = [("GET", "a.com")] * 5 + [("POST", "b.com")] * 3 + [("GET", "c.com")] * 3 + [("PUT", "d.com")]
+    df = spark.createDataFrame(rows, "req_method string, domain string")
+
+    def collect(out):
+        return sorted((r["req_method"], r["domain"], r["req_method_index"], r["domain_index"],
+                       tuple(r["m"]), tuple(r["d"]))
+                      for r in out.select("req_method", "domain", "req_method_index", "domain_index",
+                                          vector_to_array("req_method_onehot").alias("m"),
+                                          vector_to_array("domain_onehot").alias("d")).collect())
+    assert collect(W.add_indexed_columns(df, max_driver_labels=0)) == collect(W.add_indexed_columns(df))
