@@ -9,6 +9,7 @@ shared folder, so a restarted query resumes where it stopped.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
@@ -35,9 +36,15 @@ def start_extract_stream(spark: SparkSession, log_dir: str, known_path: str, unk
         # One folder per micro-batch, overwritten on replay: a batch that is
         # re-run after a failure replaces its own output instead of adding
         # duplicates.
-        known, unknown = W.split_known(batch, domains)
-        known.write.mode("overwrite").partitionBy("domain").parquet(f"{known_path}/batch_id={batch_id}")
-        unknown.write.mode("overwrite").parquet(f"{unknown_path}/batch_id={batch_id}")
+        # The batch feeds two writes: persisted so the lines are parsed
+        # once (lost blocks are recomputed from the batch's source files).
+        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            known, unknown = W.split_known(batch, domains)
+            known.write.mode("overwrite").partitionBy("domain").parquet(f"{known_path}/batch_id={batch_id}")
+            unknown.write.mode("overwrite").parquet(f"{unknown_path}/batch_id={batch_id}")
+        finally:
+            batch.unpersist()
 
     writer = stream.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer
