@@ -166,13 +166,14 @@ def _distributed_index(df: DataFrame, c: str) -> DataFrame:
 def add_indexed_columns(df: DataFrame, columns=("req_method", "domain"),
                         max_driver_labels: int = MAX_DRIVER_LABELS) -> DataFrame:
     """M-05 + M-06: frequency-ordered index (ties alphabetical) and one-hot
-    with the last category dropped. The distinct count is estimated first
-    (one HyperLogLog pass): a bounded label list is fitted with
+    with the last category dropped. The distinct counts are estimated first
+    (one HyperLogLog pass for all columns): a bounded label list is fitted with
     StringIndexer, a larger one with the distributed rank
     (``_distributed_index``)."""
+    columns = list(columns)
+    est = df.agg(*[F.approx_count_distinct(c).alias(c) for c in columns]).first()
     for c in columns:
-        n = df.agg(F.approx_count_distinct(c).alias("n")).first()["n"]
-        if n <= max_driver_labels:
+        if est[c] <= max_driver_labels:
             df = StringIndexer(inputCol=c, outputCol=f"{c}_index",
                                handleInvalid="keep").fit(df).transform(df)
         else:
