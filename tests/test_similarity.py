@@ -77,3 +77,22 @@ def test_prefix_filter_with_repeated_grams(spark, q, k):
     want = {(a, b, _lev(a, b)) for a, b in itertools.permutations(sorted(vals), 2)
             if _lev(a, b) <= k}
     assert got == want
+
+
+def test_shared_prefix_does_not_become_an_all_pairs_bucket(spark):
+    # 300 URLs of one length behind the same long prefix: a segment of the
+    # prefix matches all of them, but the rarest grams sit in the suffixes.
+    from pyspark.sql import functions as F
+    from logloom.operators.similarity import _prefix_join
+    rng = random.Random(7)
+    vals = sorted({"https://shop.example.com/item/" + "".join(rng.choice("abcdefghijklmnop") for _ in range(8))
+                   for _ in range(300)})
+    base = (spark.createDataFrame([(0, v) for v in vals], "_g int, _s string")
+                 .withColumn("_len", F.length("_s")))
+    candidates = _prefix_join(base, ["_g"], k=2, q=3).distinct().count()
+    all_pairs = len(vals) * (len(vals) - 1) // 2
+    assert candidates < all_pairs // 20
+    got = {(r["value_a"], r["value_b"]) for r in
+           similar_pairs(spark.createDataFrame([(v,) for v in vals], "u string"), "u", k=2).collect()}
+    want = {(a, b) for a, b in itertools.permutations(vals, 2) if _lev(a, b) <= 2}
+    assert got == want
