@@ -116,10 +116,13 @@ def similar_pairs(df: DataFrame, value_col: str, group_cols: list[str] | tuple =
     ensure_checkpoint_dir(df.sparkSession)
     base = (df.select(*g, F.col(value_col).alias("_s")).filter(F.col("_s").isNotNull())
               .distinct().withColumn("_len", F.length("_s"))).checkpoint(eager=True)
-    # AQE may have coalesced a small input into one partition; the
-    # signature generation below is CPU work, so use every task slot.
-    from logloom.sources.tables import spread
-    base = spread(base)
+    # AQE sizes the distinct output by bytes, which can leave fewer
+    # partitions than task slots for the CPU-heavy signature generation.
+    # Spread it once and checkpoint that, so each branch reads it without
+    # a shuffle of its own.
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    if base.rdd.getNumPartitions() < slots:
+        base = base.repartition(slots).checkpoint(eager=True)
 
     # A pair within k whose shorter string is below q(k+1) has both
     # lengths below q(k+1)+k: deletion variants of those strings cover it.
