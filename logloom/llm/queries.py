@@ -4,18 +4,40 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from logloom.llm import mixing
+
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from logloom.llm.decontaminate import find_leaks
+    return find_leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     from logloom.llm.ngram_join import ngram_jaccard_join
     return ngram_jaccard_join(_table(spark, sf_dir, "documents"))
 
 
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from logloom.llm.language_id import identify_held_out
+    return identify_held_out(_table(spark, sf_dir, "documents"))
+
+
+def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from logloom.llm.mixing import TARGET_WEIGHTS, mix_sources
+    return mix_sources(_table(spark, sf_dir, "documents"), TARGET_WEIGHTS)
+
+
 QUERIES = {
+    "op1_decontaminate": op1_decontaminate,
     "op6_ngram_jaccard_join": op6_ngram_jaccard_join,
+    "op9_language_id": op9_language_id,
+    "op10_mix_sources": op10_mix_sources,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op10_mix_sources": mixing.oracle_sql(),
+}
