@@ -16,6 +16,12 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from logloom.llm.warc import pages_to_warc
+    _, records = pages_to_warc(_table(spark, sf_dir, "pages"))
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "uri", "date")
+
+
 def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     from logloom.llm.ngram_join import ngram_jaccard_join
     return ngram_jaccard_join(_table(spark, sf_dir, "documents"))
@@ -33,6 +39,7 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
+    "op3_warc": op3_warc,
     "op6_ngram_jaccard_join": op6_ngram_jaccard_join,
     "op9_language_id": op9_language_id,
     "op10_mix_sources": op10_mix_sources,
