@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from logloom.llm import mixing
+from logloom.llm import mixing, url_rules
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -16,6 +16,12 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op2_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from logloom.llm.url_rules import RULES, judge_urls
+    rules = spark.createDataFrame(RULES, "host string, path string, verdict string")
+    return judge_urls(_table(spark, sf_dir, "pages").select("page_id", "url"), rules).select("page_id", "host", "path", "rule", "verdict")
+
+
 def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     from logloom.llm.warc import pages_to_warc
     _, records = pages_to_warc(_table(spark, sf_dir, "pages"))
@@ -39,6 +45,7 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
+    "op2_url_rules": op2_url_rules,
     "op3_warc": op3_warc,
     "op6_ngram_jaccard_join": op6_ngram_jaccard_join,
     "op9_language_id": op9_language_id,
@@ -46,5 +53,6 @@ QUERIES = {
 }
 
 SQL: dict[str, str] = {
+    "op2_url_rules": url_rules.oracle_sql(),
     "op10_mix_sources": mixing.oracle_sql(),
 }
