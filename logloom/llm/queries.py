@@ -33,6 +33,11 @@ def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_jaccard_join(_table(spark, sf_dir, "documents"))
 
 
+def op7_class_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from logloom.llm.class_lm import score_held_out
+    return score_held_out(_table(spark, sf_dir, "documents"))
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     from logloom.llm.simhash import fingerprint_documents
     return fingerprint_documents(_table(spark, sf_dir, "documents"))
@@ -53,6 +58,7 @@ QUERIES = {
     "op2_url_rules": op2_url_rules,
     "op3_warc": op3_warc,
     "op6_ngram_jaccard_join": op6_ngram_jaccard_join,
+    "op7_class_lm": op7_class_lm,
     "op8_simhash": op8_simhash,
     "op9_language_id": op9_language_id,
     "op10_mix_sources": op10_mix_sources,

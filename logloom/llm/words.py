@@ -73,10 +73,11 @@ def _chunks(offsets: np.ndarray, data: np.ndarray):
         at = to
 
 
-def word_hashes(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """(word offsets by row, uint64 hash of each word) of a string column."""
+def word_hashes(col: pa.Array, suffixes: bool = False) -> tuple[np.ndarray, ...]:
+    """(word offsets by row, uint64 hash of each word) of a string column; with ``suffixes`` also the last three
+    bytes of each word as one number."""
     offsets, data = utf8(col)
-    hashes, starts_at = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+    hashes, starts_at, last = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
     for at, to in _chunks(offsets, data):
         d = data[at:to].copy()
         d[(d >= 65) & (d <= 90)] += 32
@@ -96,8 +97,14 @@ def word_hashes(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         np.cumsum(_BYTE_VALUES[d] * up[: len(d)], out=total[1:])
         hashes.append(mix64((total[ends] - total[starts]) * down[starts]))
         starts_at.append(starts + at)
+        if suffixes:
+            code = d[ends - 1].astype(np.int64)
+            for k in (2, 3):
+                code = code * 256 + np.where(ends - k >= starts, d[np.maximum(ends - k, 0)], 0)
+            last.append(code)
     starts, hashed = np.concatenate(starts_at), np.concatenate(hashes)
-    return np.searchsorted(starts, offsets, "left"), hashed
+    by_row = np.searchsorted(starts, offsets, "left")
+    return (by_row, hashed, np.concatenate(last)) if suffixes else (by_row, hashed)
 
 
 def shingle_hashes(offsets: np.ndarray, words: np.ndarray, width: int, short: bool = True) -> tuple[np.ndarray, np.ndarray]:
