@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from logloom.llm import mixing, url_rules
+from logloom.llm import chat, licenses, mixing, url_rules
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,6 +28,17 @@ def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "uri", "date")
 
 
+def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from logloom.llm.chat import format_chats
+    return format_chats(_table(spark, sf_dir, "conversations"))
+
+
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from logloom.llm.licenses import document_path, scan_licenses
+    docs = _table(spark, sf_dir, "documents")
+    return scan_licenses(docs.select("doc_id", document_path().alias("path"), "text")).drop("text")
+
+
 def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     from logloom.llm.ngram_join import ngram_jaccard_join
     return ngram_jaccard_join(_table(spark, sf_dir, "documents"))
@@ -57,6 +68,8 @@ QUERIES = {
     "op1_decontaminate": op1_decontaminate,
     "op2_url_rules": op2_url_rules,
     "op3_warc": op3_warc,
+    "op4_chat_format": op4_chat_format,
+    "op5_license_scan": op5_license_scan,
     "op6_ngram_jaccard_join": op6_ngram_jaccard_join,
     "op7_class_lm": op7_class_lm,
     "op8_simhash": op8_simhash,
@@ -65,6 +78,8 @@ QUERIES = {
 }
 
 SQL: dict[str, str] = {
+    "op4_chat_format": chat.ORACLE_SQL,
+    "op5_license_scan": licenses.oracle_sql(),
     "op2_url_rules": url_rules.oracle_sql(),
     "op10_mix_sources": mixing.oracle_sql(),
 }
