@@ -122,13 +122,20 @@ class ItemBlock:
             for k, a, b in zip(near.tolist(), lo.tolist(), hi.tolist(), strict=True):
                 for x in range(a, b):
                     candidates.add((int(row[k]), int(items[x]), int(starts[k]) - int(shifts[x])))
+        # Candidate places of one item that are within its edits of each other are verified together.
         done: dict = {}
-        for r, i, begin in sorted(candidates):
+        placed = sorted(candidates)
+        k = 0
+        while k < len(placed):
+            r, i, begin = placed[k]
             length = len(self.words[i])
             allowed = int(self.max_edits * length)
-            if (r, i) in done and done[r, i][1] <= allowed:
+            while k < len(placed) and placed[k][:2] == (r, i) and placed[k][2] <= begin + allowed:
+                last = placed[k][2]
+                k += 1
+            if (r, i) in done:
                 continue
-            a, b = max(int(offsets[r]), begin - 2 * allowed), min(int(offsets[r + 1]), begin + length + 2 * allowed)
+            a, b = max(int(offsets[r]), begin - 2 * allowed), min(int(offsets[r + 1]), last + length + 2 * allowed)
             distance, end = fitting_distance(self.pattern(i), length, words[a:b].tolist())
             if distance <= allowed:
                 done[r, i] = (max(0, a + end - length - int(offsets[r])), distance)
@@ -193,7 +200,7 @@ def item_blocks(items: DataFrame, max_edits: float, target_recall: float):
         yield block
 
 
-def find_leaks(docs: DataFrame, items: DataFrame, max_edits: float = 0.1, target_recall: float = 0.95) -> DataFrame:
+def find_leaks(docs: DataFrame, items: DataFrame, max_edits: float = 0.2, target_recall: float = 0.98) -> DataFrame:
     """One row per document and item found in it: doc_id, item_id, word_start, distance, item_words.
 
     ``docs`` has doc_id and text, ``items`` item_id and text. An item is found where its word edit distance to a run of
@@ -220,7 +227,7 @@ def find_leaks(docs: DataFrame, items: DataFrame, max_edits: float = 0.1, target
     return spark.createDataFrame([], LEAKS) if out is None else out
 
 
-def decontaminate(docs: DataFrame, items: DataFrame, max_edits: float = 0.1, target_recall: float = 0.95) -> DataFrame:
+def decontaminate(docs: DataFrame, items: DataFrame, max_edits: float = 0.2, target_recall: float = 0.98) -> DataFrame:
     """``docs`` without the rows in which an item is found; all columns are kept."""
     spark = docs.sparkSession
     bounded_batches(spark)
