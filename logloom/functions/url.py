@@ -12,6 +12,11 @@ from pyspark.sql import functions as F
 
 from logloom.functions.logformat import UNKNOWN_DOMAIN
 
+# The schemes whose last path segment may carry ``;params``
+# (besides no scheme at all).
+PARAM_SCHEMES = ["ftp", "hdl", "prospero", "http", "https", "shttp", "rtsp", "rtsps", "rtspu", "sip", "sips",
+                 "mms", "sftp", "tel"]
+
 _SCHEME = r"^[a-zA-Z][a-zA-Z0-9+.-]*:"
 _NETLOC = r"^//[^/?#]*"
 
@@ -36,16 +41,25 @@ def decode_form(c: Column | str) -> Column:
     return F.try_url_decode(_escape_stray_percent(_c(c)))
 
 
+def _clean(c: Column | str) -> Column:
+    """What ``urlsplit`` does first: leading controls and spaces go, and tab,
+    CR and LF go wherever they are."""
+    return F.regexp_replace(F.regexp_replace(_c(c), r"^[\x00-\x20]+", ""), r"[\t\r\n]", "")
+
+
 def _after_netloc(c: Column | str) -> Column:
-    no_scheme = F.regexp_replace(_c(c), _SCHEME, "")
+    no_scheme = F.regexp_replace(_clean(c), _SCHEME, "")
     return F.regexp_replace(no_scheme, _NETLOC, "")
 
 
 def url_path(c: Column | str) -> Column:
-    """F-02 ``urlparse(u).path``: drop scheme, netloc, query, fragment and
-    the ``;params`` of the last segment."""
+    """F-02 ``urlparse(u).path``: drop scheme, netloc, query, fragment and,
+    for the schemes that have them, the ``;params`` of the last segment. An
+    unclosed ``[`` in the netloc, at which ``urlparse`` raises, is part of
+    the netloc here."""
     path = F.regexp_extract(_after_netloc(c), r"^([^?#]*)", 1)
-    return F.regexp_replace(path, r";[^/]*$", "")
+    scheme = F.lower(F.regexp_extract(_clean(c), r"^([a-zA-Z][a-zA-Z0-9+.-]*):", 1))
+    return F.when(scheme.isin("", *PARAM_SCHEMES), F.regexp_replace(path, r";[^/]*$", "")).otherwise(path)
 
 
 def url_query(c: Column | str) -> Column:
@@ -69,7 +83,7 @@ def query_list(c: Column | str) -> Column:
 
 def url_netloc(c: Column | str) -> Column:
     """``urlparse(u).netloc`` (user and port kept)."""
-    return F.regexp_extract(_c(c), r"^(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?//([^/?#]*)", 1)
+    return F.regexp_extract(_clean(c), r"^(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?//([^/?#]*)", 1)
 
 
 def referer_domain(c: Column | str) -> Column:
@@ -81,3 +95,8 @@ def referer_domain(c: Column | str) -> Column:
 def param_key(c: Column | str) -> Column:
     """F-11 key of one ``k=v`` item."""
     return F.split(_c(c), "=")[0]
+
+
+def flat_query_words(items: Column | str) -> Column:
+    """F-13: keys and values of all ``k=v`` items in one flat array."""
+    return F.flatten(F.transform(_c(items), lambda x: F.split(x, "=")))

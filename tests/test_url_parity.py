@@ -8,9 +8,10 @@ from logloom.functions import url
 URIS = ["/a%20b+c", "/100%zz", "/%", "/a?x=1&y=2", "/a?x=&y=2&z", "/a;p=1?q=a+b", "//host/p?x=1",
         "/a#f?x=1", "/a?x=1#f", "*", "http://h/p?x=%2541", "/%ff%fe", "/%E4%BD%A0?k=%3D&a=b=c",
         "/a?x=1;y=2", "/a?=v", "", "/a?x=1&&y=%26", "/s?u=http://b.com/?z=1", "/a;b/c;d?x",
-        "/%2fetc%3Fq=1"]
+        "/%2fetc%3Fq=1", "/a%0Ab", "%20/a", "/p?x=a%0Ab", "android-app:x;y", "%09//h/p;q", "ftp:a;b/c;d",
+        "/a%0D%0A?k=%0Dv", "%00/x", "HTTP:x;y"]
 REFERERS = ["https://a.com/z", "-", "", "android-app://com.x/", "a.com/z", "http://u@h:80/",
-            "https://a.com?x", "//c.com/x"]
+            "https://a.com?x", "//c.com/x", " https://d.com/y", "ht\ntp://e.com/", "\x01//f.com"]
 
 
 def _py(uri):
