@@ -2,17 +2,10 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-# Slices ending past this row use the distributed index instead of top-k
-# (top-k keeps start + n rows in every task).
-TOP_K_SLICE_LIMIT = 100_000
-
-
 def first_n(df: DataFrame, n: int, *order: str) -> DataFrame:
     """O-02: limit after a key sort (top-k per task, then a merge)."""
     return df.orderBy(*order).limit(n)
@@ -28,9 +21,9 @@ def global_row_index(df: DataFrame, order: list[Column | str], index_col: str =
     Ties keep an arbitrary but fixed order: a unique row id is the last
     sort key, so the range partitioner can split a key value that holds a
     large share of the rows across many tasks."""
-    from logloom.sources.staging import staged_dir
+    from logloom.sources.staging import scratch_dir
     spark = df.sparkSession
-    path = staged_dir(spark, "row-index", uuid.uuid4().hex)
+    path = scratch_dir(spark, "row-index")
     keyed = [*order, "_tb"]
     (df.withColumn("_tb", F.monotonically_increasing_id())
        .repartitionByRange(*keyed).sortWithinPartitions(*keyed).drop("_tb")
@@ -48,11 +41,11 @@ def global_row_index(df: DataFrame, order: list[Column | str], index_col: str =
 
 
 def row_slice(df: DataFrame, start: int, n: int, *order: str) -> DataFrame:
-    """O-03/O-04: rows [start, start + n) of the key order. Shallow slices
-    are a top-k; deep ones select by the distributed global row index."""
-    if start + n <= TOP_K_SLICE_LIMIT:
-        return df.orderBy(*order).offset(start).limit(n)
-    idx = global_row_index(df, list(order), "_row")
+    """O-03/O-04: rows [start, start + n) of the key order by the
+    distributed global row index, however deep the slice. Equal keys are
+    ordered by the other columns, so the slice doesn't depend on the layout."""
+    rest = [f.name for f in df.schema.fields if f.name not in order and f.dataType.typeName() not in ("map", "variant")]
+    idx = global_row_index(df, [*order, *rest], "_row")
     return idx.filter((F.col("_row") >= start) & (F.col("_row") < start + n)).drop("_row")
 
 

@@ -97,12 +97,29 @@ def exact_percentile(df: DataFrame, col: str, p: float, max_collect: int = 50_00
     n = stats["n"]
     if n == 0:
         return None
+    # Infinities take the outer ranks; the search runs over finite values.
+    inf = float("inf")
+    ends = clean.agg(F.count_if(F.col("v") == -inf).alias("low"), F.count_if(F.col("v") == inf).alias("high")).first() \
+        if stats["lo"] == -inf or stats["hi"] == inf else {"low": 0, "high": 0}
+    pos = p * (n - 1)
+    k_lo, k_hi = math.floor(pos), math.ceil(pos)
+    if ends["low"] or ends["high"]:
+        finite = n - ends["low"] - ends["high"]
+
+        def at(k: int) -> float:
+            if k < ends["low"]:
+                return -inf
+            if k >= ends["low"] + finite:
+                return inf
+            inner = df.filter(F.abs(F.col(col).cast("double")) < inf)
+            return exact_percentile(inner, col, (k - ends["low"]) / max(1, finite - 1), max_collect, buckets, stage)
+
+        a, b = at(k_lo), at(k_hi)
+        return a if a == b or k_lo == k_hi else a + (pos - k_lo) * (b - a)
     values, staged = clean, None
     if stage or (stage is None and n > max_collect):
         values, staged = _stage_values(df, col)
     try:
-        pos = p * (n - 1)
-        k_lo, k_hi = math.floor(pos), math.ceil(pos)
         v_lo = _kth(values, k_lo, stats["lo"], stats["hi"], n, 0, max_collect, buckets)
         if k_hi == k_lo:
             return v_lo
@@ -122,21 +139,27 @@ def approx_percentile(df: DataFrame, col: str, p: float, accuracy: int = 10_000)
     return df.agg(F.percentile_approx(col, p, accuracy)).first()[0]
 
 
-def flag_above(df: DataFrame, score: str, threshold: float, flag: str = "is_anomaly") -> DataFrame:
-    """M-19/M-23: flag rows strictly above a threshold (a literal)."""
-    return df.withColumn(flag, F.col(score) > F.lit(float(threshold)))
+def flag_above(df: DataFrame, score: str, threshold: float | None, flag: str = "is_anomaly") -> DataFrame:
+    """M-19/M-23: flag rows strictly above a threshold (a literal). A NaN
+    score isn't above anything; a null score has a null flag. Without a
+    threshold (no scores at all) nothing is flagged."""
+    limit = float("inf") if threshold is None else float(threshold)
+    return df.withColumn(flag, (F.col(score) > F.lit(limit)) & ~F.isnan(F.col(score).cast("double")))
 
 
 def flag_percentile(df: DataFrame, score: str, p: float = 0.95, flag: str = "is_anomaly",
-                    exact: bool = True, materialize: bool = False) -> tuple[DataFrame, float]:
+                    exact: bool = True, materialize: bool = False,
+                    max_collect: int = 50_000) -> tuple[DataFrame, float | None]:
     """A-08 + M-18: flag rows above the p-th percentile of ``score``.
 
     With ``materialize`` (for computed scores) the scored rows are written
     once to the shared folder; the percentile passes and the flagged
-    output both read that table, so the scores are computed once."""
+    output both read that table, so the scores are computed once.
+    ``max_collect`` bounds the values that the exact percentile sorts on the
+    driver. The threshold is None when there are no scores."""
     if materialize:
         from logloom.sources.staging import materialize as _mat
         df = _mat(df, "scores")
-    t = (exact_percentile(df, score, p, stage=False if materialize else None) if exact
+    t = (exact_percentile(df, score, p, max_collect, stage=False if materialize else None) if exact
          else approx_percentile(df, score, p))
     return flag_above(df, score, t, flag), t

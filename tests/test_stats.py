@@ -60,9 +60,14 @@ def test_flag_above_is_strict(spark):
     assert [r[0] for r in ST.flag_above(df, "s", 1.0).select("is_anomaly").orderBy("s").collect()] == [False, True]
 
 
-def test_deep_row_slice_uses_distributed_index(spark, monkeypatch):
+def test_row_slice_ties_do_not_depend_on_the_layout(spark):
+    df = spark.range(0, 400).select((F.col("id") % 5).alias("k"), F.col("id").alias("v"))
+    got = [sorted(tuple(r) for r in S.row_slice(df.repartition(p), 75, 10, "k").collect()) for p in (1, 3, 8)]
+    assert got[0] == got[1] == got[2] == sorted([(0, v) for v in range(375, 400, 5)] + [(1, v) for v in range(1, 26, 5)])
+
+
+def test_deep_row_slice_uses_distributed_index(spark):
     df = spark.range(0, 5000).withColumnRenamed("id", "k").repartition(6)
-    monkeypatch.setattr(S, "TOP_K_SLICE_LIMIT", 10)
     got = [r[0] for r in S.row_slice(df, 4000, 7, "k").orderBy("k").collect()]
     assert got == list(range(4000, 4007))
     idx = S.global_row_index(df, ["k"]).collect()
@@ -79,3 +84,20 @@ def test_global_row_index_splits_a_hot_key(spark):
     assert sorted(r["row_index"] for r in rows) == list(range(3000))
     keys_in_order = [r["k"] for r in sorted(rows, key=lambda r: r["row_index"])]
     assert keys_in_order == sorted(keys_in_order)
+
+
+def test_percentile_with_infinities_nan_and_no_rows(spark):
+    import numpy as np
+    finite = [float(x) for x in range(100)]
+    for values in ([*finite, float("inf")], [float("-inf"), *finite, float("inf"), float("inf")], [float("inf")] * 3):
+        df = spark.createDataFrame([(v,) for v in [*values, float("nan")]], "s double")
+        for p in (0.0, 0.3, 0.5, 1.0):
+            at = p * (len(values) - 1)
+            lo, hi = np.sort(values)[[int(np.floor(at)), int(np.ceil(at))]]
+            want = lo if lo == hi else lo + (at - np.floor(at)) * (hi - lo)
+            got = ST.exact_percentile(df, "s", p, max_collect=10)
+            assert got == want or abs(got - want) < 1e-9, (p, got, want)
+    flagged, t = ST.flag_percentile(spark.createDataFrame([(1.0,), (2.0,), (float("nan"),)], "s double"), "s", 0.5)
+    assert t == 1.5 and sorted(r["is_anomaly"] for r in flagged.collect()) == [False, False, True]
+    empty, t = ST.flag_percentile(spark.createDataFrame([], "s double"), "s")
+    assert t is None and empty.collect() == []
