@@ -46,9 +46,7 @@ def weblog_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def weblog_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The fixture as a text table in the shared folder (written once)."""
-    import logloom.plans.weblog_fixture as me
-    key = staging.fingerprint(table_path(sf_dir, "events"), table_path(sf_dir, "pages"),
-                              code_modules=(me,))
+    key = staging.fingerprint(spark, table_path(sf_dir, "events"), table_path(sf_dir, "pages"))
     return staging.stage_text(spark, lambda: weblog_lines(spark, sf_dir), "weblog", key)
 
 

@@ -35,14 +35,7 @@ def domain_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
 def extracted_tables(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
     """Run the full extract once and stage it: known rows partitioned by
     domain, unknown rows unpartitioned (K-01, K-02). Returns both roots."""
-    import logloom.functions.logtime as m1
-    import logloom.functions.text as m2
-    import logloom.functions.url as m3
-    import logloom.operators.weblog as m4
-    import logloom.plans.weblog_fixture as m5
-    import logloom.plans.weblog_queries as m6
-    key = staging.fingerprint(table_path(sf_dir, "events"), table_path(sf_dir, "pages"),
-                              code_modules=(m1, m2, m3, m4, m5, m6))
+    key = staging.fingerprint(spark, table_path(sf_dir, "events"), table_path(sf_dir, "pages"))
     known_root = staging.staged_dir(spark, "extract-known", key)
     unknown_root = staging.staged_dir(spark, "extract-unknown", key)
     if not (staging.path_exists(spark, f"{known_root}/_SUCCESS")
@@ -151,18 +144,15 @@ def q_string_index(spark, sf_dir):
 
 
 def q_one_hot(spark, sf_dir):
-    from pyspark.ml.feature import OneHotEncoder, StringIndexer
+    """M-06 by the extract's own operator."""
     from pyspark.ml.functions import vector_to_array
-    df = _featured(spark, sf_dir).select("req_method")
-    idx = StringIndexer(inputCol="req_method", outputCol="req_method_index").fit(df)
-    distinct = idx.transform(df.distinct())
-    enc = OneHotEncoder(inputCol="req_method_index", outputCol="v").fit(distinct)
-    arr = vector_to_array(F.col("v"))
-    return enc.transform(distinct).select(
+    df = W.add_indexed_columns(_featured(spark, sf_dir).select("req_method"), ["req_method"])
+    arr = vector_to_array(F.col("req_method_onehot"))
+    return df.select(
         "req_method", F.col("req_method_index").cast("bigint").alias("req_method_index"),
         F.size(arr).cast("bigint").alias("onehot_size"),
         F.when(F.array_position(arr, 1.0) > 0, F.array_position(arr, 1.0) - 1)
-         .alias("hot_position"))
+         .alias("hot_position")).distinct()
 
 
 # ---- oracle SQL --------------------------------------------------------------

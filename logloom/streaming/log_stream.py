@@ -15,6 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from logloom.functions.logformat import REGISTERED_DOMAINS
 from logloom.operators import weblog as W
+from logloom.sources.sinks import write_parquet
 
 
 def cleaned_log_stream(spark: SparkSession, log_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
@@ -41,8 +42,8 @@ def start_extract_stream(spark: SparkSession, log_dir: str, known_path: str, unk
         batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             known, unknown = W.split_known(batch, domains)
-            known.write.mode("overwrite").partitionBy("domain").parquet(f"{known_path}/batch_id={batch_id}")
-            unknown.write.mode("overwrite").parquet(f"{unknown_path}/batch_id={batch_id}")
+            write_parquet(known, f"{known_path}/batch_id={batch_id}", mode="overwrite", partition_by=["domain"])
+            write_parquet(unknown, f"{unknown_path}/batch_id={batch_id}", mode="overwrite")
         finally:
             batch.unpersist()
 

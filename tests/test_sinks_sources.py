@@ -60,3 +60,34 @@ def test_hot_partition_value_is_split_across_writers(spark, tmp_path):
         assert spark.read.parquet(path).count() == 60000
     finally:
         spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+
+
+def test_fingerprint_follows_the_input_and_scratch_is_dropped(spark, tmp_path):
+    import os
+    from logloom.sources import staging
+    spark.range(5).write.parquet(str(tmp_path / "t"))
+    first = staging.fingerprint(spark, f"file:{tmp_path}/t")
+    assert first == staging.fingerprint(spark, f"file:{tmp_path}/t")
+    spark.range(6).write.mode("append").parquet(str(tmp_path / "t"))
+    assert first != staging.fingerprint(spark, f"file:{tmp_path}/t")
+    kept = staging.materialize(spark.range(3), "test")
+    path = kept.inputFiles()[0].removeprefix("file://").removeprefix("file:")
+    assert kept.count() == 3 and os.path.exists(path)
+    staging.drop_scratch(spark)
+    assert not os.path.exists(path)
+
+
+def test_two_writers_of_one_staged_table(spark):
+    import uuid
+    from logloom.sources import staging
+    key, ran = uuid.uuid4().hex, []
+
+    def write(path):
+        ran.append(path)
+        if len(ran) == 1:  # a second writer finishes first
+            staging.stage(spark, "race", key, write)
+        spark.range(4).write.parquet(path)
+
+    path = staging.stage(spark, "race", key, write)
+    assert len(ran) == 2 and spark.read.parquet(path).count() == 4
+    assert not staging.path_exists(spark, ran[0]) and not staging.path_exists(spark, f"{path}/{ran[0].rsplit('/')[-1]}")
