@@ -16,7 +16,9 @@ CLASSIFIER_FEATURES = ["fabstime", "day_of_week", "req_method_onehot", "body_byt
 def train_domain_classifier(train: DataFrame, label_col: str = "domain",
                             features: list[str] = CLASSIFIER_FEATURES, max_iter: int = 100):
     """M-24: multinomial logistic regression. The label index is fitted on
-    the training rows (labels unseen in training are skipped at scoring)."""
+    the training rows. A label unseen in training is kept at scoring, with the
+    index after all known labels: no class is predicted as that one, so such
+    rows count as errors."""
     pipe = Pipeline(stages=[
         StringIndexer(inputCol=label_col, outputCol="label", handleInvalid="skip"),
         VectorAssembler(inputCols=features, outputCol="features"),
@@ -25,7 +27,9 @@ def train_domain_classifier(train: DataFrame, label_col: str = "domain",
         LogisticRegression(featuresCol="features", labelCol="label", family="multinomial",
                            maxIter=max_iter, maxBlockSizeInMB=8.0),
     ])
-    return pipe.fit(train)
+    model = pipe.fit(train)
+    model.stages[0].setHandleInvalid("keep")
+    return model
 
 
 def save_model(model, path: str, overwrite: bool = False) -> None:

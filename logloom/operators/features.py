@@ -5,8 +5,8 @@ column-expression forms where a query needs plain columns."""
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import (CountVectorizer, HashingTF, MinMaxScaler, NGram,
+from pyspark.ml import Pipeline
+from pyspark.ml.feature import (HashingTF, MinMaxScaler, NGram,
                                 StandardScaler, Tokenizer, VectorAssembler)
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
@@ -75,18 +75,33 @@ def hash_features(df: DataFrame, input_col: str, output_col: str,
                      numFeatures=num_features).transform(df)
 
 
-def count_vectorize(df: DataFrame, input_col: str, output_col: str,
-                    vocab_size: int = 1 << 18, min_df: float = 1.0):
-    """M-04: vocabulary fit (term counts aggregated on executors, the top
-    ``vocab_size`` terms kept in the model) and transform."""
-    model = CountVectorizer(inputCol=input_col, outputCol=output_col,
-                            vocabSize=vocab_size, minDF=min_df).fit(df)
-    return model, model.transform(df)
+def vocabulary(df: DataFrame, input_col: str) -> DataFrame:
+    """M-04 vocabulary: every term with its count and its index by count,
+    largest first (ties alphabetical). Counted by a partial and a final
+    aggregate and ranked by ``index_labels``: no size cap, nothing on the
+    driver."""
+    terms = df.select(F.explode(input_col).alias("term")).filter(F.col("term").isNotNull())
+    return index_labels(terms, "term", "term_index", count_col="n")
 
 
-def index_labels(df: DataFrame, col: str, index_col: str | None = None) -> DataFrame:
+def count_vectorize(df: DataFrame, input_col: str, output_col: str) -> tuple[DataFrame, DataFrame]:
+    """M-04: (vocabulary, ``df`` with its term counts). ``output_col`` is the
+    sparse row: an array of (term_index, n) in index order, empty where the
+    row has no terms."""
+    words = vocabulary(df, input_col)
+    rows = df.withColumn("_row", F.monotonically_increasing_id()).checkpoint(eager=True)
+    counts = rows.select("_row", F.explode(input_col).alias("term")).groupBy("_row", "term").agg(F.count(F.lit(1)).alias("_n"))
+    sparse = counts.join(words.select("term", "term_index"), "term").groupBy("_row").agg(
+        F.array_sort(F.collect_list(F.struct("term_index", F.col("_n").alias("n")))).alias(output_col))
+    out = rows.join(sparse, "_row", "left").drop("_row")
+    empty = F.array().cast(out.schema[output_col].dataType)
+    return words, out.withColumn(output_col, F.coalesce(output_col, empty))
+
+
+def index_labels(df: DataFrame, col: str, index_col: str | None = None, count_col: str | None = None) -> DataFrame:
     """M-05 without a driver-side label list: (value, index) ordered by
-    frequency desc then value, computed as a distributed rank.
+    frequency desc then value, computed as a distributed rank; with
+    ``count_col`` also the frequency.
 
     The value counts get a global row index in (count desc, value) order
     (``sampling.global_row_index``).
@@ -99,9 +114,4 @@ def index_labels(df: DataFrame, col: str, index_col: str | None = None) -> DataF
     # and the write reads it again; the input itself is scanned once.
     counts = df.groupBy(col).agg(F.count(F.lit(1)).alias("_n")).checkpoint(eager=True)
     ranked = global_row_index(counts, [F.col("_n").desc(), F.col(col).asc()], index_col)
-    return ranked.select(col, index_col)
-
-
-def fit_pipeline(df: DataFrame, stages: list) -> PipelineModel:
-    """M-11."""
-    return Pipeline(stages=stages).fit(df)
+    return ranked.select(col, index_col, *([F.col("_n").alias(count_col)] if count_col else []))

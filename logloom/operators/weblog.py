@@ -7,7 +7,7 @@
 
 from __future__ import annotations
 
-from pyspark.ml.feature import HashingTF, OneHotEncoder, StringIndexer
+from pyspark.ml.feature import HashingTF, OneHotEncoder
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -82,19 +82,21 @@ def accepted_lines(lines: DataFrame, value_col: str = "value") -> DataFrame:
     return lines.filter(F.col(value_col).rlike(LOG_PATTERN))
 
 
-# Text a double cast reads as NaN: optional sign, any case, surrounded by
-# whitespace or control characters. Tested with a pattern rather than
+# Text a double cast reads as NaN, surrounded by whitespace or control
+# characters: any case without a sign, exactly NaN after one. Tested with a pattern rather than
 # ``isnan(try_cast(c AS double))``: that cast throws and catches an
 # exception for every non-numeric field, which dominates the cost.
-_NAN_TEXT = r"^[\x00-\x20]*[+-]?(?i:nan)[\x00-\x20]*$"
+_NAN_TEXT = r"^[\x00-\x20]*(?:(?i:nan)|[+-]NaN)[\x00-\x20]*$"
 
 
 def _to_null(name: str, dtype: str) -> Column:
     c = F.col(name)
+    if dtype in ("double", "float"):
+        return F.when(~F.isnan(c), c).alias(name)
     if dtype != "string":
         # An integral value is never blank or NaN text.
         return c.alias(name)
-    maybe_nan = (F.length(c) < 24) & (c.contains("a") | c.contains("A"))
+    maybe_nan = c.contains("a") | c.contains("A")
     missing = c.isNull() | (F.trim(c) == "") | (maybe_nan & c.rlike(_NAN_TEXT))
     return F.when(~missing, c).alias(name)
 
@@ -129,55 +131,37 @@ def add_time_columns(df: DataFrame) -> DataFrame:
               .withColumn("day_of_week", logtime.day_of_week("fdate_time")))
 
 
-def add_path_features(df: DataFrame, n: int = 9, num_features: int = 16384) -> DataFrame:
+def add_path_features(df: DataFrame, n: int = 9, num_features: int = 16384, items: str = "keys") -> DataFrame:
     """F-09, M-01, F-11, F-12, M-03: character n-grams of the path plus
-    parameter keys, hashed."""
+    parameter keys (``items="keys"``) or whole ``k=v`` items
+    (``items="pairs"``), hashed."""
+    if items not in ("keys", "pairs"):
+        raise ValueError("items must be 'keys' or 'pairs'")
+    params = F.transform("clean_query_list", url.param_key) if items == "keys" else F.col("clean_query_list")
     out = (df.withColumn("path_characters", text.characters("clean_path"))
              .withColumn("path_ngrams", text.ngrams("path_characters", n))
-             .withColumn("url_features", F.concat(
-                 "path_ngrams", F.transform("clean_query_list", url.param_key))))
+             .withColumn("url_features", F.concat("path_ngrams", params)))
     return HashingTF(inputCol="url_features", outputCol="hash_url_features",
                      numFeatures=num_features).transform(out)
 
 
-# Up to this many distinct values an index column is fitted with
-# StringIndexer (its label list goes to the driver and, inside the model,
-# to every task); above it the distributed rank of
-# ``features.index_labels`` is joined back instead.
-MAX_DRIVER_LABELS = 200_000
-
+def add_indexed_columns(df: DataFrame, columns=("req_method", "domain"), unknown: bool = False) -> DataFrame:
+    """M-05 + M-06: frequency-ordered index (ties alphabetical) and one-hot
+    with the last category dropped (its rows are all zero).
 
-def _distributed_index(df: DataFrame, c: str) -> DataFrame:
-    """Frequency index without a label list on the driver, the same values
-    as ``StringIndexer(handleInvalid="keep")``: the rank table is joined on
-    the value (AQE broadcasts it only when it measures small, and splits a
-    hot value's rows), a missing value gets index ``n_labels``, and the
-    column carries nominal metadata with ``n_labels + 1`` values so the
-    one-hot size matches the StringIndexer path."""
+    The index is the distributed rank of ``features.index_labels``, joined
+    back on the value: no label list reaches the driver, AQE broadcasts the
+    ranks only when they measure small and splits a hot value's rows. With
+    ``unknown``, a missing value gets an index and a slot of its own after
+    the labels; without it such a row is an error, as in StringIndexer."""
     from logloom.operators.features import index_labels
-    ranks = index_labels(df, c, "_idx")
-    n_labels = ranks.count()  # the rank table is staged: a cheap scan
-    meta = {"ml_attr": {"type": "nominal", "num_vals": n_labels + 1, "name": f"{c}_index"}}
-    out = df.join(ranks, c, "left")
-    idx = F.coalesce(F.col("_idx").cast("double"), F.lit(float(n_labels)))
-    return out.withColumn(f"{c}_index", idx.alias(f"{c}_index", metadata=meta)).drop("_idx")
-
-
-def add_indexed_columns(df: DataFrame, columns=("req_method", "domain"),
-                        max_driver_labels: int = MAX_DRIVER_LABELS) -> DataFrame:
-    """M-05 + M-06: frequency-ordered index (ties alphabetical) and one-hot
-    with the last category dropped. The distinct counts are estimated first
-    (one HyperLogLog pass for all columns): a bounded label list is fitted with
-    StringIndexer, a larger one with the distributed rank
-    (``_distributed_index``)."""
-    columns = list(columns)
-    est = df.agg(*[F.approx_count_distinct(c).alias(c) for c in columns]).first()
     for c in columns:
-        if est[c] <= max_driver_labels:
-            df = StringIndexer(inputCol=c, outputCol=f"{c}_index",
-                               handleInvalid="keep").fit(df).transform(df)
-        else:
-            df = _distributed_index(df, c)
+        ranks = index_labels(df.filter(F.col(c).isNotNull()), c, "_idx")
+        n_labels = ranks.count()  # the rank table is staged: a cheap scan
+        meta = {"ml_attr": {"type": "nominal", "num_vals": n_labels + int(unknown), "name": f"{c}_index"}}
+        missing = F.lit(float(n_labels)) if unknown else F.raise_error(F.lit(f"missing value in {c}")).cast("double")
+        idx = F.coalesce(F.col("_idx").cast("double"), missing)
+        df = df.join(ranks, c, "left").withColumn(f"{c}_index", idx.alias(f"{c}_index", metadata=meta)).drop("_idx")
         df = OneHotEncoder(inputCol=f"{c}_index", outputCol=f"{c}_onehot").fit(df).transform(df)
     return df
 

@@ -45,32 +45,33 @@ def q_kmeans_traffic(spark, sf_dir):
 
 
 def q_hashed_url_features(spark, sf_dir):
-    """M-03 summary per page: non-zero buckets and total term weight of the
-    HashingTF vector. ``array_remove`` (codegen'd) drops the zeros before
-    any lambda runs."""
+    """M-03 summary per page: total term weight of the HashingTF vector and
+    whether each term has a bucket. The vector's own (sparse) values are
+    read from its struct form, so no row becomes a dense array."""
     pages = read_table(spark, sf_dir, "pages", "page_id", "url").withColumn(
         "dec", url.decode_uri("url"))
     feats = pages.withColumn("url_features", F.concat(
         text.ngrams(text.characters(url.url_path("dec")), 9),
         F.transform(url.query_list("dec"), url.param_key)))
     hashed = FE.hash_features(feats, "url_features", "hash_url_features", 16384)
-    nz = F.array_remove(vector_to_array("hash_url_features"), 0.0)
-    return hashed.select("page_id", F.size(nz).alias("nnz"),
-                         F.aggregate(nz, F.lit(0.0), lambda a, v: a + v).alias("total"))
+    values = F.unwrap_udt("hash_url_features").getField("values")
+    distinct = F.size(F.array_distinct("url_features"))
+    return hashed.select("page_id", F.aggregate(values, F.lit(0.0), lambda a, v: a + v).alias("total"),
+                         ((F.size(values) > 0) == (distinct > 0)).alias("any_bucket"), (F.size(values) <= distinct).alias("no_more_buckets"))
 
 
 def q_param_vocabulary(spark, sf_dir):
-    """M-04 vocabulary. Index order among equal counts is arbitrary in
-    CountVectorizer, so the query returns the terms (the set is exact while
-    the vocabulary size cap is not reached)."""
+    """M-04 vocabulary: every term, its count and index."""
     pages = read_table(spark, sf_dir, "pages", "url").select(
         url.query_list(url.decode_uri("url")).alias("params"))
-    model, _ = FE.count_vectorize(pages, "params", "param_counts")
-    return spark.createDataFrame([(t,) for t in model.vocabulary], "term string")
+    return FE.vocabulary(pages, "params")
 
 
 SQL = {
-    "param_vocabulary": f"""SELECT DISTINCT unnest({O.query_list(O.decode_uri('url'))}) AS term FROM pages""",
+    "hashed_url_features": f"""SELECT page_id, CAST(greatest(length(path) - 8, 0) + len(items) AS DOUBLE) AS total, TRUE AS any_bucket, TRUE AS no_more_buckets
+FROM (SELECT page_id, {O.url_path(O.decode_uri('url'))} AS path, {O.query_list(O.decode_uri('url'))} AS items FROM pages)""",
+    "param_vocabulary": f"""SELECT term, CAST(row_number() OVER (ORDER BY n DESC, term) - 1 AS BIGINT) AS term_index, n
+FROM (SELECT term, count(*) AS n FROM (SELECT unnest({O.query_list(O.decode_uri('url'))}) AS term FROM pages) GROUP BY term)""",
     "classification_metrics": """WITH p AS (SELECT CAST(quality AS DOUBLE) AS y, CAST(1 - toxic AS DOUBLE) AS p FROM labels),
 conf AS (SELECT y, p, count(*) AS n FROM p GROUP BY y, p),
 lab AS (SELECT y, sum(n) AS n_label, sum(CASE WHEN y = p THEN n ELSE 0 END) AS tp FROM conf GROUP BY y),

@@ -29,6 +29,17 @@ def test_classifier_fit_save_load(spark, tmp_path):
     assert C.load_logistic(str(tmp_path / "lr")).numClasses == 2
 
 
+def test_unseen_labels_stay_and_count_as_errors(spark):
+    rows = [("a.com", 1.0, 2, Vectors.dense([1.0, 0.0]), 10, Vectors.sparse(4, [0], [1.0])),
+            ("b.com", 9.0, 3, Vectors.dense([0.0, 1.0]), 900, Vectors.sparse(4, [3], [1.0]))]
+    columns = ["domain", *C.CLASSIFIER_FEATURES]
+    model = C.train_domain_classifier(spark.createDataFrame(rows * 10, columns), max_iter=20)
+    test = spark.createDataFrame([*rows, ("new.com", *rows[0][1:])], columns)
+    scored = model.transform(test)
+    assert scored.count() == 3 and scored.where("domain = 'new.com'").first()["label"] == 2.0
+    assert C.classification_metrics(scored).first()["accuracy"] == pytest.approx(2 / 3)
+
+
 def test_kmeans(spark):
     rows = [(float(i % 2) * 10 + 0.1 * i, 1.0) for i in range(20)]
     df = spark.createDataFrame(rows, "a double, b double")

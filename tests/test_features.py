@@ -3,7 +3,7 @@
 from pyspark.ml.feature import NGram, StringIndexer, Tokenizer
 from pyspark.sql import functions as F
 
-from logloom.functions import text
+from logloom.functions import text, url
 from logloom.operators import features as FE
 
 
@@ -48,13 +48,14 @@ def test_scalers(spark):
 
 def test_count_vectorizer(spark):
     df = spark.createDataFrame([(["a=1", "b=2"],), (["a=1"],)], "p array<string>")
-    model, out = FE.count_vectorize(df, "p", "v")
-    assert model.vocabulary[0] == "a=1" and out.count() == 2
+    vocabulary, out = FE.count_vectorize(df.unionByName(df.selectExpr("cast(null as array<string>) p")), "p", "v")
+    assert {(r.term, r.n, r.term_index) for r in vocabulary.collect()} == {("a=1", 2, 0), ("b=2", 1, 1)}
+    assert sorted([[tuple(x) for x in r.v] for r in out.collect()]) == [[], [], [(0, 1)], [(0, 1), (1, 1)]]
 
 
 def test_flatten_query_words(spark):
     """F-13: parameter items split into words and flattened."""
     df = spark.createDataFrame([(["a=1", "b=2"],)], "q array<string>")
-    r = df.select(F.flatten(F.transform("q", lambda x: F.split(x, "="))).alias("w")).first()
+    r = df.select(url.flat_query_words("q").alias("w")).first()
     assert list(r["w"]) == ["a", "1", "b", "2"]
 

@@ -93,16 +93,42 @@ def test_hits_by_domain(spark):
     assert hits == {"ref.example.com": 2, "Unknown": 2}
 
 
-def test_indexed_columns_distributed_path_matches_string_indexer(spark):
+def test_indexed_columns_match_string_indexer_and_encoder(spark):
+    """The last category has no slot: its rows are all zero."""
+    from pyspark.ml.feature import OneHotEncoder, StringIndexer
     from pyspark.ml.functions import vector_to_array
-    from logloom.operators import weblog as W
     rows = [("GET", "a.com")] * 5 + [("POST", "b.com")] * 3 + [("GET", "c.com")] * 3 + [("PUT", "d.com")]
     df = spark.createDataFrame(rows, "req_method string, domain string")
+    columns = ["req_method", "domain"]
 
     def collect(out):
-        return sorted((r["req_method"], r["domain"], r["req_method_index"], r["domain_index"],
-                       tuple(r["m"]), tuple(r["d"]))
-                      for r in out.select("req_method", "domain", "req_method_index", "domain_index",
-                                          vector_to_array("req_method_onehot").alias("m"),
-                                          vector_to_array("domain_onehot").alias("d")).collect())
-    assert collect(W.add_indexed_columns(df, max_driver_labels=0)) == collect(W.add_indexed_columns(df))
+        return sorted(tuple(map(str, r)) for r in out.select(
+            *columns, *(f"{c}_index" for c in columns), *(vector_to_array(f"{c}_onehot").alias(c[0]) for c in columns)).collect())
+
+    want = df
+    for c in columns:
+        want = StringIndexer(inputCol=c, outputCol=f"{c}_index").fit(want).transform(want)
+        want = OneHotEncoder(inputCol=f"{c}_index", outputCol=f"{c}_onehot").fit(want).transform(want)
+    got = W.add_indexed_columns(df)
+    assert collect(got) == collect(want)
+    assert {tuple(r[0]) for r in got.where("req_method = 'PUT'").select(vector_to_array("req_method_onehot")).collect()} == {(0.0, 0.0)}
+
+
+def test_indexed_columns_with_missing_values(spark):
+    from pyspark.ml.functions import vector_to_array
+    df = spark.createDataFrame([("GET",), ("GET",), ("PUT",), (None,)], "m string")
+    got = {r.m: (r.m_index, tuple(r.v)) for r in W.add_indexed_columns(df, ["m"], unknown=True).select("m", "m_index", vector_to_array("m_onehot").alias("v")).collect()}
+    assert got == {"GET": (0.0, (1.0, 0.0)), "PUT": (1.0, (0.0, 1.0)), None: (2.0, (0.0, 0.0))}
+
+
+def test_nan_text_and_nan_numbers_become_null(spark):
+    rows = [(" " * 30 + "NaN", float("nan")), ("nan", 1.0), ("NAN ", 2.0), ("+NaN", 3.0), ("-NaN", 4.0), ("+nan", 5.0), ("-nan", 6.0), ("banana", 7.0), ("  ", 8.0)]
+    got = W.blank_to_null(spark.createDataFrame(rows, "t string, d double")).collect()
+    assert [r.t for r in got] == [None, None, None, None, None, "+nan", "-nan", "banana", None]
+    assert [r.d for r in got] == [None, 1.0, 2.0, 3.0, 4.0, 5.0, 6.0, 7.0, 8.0]
+
+
+def test_path_features_with_whole_items(spark):
+    df = spark.createDataFrame([("/a", ["k=v"])], "clean_path string, clean_query_list array<string>")
+    assert W.add_path_features(df).first()["url_features"] == ["k"]
+    assert W.add_path_features(df, items="pairs").first()["url_features"] == ["k=v"]
