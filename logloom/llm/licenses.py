@@ -113,7 +113,8 @@ def scan_licenses(files: DataFrame, templates=TEMPLATES, header_cosine: float =
     """``files`` (path, text and others) with license, cosine, and license_from: the path of the file it is from, which
     is the file's own path, or that of the licence file it inherits from, or null."""
     scratch = Scratch(files.sparkSession, "licenses")
-    files = files.drop("license", "cosine", "license_from").withColumn("_id", F.xxhash64("path", "text"))
+    files = files.drop("license", "cosine", "license_from").withColumn("_id", F.struct(
+        *(F.xxhash64(F.lit(k), F.col("path").isNull(), "path", F.col("text").isNull(), "text").alias(f"h{k}") for k in (1, 2))))
     scored = scratch.save(segment_cosines(files.select("_id", "text").distinct(), templates, min(header_cosine, file_cosine)), "cosines")
     first = lambda: F.min_by(F.struct("license", "cosine"), F.struct(-F.col("cosine"), F.col("license"))).alias("own")
     own = scored.where(F.col("cosine") >= header_cosine).groupBy("_id").agg(first()).select("_id", "own.*")
