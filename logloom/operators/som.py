@@ -16,6 +16,8 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 from pyspark import StorageLevel
+from pyspark.ml.functions import array_to_vector
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import (ArrayType, DoubleType, IntegerType, LongType,
@@ -24,22 +26,41 @@ from pyspark.sql.types import (ArrayType, DoubleType, IntegerType, LongType,
 from logloom.sources.tables import spread
 from logloom.operators.vectors import FEATURES, as_double_array, batch_matrix, check_model_size
 
-_CHUNK = 512  # rows per distance block: chunk x nodes x dim doubles in memory
+_BLOCK = 1 << 22  # doubles of one distance block (32 MB), whatever the grid and the dimension
 
 
 def _bmu_and_dist(x: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Exact squared distances in row blocks; ties go to the lower node."""
+    """Exact best-matching units in row blocks; ties go to the lower node.
+
+    Squared distances come from one matrix product per block
+    (|x|^2 - 2 x.w + |w|^2); nodes within its rounding error of the least are
+    compared again by differences, so the result is that of the plain form."""
     idx = np.empty(len(x), dtype=np.int64)
     dist = np.empty(len(x), dtype=np.float64)
-    for s in range(0, len(x), _CHUNK):
-        blk = x[s:s + _CHUNK]
-        d2 = ((blk[:, None, :] - w[None, :, :]) ** 2).sum(axis=2)
+    w2 = (w ** 2).sum(axis=1)
+    rows = max(1, _BLOCK // max(1, max(w.shape)))
+    for s in range(0, len(x), rows):
+        blk = x[s:s + rows]
+        x2 = (blk ** 2).sum(axis=1)
+        d2 = x2[:, None] + w2[None, :] - 2.0 * (blk @ w.T)
         j = d2.argmin(axis=1)
-        idx[s:s + _CHUNK] = j
-        dist[s:s + _CHUNK] = np.sqrt(d2[np.arange(len(blk)), j])
+        slack = 1e-12 * w.shape[1] * (x2 + w2.max(initial=0.0)) + 1e-300
+        close = d2 <= (d2[np.arange(len(blk)), j] + slack)[:, None]
+        for r in np.flatnonzero(close.sum(axis=1) > 1):
+            nodes = np.flatnonzero(close[r])
+            j[r] = nodes[((w[nodes] - blk[r]) ** 2).sum(axis=1).argmin()]
+        idx[s:s + rows] = j
+        dist[s:s + rows] = np.sqrt(((blk - w[j]) ** 2).sum(axis=1))
     return idx, dist
 
 
+def _sum_by_node(idx: np.ndarray, x: np.ndarray, sums: np.ndarray) -> None:
+    order = np.argsort(idx, kind="stable")
+    nodes, first = np.unique(idx[order], return_index=True)
+    if len(nodes):
+        sums[nodes] += np.add.reduceat(x[order], first, axis=0)
+
+
 def grid_coords(m: int, n: int) -> np.ndarray:
     return np.array([(r, c) for r in range(m) for c in range(n)], dtype=np.float64)
 
@@ -55,6 +76,30 @@ def neighbourhood(m: int, n: int, sigma: float, cutoff: float | None = None) ->
     return h
 
 
+def grid_smooth(values: np.ndarray, m: int, n: int, sigma: float, cutoff: float | None = None) -> np.ndarray:
+    """``neighbourhood(m, n, sigma, cutoff).T @ values`` without the nodes x
+    nodes kernel: the kernel of two grid rows depends on their distance only,
+    so one matrix of the longer side squared serves each row distance."""
+    if n < m:
+        turned = values.reshape(m, n, -1).transpose(1, 0, 2).reshape(m * n, -1)
+        out = grid_smooth(turned, n, m, sigma, cutoff)
+        return out.reshape(n, m, -1).transpose(1, 0, 2).reshape(values.shape)
+    grid = values.reshape(m, n, -1)
+    out = np.zeros_like(grid, dtype=np.float64)
+    step = np.arange(n)
+    across = (step[:, None] - step[None, :]).astype(np.float64) ** 2
+    for d in range(m):
+        d2 = across + float(d) * d
+        kernel = np.exp(-d2 / (2.0 * sigma * sigma))
+        if cutoff is not None:
+            kernel = np.where(np.sqrt(d2) < cutoff, kernel, 0.0)
+        for r in range(m - d):
+            out[r + d] += kernel @ grid[r]
+            if d:
+                out[r] += kernel @ grid[r + d]
+    return out.reshape(values.shape)
+
+
 @dataclass
 class SomModel:
     m: int
@@ -136,7 +181,7 @@ def bmu_statistics(df: DataFrame, features: str | list[str], weights: np.ndarray
                 continue
             x = batch_matrix(pdf[FEATURES])
             idx, _ = _bmu_and_dist(x, w)
-            np.add.at(sums, idx, x)
+            _sum_by_node(idx, x, sums)
             counts += np.bincount(idx, minlength=k)
         hit = np.nonzero(counts)[0]
         if len(hit):
@@ -144,12 +189,11 @@ def bmu_statistics(df: DataFrame, features: str | list[str], weights: np.ndarray
                                 "s": [sums[j] for j in hit]})
 
     part = src.mapInPandas(run, schema)
-    long = part.select("bmu", "n", F.posexplode("s").alias("d", "v"))
-    agg = long.groupBy("bmu", "d").agg(F.sum("v").alias("v"), F.sum("n").alias("n")).collect()
+    agg = part.groupBy("bmu").agg(Summarizer.sum(array_to_vector("s")).alias("s"), F.sum("n").alias("n"))
     s = np.zeros((k, dim))
     c = np.zeros(k)
-    for r in agg:
-        s[r["bmu"], r["d"]] = r["v"]
+    for r in agg.toLocalIterator():  # one row a node at most
+        s[r["bmu"]] = r["s"].toArray()
         c[r["bmu"]] = r["n"]
     return s, c
 
@@ -158,8 +202,10 @@ def batch_update(weights: np.ndarray, sums: np.ndarray, counts: np.ndarray,
                  kernel: np.ndarray, rate: float = 1.0) -> np.ndarray:
     """M-16: w_j <- w_j + rate * (sum_b h[b,j] S_b / sum_b h[b,j] N_b - w_j);
     a node with no weight mass keeps its weights."""
-    num = kernel.T @ sums
-    den = kernel.T @ counts
+    return _toward(weights, kernel.T @ sums, kernel.T @ counts, rate)
+
+
+def _toward(weights: np.ndarray, num: np.ndarray, den: np.ndarray, rate: float) -> np.ndarray:
     target = np.where(den[:, None] > 0, num / np.where(den > 0, den, 1.0)[:, None], weights)
     return weights + rate * (target - weights)
 
@@ -194,7 +240,7 @@ def train_som(df: DataFrame, features: str | list[str], m: int = 10, n: int = 10
             sig = max(sigma * frac, 1e-3)
             rate = learning_rate * frac if decay else learning_rate
             s, c = bmu_statistics(data, FEATURES, w)
-            w = batch_update(w, s, c, neighbourhood(m, n, sig, cutoff), rate)
+            w = _toward(w, grid_smooth(s, m, n, sig, cutoff), grid_smooth(c[:, None], m, n, sig, cutoff)[:, 0], rate)
         return SomModel(m, n, w)
     finally:
         if persist:

@@ -74,3 +74,28 @@ def test_variant_without_decay_and_with_cutoff(spark):
     assert model.weights.shape == (24, 3)
     assert np.all(model.weights >= x.min(0) - 1e-12) and np.all(model.weights <= x.max(0) + 1e-12)
     assert np.allclose(model.weights, again.weights)
+
+
+def test_grid_smoothing_equals_the_kernel_product():
+    rng = np.random.default_rng(2)
+    for m, n in ((3, 7), (7, 3), (1, 5), (4, 4)):
+        for cutoff in (None, 2.5):
+            values = rng.random((m * n, 4))
+            assert np.allclose(SOM.grid_smooth(values, m, n, 1.3, cutoff), SOM.neighbourhood(m, n, 1.3, cutoff).T @ values)
+
+
+def test_product_form_keeps_the_plain_winner_and_ties():
+    rng = np.random.default_rng(6)
+    w = rng.integers(0, 3, (40, 5)).astype(float) + 1e6
+    x = rng.integers(0, 3, (300, 5)).astype(float) + 1e6
+    idx, dist = SOM._bmu_and_dist(x, w)
+    d2 = ((x[:, None, :] - w[None, :, :]) ** 2).sum(axis=2)
+    assert np.array_equal(idx, d2.argmin(axis=1)) and np.allclose(dist, np.sqrt(d2.min(axis=1)))
+
+
+def test_wide_grid_with_a_thousand_features(spark):
+    """M-13's own grid, 10 x 1013, with 1,006 features: blocks stay at 32 MB."""
+    from pyspark.sql import functions as F
+    df = spark.range(60).select(F.transform(F.sequence(F.lit(0), F.lit(1005)), lambda k: ((F.col("id") * 7 + k) % 13).cast("double")).alias("f"))
+    model = SOM.train_som(df, "f", 10, 1013, iterations=1, sigma=506, learning_rate=0.4, decay=False, cutoff=506, seed=2)
+    assert model.weights.shape == (10130, 1006) and np.isfinite(model.weights).all()
