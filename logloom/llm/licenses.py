@@ -116,21 +116,22 @@ def scan_licenses(files: DataFrame, templates=TEMPLATES, header_cosine: float =
     files = files.drop("license", "cosine", "license_from").withColumn("_id", F.struct(
         *(F.xxhash64(F.lit(k), F.col("path").isNull(), "path", F.col("text").isNull(), "text").alias(f"h{k}") for k in (1, 2))))
     scored = scratch.save(segment_cosines(files.select("_id", "text").distinct(), templates, min(header_cosine, file_cosine)), "cosines")
-    first = lambda: F.min_by(F.struct("license", "cosine"), F.struct(-F.col("cosine"), F.col("license"))).alias("own")
-    own = scored.where(F.col("cosine") >= header_cosine).groupBy("_id").agg(first()).select("_id", "own.*")
-    whole = scored.where((F.col("segment") == 0) & (F.col("cosine") >= file_cosine)).groupBy("_id").agg(first()).select("_id", "own.*")
+    first = lambda: F.min_by(F.struct("license", "cosine"), F.struct(-F.col("cosine"), F.col("license"))).alias("_own")
+    own = scored.where(F.col("cosine") >= header_cosine).groupBy("_id").agg(first())
+    whole = scored.where((F.col("segment") == 0) & (F.col("cosine") >= file_cosine)).groupBy("_id").agg(first())
     paths = files.select("_id", "path", _parent("path").alias("_dir")).where("path is not null")
-    notices = paths.join(whole, "_id").groupBy("_dir").agg(F.min_by(F.struct("license", "cosine", "path"), F.struct(-F.col("cosine"), F.col("license"), F.col("path"))).alias("notice"))
+    notices = paths.join(whole, "_id").select("_dir", F.struct("_own.license", "_own.cosine", "path").alias("_notice"))
+    notices = notices.groupBy("_dir").agg(F.min_by("_notice", F.struct(-F.col("_notice.cosine"), F.col("_notice.license"), F.col("_notice.path"))).alias("_notice"))
 
     directories = paths.select("_dir").distinct()
     levels = F.split("_dir", "/")
     above = F.transform(F.sequence(F.lit(0), F.size(levels)), lambda n: F.struct(n.alias("depth"), F.array_join(F.slice(levels, 1, n), "/").alias("_above")))
     above = directories.select("_dir", F.explode(above).alias("at")).select("_dir", "at.depth", "at._above")
-    nearest = above.join(notices.withColumnRenamed("_dir", "_above"), "_above").groupBy("_dir").agg(F.max_by("notice", "depth").alias("notice"))
+    nearest = above.join(notices.withColumnRenamed("_dir", "_above"), "_above").groupBy("_dir").agg(F.max_by("_notice", "depth").alias("_notice"))
     out = files.withColumn("_dir", _parent("path")).join(own, "_id", "left").join(nearest, "_dir", "left")
-    mine = F.col("license").isNotNull()
-    return out.select(*(c for c in files.columns if c != "_id"), F.coalesce("license", "notice.license").alias("license"),
-                      F.coalesce("cosine", "notice.cosine").alias("cosine"), F.when(mine, F.col("path")).otherwise(F.col("notice.path")).alias("license_from"))
+    return out.select(*(c for c in files.columns if c != "_id"), F.coalesce("_own.license", "_notice.license").alias("license"),
+                      F.coalesce("_own.cosine", "_notice.cosine").alias("cosine"),
+                      F.when(F.col("_own").isNotNull(), F.col("path")).otherwise(F.col("_notice.path")).alias("license_from"))
 
 
 def document_path() -> Column:

@@ -1,5 +1,6 @@
 import math
 import re
+from collections import Counter
 
 from logloom.llm.licenses import TEMPLATES, scan_licenses
 
@@ -9,9 +10,10 @@ def plain(rows, least=0.6):
     split = lambda t: [w for w in re.split("[^a-z0-9]+", t.lower()) if w]
     texts = {(p, t) for p, t in rows if t is not None}
     vocabulary = {w for _, t in TEMPLATES for w in split(t)}
-    df = {w: sum(w in split(t) for _, t in texts) for w in vocabulary}
+    sets = [set(split(t)) for _, t in texts]
+    df = {w: sum(w in s for s in sets) for w in vocabulary}
     idf = lambda w: math.log((len(texts) + 1) / (df.get(w, 0) + 1)) + 1
-    vector = lambda ws: {w: ws.count(w) * idf(w) for w in ws}
+    vector = lambda ws: {w: n * idf(w) for w, n in Counter(ws).items()}
     length = lambda v: math.sqrt(sum(x * x for x in v.values()))
     templates = [(n, vector(split(t))) for n, t in TEMPLATES]
 
