@@ -133,11 +133,11 @@ class ItemBlock:
             while k < len(placed) and placed[k][:2] == (r, i) and placed[k][2] <= begin + allowed:
                 last = placed[k][2]
                 k += 1
-            if (r, i) in done:
+            if (r, i) in done and done[r, i][1] == 0:
                 continue
             a, b = max(int(offsets[r]), begin - 2 * allowed), min(int(offsets[r + 1]), last + length + 2 * allowed)
             distance, end = fitting_distance(self.pattern(i), length, words[a:b].tolist())
-            if distance <= allowed:
+            if distance <= allowed and ((r, i) not in done or distance < done[r, i][1]):
                 done[r, i] = (max(0, a + end - length - int(offsets[r])), distance)
         return [(r, i, start, distance) for (r, i), (start, distance) in done.items()]
 
