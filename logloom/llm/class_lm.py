@@ -162,7 +162,7 @@ def best_class(matrix: np.ndarray, own: int, follows: np.ndarray, precedes: np.n
     m[own, :] -= follows
     m[:, own] -= precedes
     m[own, own] -= itself
-    left, right = m.sum(1), m.sum(0)
+    left, right = m.sum(1) + precedes, m.sum(0) + follows  # the unit's neighbours keep their places
     base = _phi(m)
     gain = (_phi(m + follows[None, :]) - base).sum(1) + (_phi(m + precedes[:, None]) - base).sum(0)
     corner = np.diag(m)
