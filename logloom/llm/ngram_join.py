@@ -7,28 +7,40 @@ by hash, with the most frequent of these columns moved to the end, so passages t
 of the product. A pair goes on when its summed overlap can still reach the size-derived bound
 ``t/(1+t) * (n_a + n_b)``; the pairs that go on are checked on whole sets.
 
-Work per column is bounded. Equal sets are one row of the matrix. Columns of at most ``block`` rows are multiplied
-in full. In longer columns (large groups of near copies) every row is first multiplied with the column's first row
-only; what these links join is one component, and then only rows of different components are multiplied. So no
-link between components is lost, and no group is expanded into all its pairs.
+Work per column is bounded, and only rows that nothing joins yet are multiplied. Equal sets are one row of the matrix.
+First every row is checked against one pivot, the first row of one of its columns; what these links join is one
+component, and from then on only rows of different components meet.
+
+- Columns of at most ``block`` rows are multiplied in full.
+- Longer columns (large groups of near copies) are multiplied after a change of basis. With P the pivot's set, the
+  difference ``D_x = x ^ P`` is small, and ``x ^ y = D_x ^ D_y``. A link of x and y, x not linked with P, needs more
+  than half of D_y in common, so x and y meet in the first half of D_y in an order by frequency: in the changes that
+  few rows of the group made, and not in the text that all of them share. Rows of different pivots that share a long
+  column are compared directly.
+
+So no link between components is lost, and no group is expanded into all its pairs.
 
 Defined cases: null or empty text, and text of white space only, gives an empty set (n_shingles 0), linked with
-nothing; repeated rows are copies; a null id is a document of its own row whose component is null. Extra columns are
-ignored. The order of columns never changes the result, only the work. N-grams are compared as 64-bit hashes."""
+nothing; repeated rows are copies; a null id is a document of its own row whose component is null; an id names one
+text. Extra columns are ignored. The order of columns never changes the result, only the work. N-grams are compared as
+64-bit hashes."""
 
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from logloom.llm.components import components
 from logloom.llm.scratch import Scratch, bounded_batches
 from logloom.llm.words import mix64, shingle_hashes, word_hashes
 
+FREQUENT_ROWS = 24  # rows that make a column frequent: it goes to the end of the order
 FREQUENT_COLUMNS = 1 << 16  # columns moved to the end: 512 kB in each task, whatever the input
 ID_FILTER_BITS = 1 << 20  # fixed-size filter of the ids whose whole sets are needed
+COLUMN_FILTER_BITS = 1 << 23  # fixed-size filter of the columns that may have a second row
 
 
 def _sets(batch: pa.RecordBatch, width: int) -> list[np.ndarray]:
@@ -83,12 +95,12 @@ def _reorder(width: int, num: int, den: int, frequent: np.ndarray):
 
 
 def _pairs(num: int, den: int):
-    """All pairs of a short column whose sizes and positions allow the threshold."""
+    """All pairs of a short column whose components differ and whose sizes and positions allow the threshold."""
     def run(batches):
         for batch in batches:
             offsets = batch.column("rows").offsets.to_numpy()
             flat = batch.column("rows").flatten()
-            ids, sizes, places = (flat.field(k).to_numpy() for k in ("id", "n", "pos"))
+            ids, sizes, places, comps = (flat.field(k).to_numpy() for k in ("id", "n", "pos", "comp"))
             out = [[], [], [], []]
             counts = np.diff(offsets)
             for m in np.unique(counts):
@@ -99,7 +111,7 @@ def _pairs(num: int, den: int):
                     x, y = (at[k : k + step, None] + left).ravel(), (at[k : k + step, None] + right).ravel()
                     na, nb, pa_, pb = sizes[x], sizes[y], places[x], places[y]
                     most = np.minimum(pa_, pb) + np.minimum(na - pa_, nb - pb)
-                    ok = ((num + den) * most >= num * (na + nb)) & (den * np.minimum(na, nb) >= num * np.maximum(na, nb))
+                    ok = (comps[x] != comps[y]) & ((num + den) * most >= num * (na + nb)) & (den * np.minimum(na, nb) >= num * np.maximum(na, nb))
                     a, b = ids[x[ok]], ids[y[ok]]
                     swap = a > b
                     for o, v in zip(out, (np.where(swap, b, a), np.where(swap, a, b), np.where(swap, nb[ok], na[ok]), np.where(swap, na[ok], nb[ok])), strict=True):
@@ -112,6 +124,38 @@ def _id_slot(ids: np.ndarray) -> np.ndarray:
     return (mix64(ids.astype(np.int64).view(np.uint64)) % np.uint64(ID_FILTER_BITS)).astype(np.int64)
 
 
+def _column_filter(columns: DataFrame) -> np.ndarray:
+    """Bits of the values h: true for each of them, and for few others while there is room."""
+    def slots(batches):
+        for batch in batches:
+            at = np.unique(_column_slot(batch.column("h").to_numpy()))
+            yield pa.RecordBatch.from_arrays([pa.array(at // 64), pa.array(np.int64(1) << (at % 64))], ["word", "bit"])
+
+    words = columns.mapInArrow(slots, "word long, bit long").groupBy("word").agg(F.bit_or("bit").alias("bits")).toPandas()
+    bits = np.zeros(COLUMN_FILTER_BITS // 64, np.int64)
+    bits[words["word"].to_numpy(np.int64)] = words["bits"].to_numpy(np.int64)
+    return np.unpackbits(bits.view(np.uint8), bitorder="little").view(bool)
+
+
+def _column_slot(h: np.ndarray) -> np.ndarray:
+    return (mix64(h.astype(np.int64).view(np.uint64)) % np.uint64(COLUMN_FILTER_BITS)).astype(np.int64)
+
+
+def _cells(shared):
+    """A row (h, id, n, pos) for each first column that may have a second row."""
+    def run(batches):
+        for batch in batches:
+            lists = batch.column("first")
+            offsets, h = lists.offsets.to_numpy(), lists.flatten().to_numpy()
+            sizes = np.diff(offsets)
+            pos = np.arange(len(h)) - np.repeat(offsets[:-1] - offsets[0], sizes)
+            keep = shared.value[_column_slot(h)]
+            row = np.repeat(np.arange(batch.num_rows), sizes)[keep]
+            ids, n = batch.column("doc_id").to_numpy(), batch.column("n").to_numpy()
+            yield pa.RecordBatch.from_arrays([pa.array(h[keep]), pa.array(ids[row]), pa.array(n[row]), pa.array(pos[keep].astype(np.int64))], ["h", "id", "n", "pos"])
+    return run
+
+
 def _whole_sets(width: int, wanted: np.ndarray):
     def run(batches):
         for batch in batches:
@@ -123,37 +167,75 @@ def _whole_sets(width: int, wanted: np.ndarray):
     return run
 
 
-def _verify(num: int, den: int):
+CHECKED = "a long, b long, linked boolean, na long, nb long, difference array<long>"
+
+
+def _check(num: int, den: int):
+    """Whether each pair reaches the threshold, its sizes and, where ``basis``, the difference of its sets."""
     def run(batches):
         for batch in batches:
-            keep = []
-            for x, y in zip(batch.column("cells_a"), batch.column("cells_b"), strict=True):
+            linked, sizes, differences = [], [], []
+            for x, y, basis in zip(batch.column("cells_a"), batch.column("cells_b"), batch.column("basis").to_pylist(), strict=True):
                 x, y = np.frombuffer(x.as_buffer(), np.int64), np.frombuffer(y.as_buffer(), np.int64)
                 both = np.concatenate([x, y])
                 both.sort(kind="stable")
-                shared = int((both[1:] == both[:-1]).sum())
-                keep.append(den * shared >= num * (len(x) + len(y) - shared))
-            yield pa.RecordBatch.from_arrays([batch.column("a").filter(pa.array(keep, pa.bool_())), batch.column("b").filter(pa.array(keep, pa.bool_()))], ["a", "b"])
+                twice = both[1:] == both[:-1]
+                shared = int(twice.sum())
+                linked.append(den * shared >= num * (len(x) + len(y) - shared))
+                sizes.append((len(x), len(y)))
+                once = np.ones(len(both), bool)
+                once[1:] &= ~twice
+                once[:-1] &= ~twice
+                differences.append(both[once] if basis else np.zeros(0, np.int64))
+            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(linked, pa.bool_()), pa.array([m for m, _ in sizes], pa.int64()),
+                                              pa.array([n for _, n in sizes], pa.int64()), _lists(differences, pa.int64())], ["a", "b", "linked", "na", "nb", "difference"])
     return run
 
 
-def _links(docs: DataFrame, reps: DataFrame, pairs: DataFrame, width: int, num: int, den: int, scratch: Scratch) -> DataFrame:
-    """The pairs (a, b) whose whole sets reach the threshold, saved."""
-    spark = docs.sparkSession
-    slot = F.pandas_udf(lambda s: __import__("pandas").Series(_id_slot(s.to_numpy())), "long")
+def _checked(docs: DataFrame, pairs: DataFrame, width: int, num: int, den: int, scratch: Scratch) -> DataFrame:
+    """CHECKED of the pairs (a, b, basis) on their whole sets, saved."""
+    pairs = scratch.save(pairs, "pairs")
+    slot = F.pandas_udf(lambda s: pd.Series(_id_slot(s.to_numpy())), "long")
     wanted = np.zeros(ID_FILTER_BITS, bool)
-    slots = pairs.select(F.explode(F.array("a", "b")).alias("id")).select(slot("id").alias("s")).distinct().toPandas()
+    ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    slots = ids.select(slot("id").alias("s")).distinct().toPandas()
     wanted[slots["s"].to_numpy().astype(np.int64)] = True  # at most ID_FILTER_BITS slots
-    sets = scratch.save(docs.mapInArrow(_whole_sets(width, wanted), "id long, cells binary").dropDuplicates(["id"])
-                        .join(reps.select(F.col("doc_id").alias("id")), "id", "left_semi"), "sets")
+    sets = scratch.save(docs.mapInArrow(_whole_sets(width, wanted), "id long, cells binary").join(ids, "id", "left_semi").dropDuplicates(["id"]), "sets")
     ends = lambda x: sets.select(F.col("id").alias(x), F.col("cells").alias(f"cells_{x}"))
-    out = scratch.save(pairs.select("a", "b").join(ends("a"), "a").join(ends("b"), "b").select("a", "b", "cells_a", "cells_b")
-                       .mapInArrow(_verify(num, den), "a long, b long"), "links")
-    scratch.drop(sets)
+    out = scratch.save(pairs.join(ends("a"), "a").join(ends("b"), "b").select("a", "b", "basis", "cells_a", "cells_b").mapInArrow(_check(num, den), CHECKED), "checked")
+    scratch.drop(sets, pairs)
     return out
 
 
-def ngram_jaccard_join(docs: DataFrame, width: int = 4, num: int = 85, den: int = 100, block: int = 48) -> DataFrame:
+def _in_pivot_groups(checked: DataFrame, comps: DataFrame, num: int, den: int) -> DataFrame:
+    """Candidate pairs (a, b) of rows with one pivot and different components, by their differences from it."""
+    rows = checked.select("a", "b", "linked", "na", "nb", "difference").join(comps, "b")
+    cells = rows.select(F.col("a").alias("pivot"), F.col("b").alias("id"), "comp", "linked", (F.col("nb") - F.col("na")).alias("grown"),
+                        F.size("difference").alias("d"), F.explode("difference").alias("h"))
+    often = cells.groupBy("pivot", "h").agg(F.count("*").alias("n"), F.min("comp").alias("c0"), F.max("comp").alias("c1"), F.bool_and("linked").alias("all_linked"))
+    cells = cells.join(often, ["pivot", "h"])
+    # More than (d - (den - num) / (den + num) * grown) / 2 of the d changes are common to any link.
+    common = F.greatest(F.lit(1), F.floor(((num + den) * F.col("d") - (den - num) * F.col("grown")) / (2 * (num + den))) + 1)
+    rank = F.row_number().over(Window.partitionBy("pivot", "id").orderBy("n", "h"))
+    first = cells.withColumn("rank", rank).where((F.col("rank") <= F.col("d") - common + 1) & (F.col("c0") != F.col("c1")) & ~F.col("all_linked"))
+    first = first.select("pivot", "h", F.col("id").alias("y"), F.col("comp").alias("cy"))
+    other = cells.where("not linked and c0 <> c1").select("pivot", "h", F.col("id").alias("x"), F.col("comp").alias("cx"))
+    return first.join(other, ["pivot", "h"]).where("cx <> cy").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+
+
+def _between_pivot_groups(cells: DataFrame, num: int, den: int) -> DataFrame:
+    """Candidate pairs (a, b) that share a long column and differ in pivot and component."""
+    groups = cells.groupBy("h", "pivot").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1"))
+    crossing = groups.alias("x").join(groups.alias("y"), "h").where("x.pivot < y.pivot and not (x.c0 = y.c0 and x.c1 = y.c1 and x.c0 = x.c1)")
+    crossing = crossing.select("h", F.col("x.pivot").alias("ga"), F.col("y.pivot").alias("gb"))
+    side = lambda x: cells.select("h", F.col("pivot").alias(f"g{x}"), *(F.col(c).alias(f"{c}_{x}") for c in ("id", "n", "pos", "comp")))
+    most = F.least("pos_a", "pos_b") + F.least(F.col("n_a") - F.col("pos_a"), F.col("n_b") - F.col("pos_b"))
+    fits = ((num + den) * most >= num * (F.col("n_a") + F.col("n_b"))) & (den * F.least("n_a", "n_b") >= num * F.greatest("n_a", "n_b"))
+    met = crossing.join(side("a"), ["h", "ga"]).join(side("b"), ["h", "gb"]).where(fits & (F.col("comp_a") != F.col("comp_b")))
+    return met.select(F.least("id_a", "id_b").alias("a"), F.greatest("id_a", "id_b").alias("b")).distinct()
+
+
+def ngram_jaccard_join(docs: DataFrame, width: int = 4, num: int = 85, den: int = 100, block: int = 128) -> DataFrame:
     """One row per input row: doc_id, n_shingles, component_id (smallest id reachable by links).
 
     ``docs`` has doc_id (long) and text. Two documents link when ``den * intersection >= num * union`` of their
@@ -162,65 +244,67 @@ def ngram_jaccard_join(docs: DataFrame, width: int = 4, num: int = 85, den: int
     bounded_batches(spark)
     scratch = Scratch(spark, "ngram-join")
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    described = scratch.save(docs.mapInArrow(_describe(width, num, den), "doc_id long, n long, k1 long, k2 long, first array<long>"), "described")
+    wide = scratch.save(docs.mapInArrow(_describe(width, num, den), "doc_id long, n long, k1 long, k2 long, first array<long>"), "wide")
 
     # Equal sets are one row of the matrix: its smallest id.
-    classes = scratch.save(described.where("n > 0 and doc_id is not null").groupBy("k1", "k2", "n").agg(F.min("doc_id").alias("rep")), "classes")
-    reps = scratch.save(described.select("doc_id", "k1", "k2", "n", "first").join(
-        classes.select("k1", "k2", "n", F.col("rep").alias("doc_id")), ["k1", "k2", "n", "doc_id"])
-        .select("doc_id", "n", "first").dropDuplicates(["doc_id"]), "reps")
+    classes = scratch.save(wide.where("n > 0 and doc_id is not null").groupBy("k1", "k2", "n").agg(F.min("doc_id").alias("rep")), "classes")
+    reps = wide.select("doc_id", "n", "first").join(classes.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    reps = scratch.save(reps, "reps")
+    described = scratch.save(wide.select("doc_id", "n", "k1", "k2"), "described")
+    scratch.drop(wide)
 
     # Frequent columns go to the end of the order.
-    counts = reps.select(F.explode("first").alias("h")).groupBy("h").count().where(F.col("count") > block // 2)
-    frequent = counts.orderBy(F.desc("count"), "h").limit(FREQUENT_COLUMNS).select("h").toPandas()["h"].to_numpy().astype(np.int64)
+    often = scratch.save(reps.select(F.explode("first").alias("h")).groupBy("h").count().where("count > 1"), "often")
+    frequent = often.where(F.col("count") > min(FREQUENT_ROWS, block // 2)).orderBy(F.desc("count"), "h").limit(FREQUENT_COLUMNS).select("h").toPandas()["h"].to_numpy().astype(np.int64)
     frequent.sort()
-    first = reps
+    first, shared_columns = reps, often.select("h")
     if len(frequent):
         moved = docs.where("doc_id is not null").mapInArrow(_reorder(width, num, den, frequent), "doc_id long, reordered array<long>")
-        moved = moved.dropDuplicates(["doc_id"])
-        first = scratch.save(reps.join(moved, "doc_id", "left").select("doc_id", "n", F.coalesce("reordered", "first").alias("first")), "first")
-    cells = first.select(F.col("doc_id").alias("id"), "n", F.size("first").alias("k"), F.posexplode("first").alias("pos", "h"))
-    counts = scratch.save(cells.groupBy("h").count().where("count > 1"), "columns")
-    cells = scratch.save(cells.join(counts, "h").select("h", "id", "n", "k", F.col("pos").cast("long").alias("pos"), "count"), "cells")
-
-    # Short columns: every pair, products summed, then the size-derived bound. A pair with rows in a long column
-    # may be short of products here; it is looked at again below.
-    short = cells.where(F.col("count") <= block).groupBy("h").agg(F.collect_list(F.struct("id", "n", "pos")).alias("rows"))
-    products = short.select("rows").mapInArrow(_pairs(num, den), "a long, b long, na long, nb long")
+        moved = scratch.save(moved.join(classes.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi").dropDuplicates(["doc_id"]), "moved")
+        shared_columns = shared_columns.unionByName(moved.select(F.explode("reordered").alias("h")))
+        first = reps.join(moved, "doc_id", "left").select("doc_id", "n", F.coalesce("reordered", "first").alias("first"))
+    cells = scratch.save(first.mapInArrow(_cells(spark.sparkContext.broadcast(_column_filter(shared_columns))), "h long, id long, n long, pos long"), "cells")
+    scratch.drop(reps, often)
+    columns = scratch.save(cells.groupBy("h").agg(F.count("*").alias("rows"), F.min(F.struct("id", F.col("n").alias("na"))).alias("least")).where("rows > 1")
+                           .select("h", "rows", F.col("least.id").alias("a"), "least.na"), "columns")
+    met = scratch.save(cells.join(columns, "h"), "met")
+    scratch.drop(cells, columns)
+
+    # One pivot for each row: in short columns the first row that it meets most often, in long ones the first row that
+    # most rows meet.
+    short, long = met.where(F.col("rows") <= block), met.where(F.col("rows") > block)
+    near = short.where("id <> a").groupBy("a", F.col("id").alias("b")).agg(F.count("*").alias("c"), F.max("na").alias("na"), F.max("n").alias("nb"))
+    near = near.where(_reaches("c", "na", "nb", num, den) & (den * F.least("na", "nb") >= num * F.greatest("na", "nb")))
+    near = near.groupBy("b").agg(F.max_by("a", F.struct("c", -F.col("a"))).alias("a")).select("a", "b", F.lit(False).alias("basis"))
+    star = long.where("id <> a").groupBy("a", F.col("id").alias("b")).agg(F.count("*").alias("c"))
+    star = star.join(star.groupBy("a").agg(F.count("*").alias("met")), "a")
+    star = star.groupBy("b").agg(F.max_by("a", F.struct("met", "c", -F.col("a"))).alias("a")).select("a", "b", F.lit(True).alias("basis"))
+    checked = _checked(docs, near.unionByName(star).groupBy("a", "b").agg(F.bool_or("basis").alias("basis")), width, num, den, scratch)
+    links = checked.where("linked").select("a", "b")
+    joined = components(links, scratch)
+    pivots = checked.where(F.size("difference") > 0).select(F.col("b").alias("id"), F.col("a").alias("pivot"))
+
+    # Short columns: every pair of different components, products summed, then the size-derived bound. A pair that
+    # also shares a long column may be short of products here; it is looked at below.
+    labelled = met.join(joined, met["id"] == joined["node"], "left").select("h", "id", "n", "pos", "rows", F.coalesce("component", "id").alias("comp"))
+    labelled = scratch.save(labelled, "labelled")
+    lists = labelled.where(F.col("rows") <= block).groupBy("h").agg(
+        F.collect_list(F.struct("id", "n", "pos", "comp")).alias("rows"), F.min("comp").alias("c0"), F.max("comp").alias("c1")).where("c0 <> c1")
+    products = lists.select("rows").mapInArrow(_pairs(num, den), "a long, b long, na long, nb long")
     summed = products.groupBy("a", "b").agg(F.count("*").alias("c"), F.max("na").alias("na"), F.max("nb").alias("nb"))
     pairs = summed.where(_reaches("c", "na", "nb", num, den)).select("a", "b")
 
-    # Long columns: each row with the column's first row.
-    long_cells = cells.where(F.col("count") > block)
-    pivots = long_cells.groupBy("h").agg(F.min("id").alias("a"))
-    star = long_cells.join(pivots, "h").where("id <> a").groupBy("a", F.col("id").alias("b")).agg(F.count("*").alias("c"))
-    star = star.groupBy("b").agg(F.max_by("a", F.struct("c", -F.col("a"))).alias("a")).select("a", "b")
-    pairs = scratch.save(pairs.unionByName(star).distinct(), "pairs")
-    links = _links(docs, reps, pairs, width, num, den, scratch)
-    joined = scratch.save(components(links, scratch), "joined")
-
-    # Long columns again: rows of different components.
-    labelled = long_cells.join(joined, long_cells["id"] == joined["node"], "left").select(
-        "h", "id", "n", "pos", F.coalesce("component", "id").alias("comp"))
-    groups = labelled.select("h", "comp").distinct()
-    mixed = groups.groupBy("h").count().where("count > 1").select("h")
-    labelled = scratch.save(labelled.join(mixed, "h", "left_semi"), "mixed")
-    groups = labelled.select("h", "comp").distinct()
-    crossing = groups.alias("x").join(groups.alias("y"), "h").where("x.comp < y.comp").select("h", F.col("x.comp").alias("ca"), F.col("y.comp").alias("cb"))
-    side = lambda x: labelled.select("h", F.col("comp").alias(f"c{x}"), F.col("id").alias(x), F.col("n").alias(f"n{x}"), F.col("pos").alias(f"p{x}"))
-    most = F.least("pa", "pb") + F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb"))
-    fits = ((num + den) * most >= num * (F.col("na") + F.col("nb"))) & (den * F.least("na", "nb") >= num * F.greatest("na", "nb"))
-    crossed = crossing.join(side("a"), ["h", "ca"]).join(side("b"), ["h", "cb"]).where(fits)
-    crossed = scratch.save(crossed.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "crossed")
-    extra = _links(docs, reps, crossed, width, num, den, scratch)
-    if extra.isEmpty():
-        final = joined
-    else:
-        final = scratch.save(components(links.unionByName(extra), scratch), "final")
-
-    scratch.drop(reps, counts, cells, pairs, labelled, crossed, links, extra)
-    labels = classes.join(final, classes["rep"] == final["node"], "left").select(
-        "k1", "k2", "n", F.coalesce("component", "rep").alias("component_id"))
+    # Long columns: rows of one pivot by their differences from it, rows of different pivots directly.
+    rows = labelled.where(F.col("rows") > block)
+    comps = rows.select(F.col("id").alias("b"), "comp").distinct()
+    pairs = pairs.unionByName(_in_pivot_groups(checked.where(F.size("difference") > 0), comps, num, den))
+    rows = rows.join(pivots, "id", "left").withColumn("pivot", F.coalesce("pivot", "id"))
+    pairs = pairs.unionByName(_between_pivot_groups(rows, num, den)).distinct()
+    more = _checked(docs, pairs.withColumn("basis", F.lit(False)), width, num, den, scratch)
+    final = scratch.save(components(links.unionByName(more.where("linked").select("a", "b")), scratch), "final")
+    scratch.drop(met, labelled, checked, more)
+
+    labels = classes.join(final, classes["rep"] == final["node"], "left").select("k1", "k2", "n", F.coalesce("component", "rep").alias("component_id"))
     return described.select("doc_id", "n", "k1", "k2").join(labels, ["k1", "k2", "n"], "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"))
 
