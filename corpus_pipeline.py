@@ -21,7 +21,7 @@ from logloom.llm.ngram_join import ngram_jaccard_join
 from logloom.llm.scratch import Scratch
 
 #: Least corrected share of a text's n-grams in its language.
-LEAST_LANGUAGE_SCORE = 0.5
+LEAST_LANGUAGE_SCORE = 0.3
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,7 +35,8 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def near_copy_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     found = ngram_jaccard_join(docs)
     copies = found.where("component_id <> doc_id").select("doc_id").distinct()
-    return docs.join(copies, "doc_id", "left_anti").dropDuplicates(["doc_id"]).select(*docs.columns)
+    named = docs.where("doc_id is not null").join(copies, "doc_id", "left_anti").dropDuplicates(["doc_id"]).select(*docs.columns)
+    return named.unionByName(docs.where("doc_id is null"))
 
 
 def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
