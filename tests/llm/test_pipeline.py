@@ -1,9 +1,11 @@
+import random
+
 import duckdb
 
 import corpus_pipeline
 from logloom.llm.mixing import oracle_sql
 from tests.conftest import SF_SMALL
-from tests.llm.brute import components, edit_distance_to_run, words
+from tests.llm.brute import components, edit_distance_to_run, shingles, words
 
 
 def test_run_matches_a_plain_version(spark, doc_rows, tmp_path):
@@ -38,3 +40,20 @@ def test_stages_keep_columns_and_stand_edges(spark, edge_docs, tmp_path):
     empty = edge_docs[0].limit(0)
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, empty, str(tmp_path)).collect() == []
+
+
+def test_near_copies_link_on_five_words_from_four_fifths(spark):
+    """One replaced block in 200 words, below, between and above the limits of the stage and of query op6."""
+    rng = random.Random(5)
+    rows, k = [], 0
+    for block in (4, 12, 14, 15, 16, 17, 18, 19, 24):
+        text = [f"w{k}x{i}" for i in range(200)]
+        at = rng.randrange(10, 160)
+        rows += [(k, " ".join(text)), (k + 1, " ".join([*text[:at], *(f"new{k}x{i}" for i in range(block)), *text[at + block :]]))]
+        k += 2
+    sets = [shingles(t, 5) for _, t in rows]
+    want = [i for i, _ in rows if not any(5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j]) for j in range(i))]
+    kept = {i for i, c in components(rows).items() if c[1] == i}
+    assert kept - set(want)  # pairs between the limits
+    found = corpus_pipeline.near_copy_stage(spark, spark.createDataFrame(rows, "doc_id long, text string"), "")
+    assert sorted(r.doc_id for r in found.collect()) == want
