@@ -41,3 +41,29 @@ def test_more_than_one_word_of_languages(spark):
     filters = learn_filters(docs)
     assert filters.masks.shape[0] == 2
     assert all(r.lang_pred == r.lang for r in identify(docs, filters).collect())
+
+
+def test_filters_grow_with_the_ngrams(spark):
+    """A script of many letters with 3 million n-grams: texts of learned n-grams score 1, others 0."""
+    rng = np.random.default_rng(9)
+    text = lambda first, n: "".join(map(chr, rng.integers(first, first + 11_000, n)))
+    learned = [(text(0x4E00, 10_000), "zh") for _ in range(300)] + [(text(0xAC00, 10_000), "ko") for _ in range(10)] + [("plain words of a small language", "en")]
+    filters = learn_filters(spark.createDataFrame(learned, "text string, lang string").repartition(8))
+    assert filters.table is not None and filters.false_positive_rates().max() < 0.011
+    rows = [*((t, x, 1.0) for t, x in (learned[0], learned[300], learned[-1])), (text(0x4E00, 10_000), None, 0.0), ("12", "und", 0.0), (None, "und", 0.0)]
+    found = identify(spark.createDataFrame([(i, t) for i, (t, _, _) in enumerate(rows)], "row long, text string"), filters)
+    assert found.columns == ["row", "text", "lang_pred", "score"]
+    for r in found.collect():
+        _, lang, score = rows[r.row]
+        assert abs(r.score - score) < 0.02 and lang in (None, r.lang_pred)
+
+
+def test_joined_filters_give_the_same_answers(spark, docs):
+    rng = np.random.default_rng(2)
+    many = spark.createDataFrame([("".join(map(chr, rng.integers(0x4E00, 0x9000, 3000))), "zh") for _ in range(100)], "text string, lang string")
+    labelled = docs.select("text", "lang").unionByName(many)
+    small, joined = learn_filters(labelled), learn_filters(labelled, broadcast_cells=0)
+    assert small.slices > 1 and small.table is None and joined.table is not None
+    assert np.allclose(small.false_positive_rates(), joined.false_positive_rates())
+    a, b = ({r.doc_id: (r.lang_pred, round(r.score, 9)) for r in identify(docs.select("doc_id", "text"), f).collect()} for f in (small, joined))
+    assert a == b
