@@ -34,10 +34,31 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_copy_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = ngram_jaccard_join(docs, width=5, num=80, den=100)
-    copies = found.where("component_id <> doc_id").select("doc_id").distinct()
-    named = docs.where("doc_id is not null").join(copies, "doc_id", "left_anti").dropDuplicates(["doc_id"]).select(*docs.columns)
-    return named.unionByName(docs.where("doc_id is null"))
+    """A document is an id with a text. Of linked documents the first by (id, text) stays; of equal ones the first by
+    all columns that can be ordered."""
+    scratch = Scratch(spark, "near-copies")
+    named = docs.where("doc_id is not null")
+    text = F.struct(*(F.xxhash64(F.lit(k), F.col("text").isNull(), "text") for k in (1, 2)))
+    several = scratch.save(named.groupBy("doc_id").agg(F.min(text).alias("t0"), F.max(text).alias("t1")).where("t0 <> t1").select("doc_id"), "several")
+    inner = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_doc")
+    keyed = named.select(inner, F.col("doc_id").cast("long").alias("_key"), "text")
+    names = None
+    if not several.isEmpty():  # ids of several texts: each text has a key of its own, below all ids
+        least = named.agg(F.min("doc_id").cast("long")).first()[0]
+        names = named.join(several, "doc_id", "left_semi").select("doc_id", "text").distinct().withColumn("_n", F.monotonically_increasing_id())
+        names = scratch.save(names.select(F.col("doc_id").alias("_id"), F.col("text").alias("_text"), (F.lit(least) - 1 - F.col("_n")).alias("_new")), "names")
+        keyed = keyed.join(names, (F.col("_doc.doc_id") == F.col("_id")) & F.col("text").eqNullSafe(F.col("_text")), "left").select("_doc", F.coalesce("_new", "_key").alias("_key"), "text")
+    found = ngram_jaccard_join(keyed.select(F.col("_key").alias("doc_id"), "text"), width=5, num=80, den=100)
+    if names is None:
+        copies = found.where("component_id <> doc_id").select(F.col("doc_id").alias("_key")).distinct()
+    else:
+        ends = found.select(F.col("doc_id").alias("_key"), "component_id").distinct().join(names, F.col("_key") == F.col("_new"), "left")
+        ends = scratch.save(ends.select("_key", "component_id", F.struct(F.coalesce("_id", "_key").alias("id"), "_text").alias("_at")), "ends")
+        stay = ends.groupBy("component_id").agg(F.min_by("_key", "_at").alias("_stays"))
+        copies = ends.join(stay, "component_id").where("_key <> _stays").select("_key")
+    order = F.struct(*(F.col(f"_doc.`{c}`") for c, kind in docs.dtypes if "map<" not in kind and "variant" not in kind))
+    kept = keyed.join(copies, "_key", "left_anti").groupBy("_key").agg(F.min_by("_doc", order).alias("_doc")).select("_doc.*")
+    return kept.unionByName(docs.where("doc_id is null"))
 
 
 def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

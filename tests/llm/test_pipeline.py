@@ -57,3 +57,15 @@ def test_near_copies_link_on_five_words_from_four_fifths(spark):
     assert kept - set(want)  # pairs between the limits
     found = corpus_pipeline.near_copy_stage(spark, spark.createDataFrame(rows, "doc_id long, text string"), "")
     assert sorted(r.doc_id for r in found.collect()) == want
+
+
+def test_texts_of_one_id_are_documents_of_their_own(spark):
+    """An id with several texts: only equal or linked ones go, and the same rows stay whatever the order of the input."""
+    text = lambda k, block=0: " ".join([*(f"new{k}x{i}" for i in range(block)), *(f"w{k}x{i}" for i in range(block, 200))])
+    stay = [(1, text(1), "a"), (1, text(2), "a"), (2, text(3), "b"), (7, text(5), "c"), (7, "", "e"), (7, None, "e"), (9, text(6), "d")]
+    go = [(1, text(1), "b"), (3, text(1, 5), "a"), (4, text(2, 5), "a"), (2, text(3), "c"), (7, max(text(4), text(4, 5)), "a"), (8, text(5), "a")]
+    stay.append((7, min(text(4), text(4, 5)), "z"))
+    for rows in (stay + go, (go + stay)[::-1]):
+        docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)
+        found = [tuple(r) for r in corpus_pipeline.near_copy_stage(spark, docs, "").collect()]
+        assert sorted(found, key=str) == sorted(stay, key=str)
