@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from logloom.llm import chat, licenses, mixing, url_rules
+from logloom.llm import centroids, chat, licenses, mixing, url_rules
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -64,6 +65,27 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(_table(spark, sf_dir, "documents"), TARGET_WEIGHTS)
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers as tokenizers
+    from logloom.llm.alignment import linked_documents, read_models
+    models = read_models(tokenizers.path("byte_bpe_50k.json"), tokenizers.path("piece_bpe_32k.model"))
+    return linked_documents(_table(spark, sf_dir, "documents"), models)
+
+
+def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = centroids.integer_vectors(_table(spark, sf_dir, "embeddings"))
+    return centroids.cluster_report(centroids.fit_centroids(vectors))
+
+
+def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers as tokenizers
+    from logloom.llm.byte_bpe import decode, encode, load_ranks
+    ranks = load_ranks(tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+    decoded = decode(encode(_table(spark, sf_dir, "documents"), ranks, tokenizers.PATTERN), ranks)
+    ids = F.array_join(F.col("ids").cast("array<string>"), ",")
+    return decoded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(ids, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
     "op2_url_rules": op2_url_rules,
@@ -75,6 +97,9 @@ QUERIES = {
     "op8_simhash": op8_simhash,
     "op9_language_id": op9_language_id,
     "op10_mix_sources": op10_mix_sources,
+    "op11_token_alignment": op11_token_alignment,
+    "op12_centroids": op12_centroids,
+    "op13_byte_bpe": op13_byte_bpe,
 }
 
 SQL: dict[str, str] = {
@@ -82,4 +107,5 @@ SQL: dict[str, str] = {
     "op5_license_scan": licenses.oracle_sql(),
     "op2_url_rules": url_rules.oracle_sql(),
     "op10_mix_sources": mixing.oracle_sql(),
+    "op12_centroids": centroids.oracle_sql(),
 }
