@@ -27,6 +27,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import os
 
 import numpy as np
 import pyarrow as pa
@@ -34,19 +35,19 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from logloom.llm.blocks import ROWS, STREAM, keys_of, new_block, row_batch, together
+from logloom.llm.blocks import BLOCK_BYTES, ROWS, STREAM, join_blocks, keys_by_bucket, new_block, row_batch, save_blocks
 from logloom.llm.packing import pack_ints, unpack_ints
 from logloom.llm.scratch import Scratch, bounded_batches
 from logloom.llm.words import mix64
 
-BLOCK_BYTES = 32 << 20
 JOINED_BYTES = 1 << 20
-WORDS_AT_ONCE = 1 << 14
+WORDS_AT_ONCE = 1 << 13
 BUCKETS_A_PARTITION = 4
 MAX_MODEL_BYTES = 64 << 20
 LINKED = ("doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string")
 ALIGNED = "doc_id long, a_ids array<int>, b_ids array<int>, a_cuts array<int>, b_cuts array<int>"
 _SPACE = "▁"
+_SEPARATORS = (",", "|", ";")  # before an id: of the same side, the first of B, the first of A in a group
 _SIGNS = frozenset("!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~")
 
 
@@ -79,6 +80,7 @@ class Pair:
     """Both tokenizers of one task."""
 
     def __init__(self, models: tuple[str, bytes]):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # task slots are the parallelism
         import sentencepiece
         from tokenizers import Tokenizer
         self.a = Tokenizer.from_str(models[0])
@@ -96,15 +98,19 @@ class Pair:
         self.a_bytes, self.b_bytes = pa.array(a, pa.large_binary()), pa.array(b, pa.large_binary())
         self.a_lengths, self.b_lengths = (pc.binary_length(x).cast(pa.int64()) for x in (self.a_bytes, self.b_bytes))
         self.space_id = self.b.piece_to_id(_SPACE)
+        self.first_b = len(a)
+        shown = [str(i) for i in (*range(len(a)), *range(len(b)))]
+        self.shown = pa.array([sign + i for sign in _SEPARATORS for i in shown], pa.large_binary())
 
     def words(self, words: list[str]) -> tuple[pa.ListArray, pa.ListArray]:
         """The ids of both for each word, which has lost the one space before it."""
-        a, b = [], []
+        kind = pa.list_(pa.int32())
+        a, b = [pa.array([], kind)], [pa.array([], kind)]
         for at in range(0, len(words), WORDS_AT_ONCE):
             some = words[at : at + WORDS_AT_ONCE]
-            a += [e.ids for e in self.a.encode_batch([" " + w for w in some], add_special_tokens=False)]
-            b += [ids or [self.space_id] for ids in self.b.encode(some, num_threads=1)]
-        return pa.array(a, pa.list_(pa.int32())), pa.array(b, pa.list_(pa.int32()))
+            a.append(pa.array([e.ids for e in self.a.encode_batch_fast([" " + w for w in some], add_special_tokens=False)], kind))
+            b.append(pa.array([ids or [self.space_id] for ids in self.b.encode(some, num_threads=1)], kind))
+        return pa.concat_arrays(a), pa.concat_arrays(b)
 
 
 class _Words(dict):
@@ -161,31 +167,40 @@ def _ends(tokens: pa.ListArray, lengths: pa.Array, side: str) -> pa.Table:
 
 def intervals(a: pa.ListArray, b: pa.ListArray, pair: Pair) -> pa.Table:
     """One row for each stretch between two neighbouring ends of either side, in text order: doc, a and b (the tokens
-    that overlap there), cut (both end there)."""
+    that overlap there), a_ends, b_ends (which of them end there) and cut (both do)."""
     left, right = _ends(a, pair.a_lengths, "a"), _ends(b, pair.b_lengths, "b")
     both = left.join(right, "key", join_type="full outer", use_threads=False)
     both = both.take(pc.sort_indices(both["key"])).combine_chunks()
-    cut = pc.and_(both["a"].is_valid(), both["b"].is_valid())
-    return pa.table({"doc": pc.shift_right(both["key"], 32), "a": pc.fill_null_backward(both["a"]), "b": pc.fill_null_backward(both["b"]), "cut": cut})
-
-
-def _word_groups(a: pa.ListArray, b: pa.ListArray, pair: Pair) -> list[str]:
-    """``a1,a2|b1;a3|b2,b3`` of each word's groups."""
-    out = []
-    la, lb = pair.a_lengths.to_numpy(zero_copy_only=False), pair.b_lengths.to_numpy(zero_copy_only=False)
-    for x, y in zip(a.to_pylist(), b.to_pylist(), strict=True):
-        if len(x) == 1 or len(y) == 1:
-            out.append(f"{','.join(map(str, x))}|{','.join(map(str, y))}")
-            continue
-        ends = np.cumsum(la[x]).tolist(), np.cumsum(lb[y]).tolist()
-        i = j = 0
-        text = []
-        for end in sorted(set(ends[0]).intersection(ends[1])):
-            k, n = ends[0].index(end, i) + 1, ends[1].index(end, j) + 1
-            text.append(f"{','.join(map(str, x[i:k]))}|{','.join(map(str, y[j:n]))}")
-            i, j = k, n
-        out.append(";".join(text))
-    return out
+    a_ends, b_ends = both["a"].is_valid(), both["b"].is_valid()
+    return pa.table({"doc": pc.shift_right(both["key"], 32), "a": pc.fill_null_backward(both["a"]), "b": pc.fill_null_backward(both["b"]),
+                     "a_ends": a_ends, "b_ends": b_ends, "cut": pc.and_(a_ends, b_ends)})
+
+
+def _group_texts(a: pa.ListArray, b: pa.ListArray, spans: pa.Table, pair: Pair) -> list[memoryview]:
+    """``a1,a2|b1;a3|b2,b3`` of each document's groups, as bytes.
+
+    An id is written with the sign before it. Within a group the ids of A stand before those of B, so an id's place is
+    its own position plus the other side's ids that come first."""
+    cut, first = spans["cut"].to_numpy(zero_copy_only=False), {}
+    group = {}  # of each token: how many groups end before its own end
+    before = np.cumsum(cut) - cut
+    for side in ("a", "b"):
+        own = spans[f"{side}_ends"].to_numpy(zero_copy_only=False)
+        group[side] = before[own]
+        first[side] = np.append(True, group[side][1:] != group[side][:-1])[: len(group[side])]
+    n = int(cut.sum())
+    counts = {side: np.bincount(g, minlength=n) for side, g in group.items()}
+    upto = {side: np.append(0, np.cumsum(c)) for side, c in counts.items()}
+    places = {"a": np.arange(len(group["a"])) + upto["b"][group["a"]], "b": np.arange(len(group["b"])) + upto["a"][group["b"] + 1]}
+    codes = np.empty(len(group["a"]) + len(group["b"]), np.int64)
+    width = len(pair.shown) // len(_SEPARATORS)
+    codes[places["a"]] = pc.list_flatten(a).to_numpy(zero_copy_only=False) + width * np.where(first["a"], 2, 0)
+    codes[places["b"]] = pair.first_b + pc.list_flatten(b).to_numpy(zero_copy_only=False) + width * np.where(first["b"], 1, 0)
+    shown = pair.shown.take(pa.array(codes))
+    data = memoryview(shown.buffers()[2] or b"").cast("B")
+    ends = np.frombuffer(shown.buffers()[1], np.int64, len(shown) + 1, 8 * shown.offset) if len(shown) else np.zeros(1, np.int64)
+    edges = ends[a.offsets.to_numpy(zero_copy_only=False) + b.offsets.to_numpy(zero_copy_only=False)]
+    return [data[i + 1 : j] for i, j in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True)]  # without the first sign
 
 
 class _Block:
@@ -199,9 +214,8 @@ class _Block:
         self.size += len(self.docs[-1][1])
 
     def parts(self, pair: Pair):
-        """(documents, their words, ids of A and B by document, which documents stand) a few at a time."""
+        """(documents, ids of A and B by document, which documents stand) a few at a time."""
         a, b = pair.words(list(self.words))
-        yield a, b
         at = 0
         while at < len(self.docs):
             size, to = 0, at
@@ -221,10 +235,8 @@ class _Block:
 
     def rows(self, pair: Pair, buckets: int):
         block = new_block()
-        parts = self.parts(pair)
-        strings = np.array(_word_groups(*next(parts), pair), object)
         heads, held = [], []
-        for docs, a, b, stand in parts:
+        for docs, a, b, stand in self.parts(pair):
             spans = intervals(a, b, pair)
             code = pc.add(pc.shift_left(spans["a"].cast(pa.int64()), 32), spans["b"].cast(pa.int64()))
             counted = pa.table({"doc": spans["doc"], "pair": code}).group_by(["doc", "pair"], use_threads=False).aggregate([([], "count_all")])
@@ -233,7 +245,7 @@ class _Block:
             of = spans["doc"].to_numpy()
             links, groups = np.bincount(of, minlength=n), np.bincount(of[spans["cut"].to_numpy(zero_copy_only=False)], minlength=n)
             held.append((counted["pair"].to_numpy(), counted["count_all"].to_numpy(), np.bincount(counted["doc"].to_numpy(), minlength=n)))
-            digests = [hashlib.sha256(";".join(strings[c]).encode()).digest() if ok else b"" for (*_, c), ok in zip(docs, stand, strict=True)]
+            digests = [hashlib.sha256(text).digest() if ok else b"" for text, ok in zip(_group_texts(a, b, spans, pair), stand.tolist(), strict=True)]
             lengths = (pc.list_value_length(x).to_numpy(zero_copy_only=False) for x in (a, b))
             heads.append(([i for i, *_ in docs], np.stack([*lengths, groups, links]), digests))
         pairs, times, sizes = (np.concatenate([h[k] for h in held]) for k in range(3))
@@ -300,14 +312,12 @@ def align_documents(docs: DataFrame, models: tuple[str, bytes]) -> DataFrame:
     """ALIGNED: the ids of both tokenizers for each document, and for each group how many ids of either side lie up to
     its end (``a_cuts``, ``b_cuts``)."""
     def give(block: _Block, pair: Pair):
-        parts = block.parts(pair)
-        next(parts)
-        for own, a, b, _ in parts:
+        for own, a, b, _ in block.parts(pair):
             spans = intervals(a, b, pair)
             cut = spans["cut"].to_numpy(zero_copy_only=False)
             of = spans["doc"].to_numpy()[cut]
-            left, right = (np.isin(_ends(x, n, "t")["key"].to_numpy(), _ends(y, m, "t")["key"].to_numpy()) for x, n, y, m in ((a, pair.a_lengths, b, pair.b_lengths), (b, pair.b_lengths, a, pair.a_lengths)))
-            places = [np.flatnonzero(hit) + 1 - x.offsets.to_numpy(zero_copy_only=False)[of] for x, hit in ((a, left), (b, right))]
+            upto = [np.cumsum(spans[f"{side}_ends"].to_numpy(zero_copy_only=False))[cut] for side in ("a", "b")]
+            places = [n - x.offsets.to_numpy(zero_copy_only=False)[of] for x, n in zip((a, b), upto, strict=True)]
             offsets = pa.array(np.append(0, np.cumsum(np.bincount(of, minlength=len(own)))), pa.int32())
             cuts = [pa.ListArray.from_arrays(offsets, pa.array(p, pa.int32())) for p in places]
             yield pa.RecordBatch.from_arrays([pa.array([i for i, *_ in own], pa.int64()), a, b, *cuts], ["doc_id", "a_ids", "b_ids", "a_cuts", "b_cuts"])
@@ -379,33 +389,28 @@ def _with_bucket(buckets: int):
     return run
 
 
-def _report(batches):
-    """Rows in order of (block, values before documents) -> LINKED rows."""
-    block, got, counts, best = None, [], None, None
-    for batch in batches:
-        for r in batch.to_pylist():
-            if r["block"] != block:
-                block, got, counts = r["block"], [], None
-            if r["bucket"] != STREAM:
-                n = 8 + int.from_bytes(r["body"][:8], "little")
-                value = unpack_ints(r["body"][8:n]).astype(np.int64) | (unpack_ints(r["body"][n:]).astype(np.int64) << 32)
-                got.append((unpack_ints(r["numbers"]), value, unpack_ints(r["sizes"]).astype(np.int64)))
-                continue
-            if counts is None:
-                numbers = np.concatenate([g[0] for g in got]) if got else np.zeros(0, np.int64)
-                counts, best = np.zeros(len(numbers), np.int64), np.zeros(len(numbers), np.int64)
-                for own, value, mark in got:
-                    counts[own], best[own] = value, mark
-                got = []
-            ids = r["ids"]
-            head = unpack_ints(r["sizes"]).astype(np.int64).reshape(5, len(ids))
-            n = 8 + int.from_bytes(r["body"][:8], "little")
-            number, times = unpack_ints(r["body"][8:n]), unpack_ints(r["body"][n:]).astype(np.int64)
-            edges = np.append(0, np.cumsum(head[4]))
-            sums = [np.diff(np.append(0, np.cumsum(times * x[number]))[edges]) for x in (best, counts)]
-            digests = [r["numbers"][32 * k : 32 * k + 32].hex() if head[0, k] else "" for k in range(len(ids))]
-            columns = [pa.array(ids, pa.int64()), *(pa.array(x, pa.int64()) for x in (*head[:4], *sums)), pa.array(digests, pa.string())]
-            yield pa.RecordBatch.from_arrays(columns, [c.split()[0] for c in LINKED.split(", ")])
+def _report(documents: pa.Table, values: pa.Table) -> pa.Table:
+    """LINKED rows of one block's documents, from the counts and marks of its pairs."""
+    got = []
+    for r in values.to_pylist():
+        n = 8 + int.from_bytes(r["body"][:8], "little")
+        value = unpack_ints(r["body"][8:n]).astype(np.int64) | (unpack_ints(r["body"][n:]).astype(np.int64) << 32)
+        got.append((unpack_ints(r["numbers"]), value, unpack_ints(r["sizes"])))
+    counts, best = np.zeros(sum(len(g[0]) for g in got), np.int64), np.zeros(sum(len(g[0]) for g in got), np.int64)
+    for own, value, mark in got:
+        counts[own], best[own] = value, mark
+    schema = pa.schema([(c.split()[0], pa.string() if "string" in c else pa.int64()) for c in LINKED.split(", ")])
+    out = [schema.empty_table()]
+    for r in documents.to_pylist():
+        ids = r["ids"]
+        head = unpack_ints(r["sizes"]).astype(np.int64).reshape(5, len(ids))
+        n = 8 + int.from_bytes(r["body"][:8], "little")
+        number, times = unpack_ints(r["body"][8:n]), unpack_ints(r["body"][n:]).astype(np.int64)
+        edges = np.append(0, np.cumsum(head[4]))
+        sums = [np.diff(np.append(0, np.cumsum(times * x[number]))[edges]) for x in (best, counts)]
+        digests = [r["numbers"][32 * k : 32 * k + 32].hex() if head[0, k] else "" for k in range(len(ids))]
+        out.append(pa.table([pa.array(ids, pa.int64()), *(pa.array(x, pa.int64()) for x in (*head[:4], *sums)), pa.array(digests, pa.string())], schema=schema))
+    return pa.concat_tables(out)
 
 
 def linked_documents(docs: DataFrame, models: tuple[str, bytes]) -> DataFrame:
@@ -420,9 +425,8 @@ def linked_documents(docs: DataFrame, models: tuple[str, bytes]) -> DataFrame:
     def give(block: _Block, pair: Pair):
         yield row_batch(block.rows(pair, buckets))
 
-    rows = scratch.save(_documents(docs).mapInArrow(_blocks(shared, give), ROWS), "blocks")
-    partial = keys_of(rows).select("sizes", "body").mapInArrow(_partial_counts, "a int, b int, n long")
+    rows = save_blocks(_documents(docs).mapInArrow(_blocks(shared, give), ROWS), scratch)
+    partial = rows.where(F.col("bucket") != STREAM).select("sizes", "body").mapInArrow(_partial_counts, "a int, b int, n long")
     counts = pair_counts(partial).mapInArrow(_with_bucket(buckets), "bucket int, pair long, value long").mapInArrow(_corpus_rows, ROWS)
-    asked = counts.unionByName(keys_of(rows).withColumn("sizes", F.lit(None).cast("binary")))
-    asked = asked.repartition(partitions, "bucket").sortWithinPartitions("bucket", "block")
-    return together(asked.mapInArrow(_look_up, ROWS), rows, partitions).mapInArrow(_report, LINKED)
+    asked = keys_by_bucket(counts.unionByName(rows.withColumn("sizes", F.when(F.col("bucket") == STREAM, F.col("sizes")))), partitions)
+    return join_blocks(rows, asked.mapInArrow(_look_up, ROWS), _report, LINKED)

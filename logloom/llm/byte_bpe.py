@@ -33,11 +33,10 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logloom.llm.blocks import ROWS, STREAM, keys_of, new_block, row_batch, together
+from logloom.llm.blocks import BLOCK_BYTES, ROWS, STREAM, join_blocks, keys_by_bucket, new_block, row_batch, save_blocks
 from logloom.llm.packing import pack_ints, unpack_ints, unzip, zip_bytes
 from logloom.llm.scratch import Scratch, bounded_batches
 
-BLOCK_BYTES = 32 << 20
 PIECE_CHARS = 1 << 20
 ROW_WORDS = 1 << 18
 BUCKETS_A_PARTITION = 4
@@ -179,25 +178,16 @@ def _encode_words(shared):
     return run
 
 
-def _reassemble(batches):
-    """Rows in order of (block, words before documents)."""
-    block, got, lists = None, [], None
-    for batch in batches:
-        for r in batch.to_pylist():
-            if r["block"] != block:
-                block, got, lists = r["block"], [], None
-            if r["bucket"] != STREAM:
-                got.append((unpack_ints(r["numbers"]), unpack_ints(r["sizes"]), unpack_ints(r["body"])))
-                continue
-            if lists is None:
-                lists = _by_number(got)
-                got = []
-            sizes = unpack_ints(r["sizes"]).astype(np.int64)
-            taken = lists.take(pa.array(unpack_ints(r["body"])))
-            words = np.append(0, np.cumsum(sizes))
-            ends = taken.offsets.to_numpy(zero_copy_only=False)
-            offsets = (ends - ends[0])[words]
-            yield pa.RecordBatch.from_arrays([pa.array(r["ids"], pa.int64()), pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), taken.flatten())], ["doc_id", "ids"])
+def _reassemble(documents: pa.Table, words: pa.Table) -> pa.Table:
+    """The documents of one block with the ids of its words in place of their numbers."""
+    lists = _by_number([tuple(unpack_ints(r[c]) for c in ("numbers", "sizes", "body")) for r in words.to_pylist()])
+    out = [pa.table({"doc_id": pa.array([], pa.int64()), "ids": pa.array([], pa.list_(pa.int32()))})]
+    for r in documents.to_pylist():
+        taken = lists.take(pa.array(unpack_ints(r["body"])))
+        ends = taken.offsets.to_numpy(zero_copy_only=False)
+        offsets = (ends - ends[0])[np.append(0, np.cumsum(unpack_ints(r["sizes"]).astype(np.int64)))]
+        out.append(pa.table({"doc_id": pa.array(r["ids"], pa.int64()), "ids": pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), taken.flatten())}))
+    return pa.concat_tables(out)
 
 
 def _by_number(got: list[tuple]) -> pa.ListArray:
@@ -217,10 +207,10 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str) -> DataFrame:
     scratch = Scratch(spark, "byte-bpe")
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     inner = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    rows = scratch.save(inner.mapInArrow(_explode(pattern, BUCKETS_A_PARTITION * partitions), ROWS), "blocks")
+    rows = save_blocks(inner.mapInArrow(_explode(pattern, BUCKETS_A_PARTITION * partitions), ROWS), scratch)
     shared = spark.sparkContext.broadcast(ranks)
-    words = keys_of(rows).repartition(partitions, "bucket").sortWithinPartitions("bucket")
-    return together(words.mapInArrow(_encode_words(shared), ROWS), rows, partitions).mapInArrow(_reassemble, "doc_id long, ids array<int>")
+    words = keys_by_bucket(rows, partitions).mapInArrow(_encode_words(shared), ROWS)
+    return join_blocks(rows, words, _reassemble, "doc_id long, ids array<int>")
 
 
 def token_bytes(spark: SparkSession, ranks: dict[bytes, int]) -> DataFrame:

@@ -7,7 +7,7 @@ gives the new centroids. Only clusters x (dimensions + 1) numbers reach the driv
 bounded by ``MAX_CENTROID_VALUES``.
 
 The distance to a centroid c is |x|^2 + |c|^2 - 2 x.c, so a lambda multiplies and adds once for each component; all is
-exact integer arithmetic (a value too large for it raises under ANSI mode, it never wraps).
+exact integer arithmetic: a component whose square could make a distance of 2**62 or more raises, nothing wraps.
 
 Defined cases: a vector that is null, has another length, or a null or non-finite component is left out; repeated rows
 count each; fewer vectors than centroids give as many centroids as there are vectors; equal seeds (repeated ids) are
@@ -15,6 +15,7 @@ taken in order of their components; without vectors there are no rows; clashing
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Row
@@ -36,7 +37,10 @@ def integer_vectors(rows: DataFrame, id_col: str = "vec_id", vector: str = "embe
     inner = rows.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{vector}`").cast("array<double>").alias("x"))
     finite = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     kept = inner.where(v.isNotNull() & (F.size(v) == dimensions) & F.coalesce(finite, F.lit(False)))
-    return kept.select("id", F.transform(v, lambda x: F.floor(x * float(scale)).cast("long")).alias("v"))
+    most = float(math.isqrt((1 << 60) // dimensions))  # a difference is twice that at most
+    too_large = F.raise_error(F.lit("a component is too large for exact distances")).cast("long")
+    whole = F.transform(v, lambda x: F.when(F.abs(x * float(scale)) < most, F.floor(x * float(scale)).cast("long")).otherwise(too_large))
+    return kept.select("id", whole.alias("v"))
 
 
 def first_centroids(vectors: DataFrame, clusters: int = CLUSTERS, seed: str = SEED) -> list[list[int]]:
