@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 from pyspark.sql.window import Window
 
+
 def first_n(df: DataFrame, n: int, *order: str) -> DataFrame:
     """O-02: limit after a key sort (top-k per task, then a merge)."""
     return df.orderBy(*order).limit(n)
@@ -40,11 +42,17 @@ def global_row_index(df: DataFrame, order: list[Column | str], index_col: str =
                       (F.col("_off") + F.col("_mid") - F.col("_m0")).alias(index_col))
 
 
-def row_slice(df: DataFrame, start: int, n: int, *order: str) -> DataFrame:
-    """O-03/O-04: rows [start, start + n) of the key order by the
-    distributed global row index, however deep the slice. Equal keys are
-    ordered by the other columns, so the slice doesn't depend on the layout."""
+SHALLOW_ROWS = 100_000  # a top-k keeps start + n rows a task, so a deeper slice takes the row index
+
+
+def row_slice(df: DataFrame, start: int, n: int, *order: str, shallow: int = SHALLOW_ROWS) -> DataFrame:
+    """O-03/O-04: rows [start, start + n) of the key order. Equal keys are
+    ordered by the other columns, so the slice doesn't depend on the layout.
+    A slice that ends within ``shallow`` rows is one top-k under that order;
+    a deeper one uses the distributed global row index of the same order."""
     rest = [f.name for f in df.schema.fields if f.name not in order and f.dataType.typeName() not in ("map", "variant")]
+    if start + n <= shallow:
+        return df.orderBy(*order, *rest).offset(start).limit(n)
     idx = global_row_index(df, [*order, *rest], "_row")
     return idx.filter((F.col("_row") >= start) & (F.col("_row") < start + n)).drop("_row")
 
@@ -91,3 +99,43 @@ def hash_split(df: DataFrame, weights: list[float], key: str, seed: int = 0,
 def split_label(key: str, train: float = 0.8, seed: int = 0, portable: bool = False) -> Column:
     """The split as a column: 'train' or 'test'."""
     return F.when(unit_hash(key, seed, portable) < F.lit(train), F.lit("train")).otherwise(F.lit("test"))
+
+
+class Bands:
+    """O-06 without a random row per step: the rows of a table dealt into
+    ``n`` disjoint bands by a hash, in the shared folder with a folder for
+    each band. Reading one band reads its share of the rows only."""
+
+    def __init__(self, table: DataFrame, n: int):
+        self.table, self.n = table, n
+
+    def read(self, band: int) -> DataFrame:
+        if not 0 <= band < self.n:
+            raise ValueError(f"band {band} of {self.n}")
+        return self.table.where(F.col("_band") == band).drop("_band")
+
+
+def band_of(key: Column | str, n: int, seed: int = 0, portable: bool = False) -> Column:
+    """The band (0 to n - 1) of a row key. It depends on the key's value and
+    the seed alone, so any layout gives the same bands; ``portable`` is the
+    md5 form that other engines can reproduce."""
+    return F.least(F.floor(unit_hash(key, seed, portable) * F.lit(float(n))).cast("int"), F.lit(n - 1))
+
+
+def hash_bands(df: DataFrame, n: int, key: Column | str | None = None, seed: int = 0,
+               portable: bool = False) -> Bands:
+    """Deal ``df`` into ``n`` bands, written once. Without a key the band
+    comes from all columns, so equal rows share a band; give a unique key
+    where a few rows repeat very often. The write is rebalanced, so a large
+    band becomes several files and small ones aren't scattered."""
+    from logloom.sources.sinks import write_parquet
+    from logloom.sources.staging import scratch_dir
+    if n < 1:
+        raise ValueError("n must be at least 1")
+    spark = df.sparkSession
+    whole = F.xxhash64(*df.columns)
+    banded = df.withColumn("_band", band_of(whole if key is None else key, n, seed, portable))
+    path = scratch_dir(spark, "bands")
+    write_parquet(banded, path, partition_by=["_band"])
+    schema = StructType([*banded.schema.fields])
+    return Bands(spark.read.schema(schema).parquet(path), n)

@@ -3,9 +3,12 @@
 
 from __future__ import annotations
 
+import functools
 import math
 import uuid
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -41,97 +44,102 @@ def length_stats(values: Column, prefix: str, digits: int | None = 6) -> list[Co
             r(F.stddev_samp(values)).alias(f"stddev_{prefix}")]
 
 
-def _stage_values(df: DataFrame, col: str) -> tuple[DataFrame, str]:
-    """Write the (computed) score column once to the shared folder so each
-    narrowing pass is a Parquet scan with the range filter pushed down."""
+_SIGN = np.int64(-1) ^ np.iinfo(np.int64).min  # all bits but the sign
+
+
+def _order_keys(batches):
+    """Doubles -> 64-bit integers in the same order (null and NaN left out).
+
+    A double's bits, read as a sign and a magnitude, order like its value;
+    flipping the magnitude of negative numbers makes that the integers' own
+    order. -0.0 is 0.0."""
+    for batch in batches:
+        v = batch.column(0).drop_null().to_numpy(zero_copy_only=False)
+        bits = (v[~np.isnan(v)] + 0.0).view(np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array(np.where(bits < 0, bits ^ _SIGN, bits))], ["key"])
+
+
+def _key_value(key: int) -> float:
+    """The double of an order key."""
+    bits = np.int64(key)
+    return float((bits ^ _SIGN if bits < 0 else bits).view(np.float64))
+
+
+def _select_ranks(keys: DataFrame, ranks: list[int], bits: int) -> dict[int, int]:
+    """The key at each 0-based rank, by radix selection.
+
+    A pass counts the next ``bits`` bits of the keys that share the bits
+    found so far with a wanted rank: one grouped count with at most 2**bits
+    rows a distinct prefix, and a pushed-down range filter. 64 / bits passes
+    end at single keys; no key is collected, whatever the values are."""
+    found = {r: (0, r, 64) for r in ranks}  # rank -> prefix (signed), rank inside it, bits left
+    while any(left for *_, left in found.values()):
+        left = next(iter(found.values()))[2]
+        step = min(bits, left)
+        rest = left - step
+        prefixes = sorted({p for p, *_ in found.values()})
+        k = F.col("key")
+        digit = F.shiftright(k, rest).alias("p") if rest else k.alias("p")  # the prefix and its next digit
+        if left < 64:
+            inside = [(k >= F.lit(p << left)) & (k <= F.lit(((p + 1) << left) - 1)) for p in prefixes]
+            keys_in = keys.where(functools.reduce(Column.__or__, inside))
+        else:
+            keys_in = keys
+        counts = keys_in.groupBy(digit).agg(F.count(F.lit(1)).alias("n")).toPandas().sort_values("p")
+        digits, n = counts["p"].to_numpy(np.int64), counts["n"].to_numpy(np.int64)
+        for rank, (prefix, at, _) in found.items():
+            own = (digits >> step == prefix) if left < 64 else np.ones(len(digits), bool)
+            upto = np.cumsum(n[own])
+            i = int(np.searchsorted(upto, at, "right"))
+            found[rank] = int(digits[own][i]), at - int(upto[i - 1] if i else 0), rest
+    return {rank: prefix for rank, (prefix, *_) in found.items()}
+
+
+def _between(a: float, b: float, part: float) -> float:
+    """``a`` to ``b`` by a share in [0, 1), without overflow. Between
+    -infinity and a larger value it is -infinity, to infinity infinity."""
+    if part == 0 or a == b or math.isinf(a):
+        return a
+    width = b - a
+    return a + part * width if math.isfinite(width) or math.isinf(b) else a * (1 - part) + b * part
+
+
+def exact_percentiles(df: DataFrame, col: str, ps: list[float], bits: int = 16) -> list[float | None]:
+    """Exact percentiles with linear interpolation (numpy's default, SQL
+    ``percentile_cont``), all from the same passes. Null and NaN are ignored;
+    without values every percentile is None.
+
+    The values are written once to the shared folder as 64-bit keys of the
+    same order, so a pass reads eight bytes a row at most. Ranks are selected
+    by radix (``_select_ranks``): four passes of at most 65,536 counts for
+    each distinct prefix, for any distribution, infinities and the widest
+    range included. Neither values nor a sorted partition are gathered."""
+    from logloom.sources.staging import delete_path
+    if any(not 0.0 <= p <= 1.0 for p in ps):
+        raise ValueError("p must be in [0, 1]")
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/logloom-pct/{uuid.uuid4().hex}"
-    (df.select(F.col(col).cast("double").alias("v"))
-       .filter(F.col("v").isNotNull() & ~F.isnan("v"))
-       .write.mode("overwrite").parquet(path))
-    return spark.read.parquet(path), path
-
-
-def _kth(values: DataFrame, k: int, lo: float, hi: float, n_in: int, below: int,
-         max_collect: int, buckets: int) -> float:
-    """k-th smallest (0-based) value. ``[lo, hi]`` holds ``n_in`` values and
-    ``below`` values lie under ``lo``. Each pass counts values per
-    equal-width bucket (a grouped count of at most ``buckets`` rows) and keeps
-    the one bucket holding rank k, until it is small enough to collect."""
-    v = F.col("v")
-    for _ in range(200):
-        if lo == hi:
-            return lo
-        window = values.filter((v >= lo) & (v <= hi))
-        if n_in <= max_collect:
-            got = sorted(r[0] for r in window.collect())
-            return got[k - below]
-        width = hi - lo
-        b = F.least(F.floor((v - F.lit(lo)) / F.lit(width) * F.lit(buckets)).cast("int"),
-                    F.lit(buckets - 1))
-        hist = (window.groupBy(b.alias("b"))
-                      .agg(F.count(F.lit(1)).alias("n"), F.min(v).alias("lo"), F.max(v).alias("hi"))
-                      .orderBy("b").collect())
-        acc = below
-        for row in hist:
-            if k < acc + row["n"]:
-                lo, hi, n_in, below = row["lo"], row["hi"], row["n"], acc
-                break
-            acc += row["n"]
-    raise RuntimeError("percentile search did not converge")
-
-
-def exact_percentile(df: DataFrame, col: str, p: float, max_collect: int = 50_000,
-                     buckets: int = 8192, stage: bool | None = None) -> float | None:
-    """Exact percentile with linear interpolation (numpy's default, SQL
-    ``percentile_cont``) without holding all values in one task: histogram
-    passes narrow the value range to the wanted ranks. Null and NaN are
-    ignored. Only bucket counts and at most ``max_collect`` values reach
-    the driver."""
-    if not 0.0 <= p <= 1.0:
-        raise ValueError("p must be in [0, 1]")
-    clean = df.select(F.col(col).cast("double").alias("v")).filter(
-        F.col("v").isNotNull() & ~F.isnan("v"))
-    stats = clean.agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"),
-                      F.max("v").alias("hi")).first()
-    n = stats["n"]
-    if n == 0:
-        return None
-    # Infinities take the outer ranks; the search runs over finite values.
-    inf = float("inf")
-    ends = clean.agg(F.count_if(F.col("v") == -inf).alias("low"), F.count_if(F.col("v") == inf).alias("high")).first() \
-        if stats["lo"] == -inf or stats["hi"] == inf else {"low": 0, "high": 0}
-    pos = p * (n - 1)
-    k_lo, k_hi = math.floor(pos), math.ceil(pos)
-    if ends["low"] or ends["high"]:
-        finite = n - ends["low"] - ends["high"]
-
-        def at(k: int) -> float:
-            if k < ends["low"]:
-                return -inf
-            if k >= ends["low"] + finite:
-                return inf
-            inner = df.filter(F.abs(F.col(col).cast("double")) < inf)
-            return exact_percentile(inner, col, (k - ends["low"]) / max(1, finite - 1), max_collect, buckets, stage)
-
-        a, b = at(k_lo), at(k_hi)
-        return a if a == b or k_lo == k_hi else a + (pos - k_lo) * (b - a)
-    values, staged = clean, None
-    if stage or (stage is None and n > max_collect):
-        values, staged = _stage_values(df, col)
+    df.select(F.col(col).cast("double").alias("v")).mapInArrow(_order_keys, "key bigint").write.parquet(path)
     try:
-        v_lo = _kth(values, k_lo, stats["lo"], stats["hi"], n, 0, max_collect, buckets)
-        if k_hi == k_lo:
-            return v_lo
-        v = F.col("v")
-        nxt = values.agg(F.count_if(v <= v_lo).alias("le"),
-                         F.min(F.when(v > v_lo, v)).alias("next")).first()
-        v_hi = v_lo if nxt["le"] > k_hi else nxt["next"]
-        return v_lo + (pos - k_lo) * (v_hi - v_lo)
+        keys = spark.read.schema("key bigint").parquet(path)
+        n = keys.count()
+        if n == 0:
+            return [None] * len(ps)
+        at = [p * (n - 1) for p in ps]
+        ranks = sorted({k for x in at for k in (math.floor(x), math.ceil(x))})
+        value = {r: _key_value(k) for r, k in _select_ranks(keys, ranks, bits).items()}
+        return [_between(value[math.floor(x)], value[math.ceil(x)], x - math.floor(x)) for x in at]
     finally:
-        if staged:
-            from logloom.sources.staging import delete_path
-            delete_path(df.sparkSession, staged)
+        delete_path(spark, path)
+
+
+def exact_percentile(df: DataFrame, col: str, p: float, max_collect: int | None = None,
+                     buckets: int = 1 << 16, stage: bool | None = None) -> float | None:
+    """One exact percentile (``exact_percentiles``). ``buckets`` is the most
+    counts a pass may give for a prefix (a power of two is used). No value is
+    collected and the keys are always staged, so ``max_collect`` and
+    ``stage`` of earlier versions have no effect."""
+    return exact_percentiles(df, col, [p], bits=max(1, min(16, buckets.bit_length() - 1)))[0]
 
 
 def approx_percentile(df: DataFrame, col: str, p: float, accuracy: int = 10_000) -> float:
@@ -149,17 +157,44 @@ def flag_above(df: DataFrame, score: str, threshold: float | None, flag: str = "
 
 def flag_percentile(df: DataFrame, score: str, p: float = 0.95, flag: str = "is_anomaly",
                     exact: bool = True, materialize: bool = False,
-                    max_collect: int = 50_000) -> tuple[DataFrame, float | None]:
+                    max_collect: int | None = None) -> tuple[DataFrame, float | None]:
     """A-08 + M-18: flag rows above the p-th percentile of ``score``.
 
     With ``materialize`` (for computed scores) the scored rows are written
-    once to the shared folder; the percentile passes and the flagged
+    once to the shared folder; the percentile's keys and the flagged
     output both read that table, so the scores are computed once.
-    ``max_collect`` bounds the values that the exact percentile sorts on the
-    driver. The threshold is None when there are no scores."""
+    ``max_collect`` of earlier versions has no effect. The threshold is None
+    when there are no scores."""
     if materialize:
         from logloom.sources.staging import materialize as _mat
         df = _mat(df, "scores")
-    t = (exact_percentile(df, score, p, max_collect, stage=False if materialize else None) if exact
-         else approx_percentile(df, score, p))
+    t = exact_percentile(df, score, p) if exact else approx_percentile(df, score, p)
     return flag_above(df, score, t, flag), t
+
+
+# ---- A-05: distinct counts that merge --------------------------------------
+
+def distinct_sketches(df: DataFrame, by: list[str], value: str, lg_k: int = 12) -> DataFrame:
+    """A-05 at scale: one HLL sketch of ``value`` for each key of ``by``, with
+    its row count. A sketch has 2**lg_k registers at most, however many
+    rows it saw (relative standard error about 1.04 / sqrt(2**lg_k)); tasks
+    sketch their own rows before the shuffle. The table can be stored and
+    later merged over any coarser key (``merge_sketches``): a new day adds
+    rows, no old day is read again. Null values aren't counted."""
+    v = F.col(value).cast("string")
+    return df.groupBy(*by).agg(F.count(F.lit(1)).alias("rows"), F.hll_sketch_agg(v, F.lit(lg_k)).alias("sketch"))
+
+
+def merge_sketches(sketches: DataFrame, by: list[str] | None = None) -> DataFrame:
+    """Union of sketches over the keys of ``by`` (none: over all of them)."""
+    return sketches.groupBy(*(by or [])).agg(F.sum("rows").alias("rows"), F.hll_union_agg("sketch").alias("sketch"))
+
+
+def sketch_estimate(sketch: Column | str = "sketch") -> Column:
+    """The distinct count that a sketch estimates."""
+    return F.hll_sketch_estimate(sketch)
+
+
+def sketch_error(lg_k: int = 12) -> float:
+    """Relative standard error of an estimate."""
+    return 1.04 / math.sqrt(1 << lg_k)

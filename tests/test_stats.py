@@ -62,14 +62,15 @@ def test_flag_above_is_strict(spark):
 
 def test_row_slice_ties_do_not_depend_on_the_layout(spark):
     df = spark.range(0, 400).select((F.col("id") % 5).alias("k"), F.col("id").alias("v"))
-    got = [sorted(tuple(r) for r in S.row_slice(df.repartition(p), 75, 10, "k").collect()) for p in (1, 3, 8)]
-    assert got[0] == got[1] == got[2] == sorted([(0, v) for v in range(375, 400, 5)] + [(1, v) for v in range(1, 26, 5)])
+    got = [sorted(tuple(r) for r in S.row_slice(df.repartition(p), 75, 10, "k", shallow=depth).collect()) for p in (1, 3, 8) for depth in (0, 1000)]
+    assert all(g == got[0] for g in got) and got[0] == sorted([(0, v) for v in range(375, 400, 5)] + [(1, v) for v in range(1, 26, 5)])
 
 
 def test_deep_row_slice_uses_distributed_index(spark):
     df = spark.range(0, 5000).withColumnRenamed("id", "k").repartition(6)
-    got = [r[0] for r in S.row_slice(df, 4000, 7, "k").orderBy("k").collect()]
+    got = [r[0] for r in S.row_slice(df, 4000, 7, "k", shallow=100).orderBy("k").collect()]
     assert got == list(range(4000, 4007))
+    assert [r[0] for r in S.row_slice(df, 4000, 7, "k").collect()] == got
     idx = S.global_row_index(df, ["k"]).collect()
     assert all(r["row_index"] == r["k"] for r in idx)
 
@@ -101,3 +102,57 @@ def test_percentile_with_infinities_nan_and_no_rows(spark):
     assert t == 1.5 and sorted(r["is_anomaly"] for r in flagged.collect()) == [False, False, True]
     empty, t = ST.flag_percentile(spark.createDataFrame([], "s double"), "s")
     assert t is None and empty.collect() == []
+
+
+def _plain_percentile(values, p):
+    at = p * (len(values) - 1)
+    lo, hi = (float(x) for x in np.sort(values)[[int(np.floor(at)), int(np.ceil(at))]])
+    return lo, hi, at - np.floor(at)
+
+
+def test_percentiles_at_a_rank_are_the_value_itself(spark):
+    """0..49 and infinity at p = 0.02: rank 1 exactly, so 1.0 isn't flagged."""
+    df = spark.createDataFrame([(float(x),) for x in [*range(50), float("inf")]], "s double")
+    assert ST.exact_percentile(df, "s", 0.02) == 1.0
+    flagged, t = ST.flag_percentile(df, "s", 0.02)
+    assert t == 1.0 and flagged.where("s = 1 and is_anomaly").count() == 0
+
+
+def test_percentiles_of_the_widest_range(spark):
+    big = 1.7e308
+    values = [-big, big, 0.0, -0.0, 5e-324, -5e-324, 1.0, -1.0, big / 2, float("inf"), float("-inf")]
+    df = spark.createDataFrame([(v,) for v in values], "s double")
+    ps = [k / 40 for k in range(41)]
+    for got, p in zip(ST.exact_percentiles(df, "s", ps), ps, strict=True):
+        lo, hi, part = _plain_percentile(values, p)
+        want = lo if part == 0 or lo == hi or np.isinf(lo) else hi if np.isinf(hi) else lo * (1 - part) + hi * part
+        assert got == want or abs(got - want) <= 1e-12 * abs(want) + 1e-300, (p, got, want)
+
+
+def test_percentiles_of_many_kinds_of_values(spark):
+    rng = np.random.default_rng(12)
+    for values in (rng.normal(size=500), np.repeat([3.5, -2.0], 200), np.arange(300) * 1e-300, rng.integers(-3, 3, 400).astype(float), np.array([7.0])):
+        df = spark.createDataFrame([(float(v),) for v in values], "s double")
+        ps = [0.0, 0.1, 0.333, 0.5, 0.95, 0.999, 1.0]
+        assert np.allclose(ST.exact_percentiles(df, "s", ps, bits=11), np.percentile(values, np.array(ps) * 100), rtol=1e-12, atol=0)
+
+
+def test_order_keys_order_like_the_values():
+    import pyarrow as pa
+    values = np.array([float("-inf"), -1.7e308, -1.0, -5e-324, 0.0, 5e-324, 1.0, 1.7e308, float("inf")])
+    batch = pa.RecordBatch.from_arrays([pa.array([*values, None, float("nan"), -0.0])], ["v"])
+    keys = next(ST._order_keys(iter([batch]))).column(0).to_pylist()
+    assert keys[:-1] == sorted(keys[:-1]) and len(set(keys)) == 9 and keys[-1] == keys[4]
+    assert [ST._key_value(k) for k in keys[:-1]] == values.tolist()
+
+
+def test_sketches_merge_within_their_error(spark):
+    df = spark.range(60_000).select((F.col("id") % 3).alias("day"), (F.col("id") % 20_000).alias("v"), F.when(F.col("id") < 40_000, "hot").otherwise("other").alias("site"))
+    days = ST.distinct_sketches(df, ["day", "site"], "v")
+    for by, exact in ((["day"], df.groupBy("day")), (["site"], df.groupBy("site"))):
+        want = {r[0]: r[1] for r in exact.agg(F.count_distinct("v")).collect()}
+        got = {r[0]: r[1] for r in ST.merge_sketches(days, by).select(by[0], ST.sketch_estimate()).collect()}
+        assert all(abs(got[k] - n) <= 4 * ST.sketch_error() * n for k, n in want.items()), (want, got)
+    total = ST.merge_sketches(days).select("rows", ST.sketch_estimate().alias("n")).first()
+    assert total["rows"] == 60_000 and abs(total["n"] - 20_000) <= 4 * ST.sketch_error() * 20_000
+    assert ST.merge_sketches(days.limit(0)).select(ST.sketch_estimate().alias("n")).first()["n"] in (None, 0)
