@@ -7,6 +7,10 @@ combines them (at most nodes x dim rows), and the driver smooths that
 small table with the grid kernel. Driver cost is nodes x dim per pass,
 never rows; a node that attracts a third of all rows is pre-summed inside
 every task before the shuffle.
+
+A column of ML vectors stays sparse: its rows reach numpy as compressed
+sparse rows, and the cost of a best match follows the stored entries, not
+the dimension. Arrays and column lists are dense rows.
 """
 
 from __future__ import annotations
@@ -15,16 +19,19 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import StorageLevel
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import (ArrayType, DoubleType, IntegerType, LongType,
                                StructField, StructType)
 
 from logloom.sources.tables import spread
-from logloom.operators.vectors import FEATURES, as_double_array, batch_matrix, check_model_size
+from logloom.operators.sampling import hash_bands
+from logloom.operators.vectors import (FEATURES, SparseRows, as_double_array, batch_matrix,
+                                       check_model_size, is_vector, sparse_rows)
 
 _BLOCK = 1 << 22  # doubles of one distance block (32 MB), whatever the grid and the dimension
 
@@ -54,6 +61,46 @@ def _bmu_and_dist(x: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return idx, dist
 
 
+def _sparse_bmu_and_dist(x: SparseRows, w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``_bmu_and_dist`` of sparse rows. A block's products are its entries
+    times the nodes (32 MB); near-ties and rows very close to their unit
+    are compared again as dense rows, so the result is that of the plain
+    form."""
+    idx = np.empty(len(x), dtype=np.int64)
+    dist = np.empty(len(x), dtype=np.float64)
+    w2 = (w ** 2).sum(axis=1)
+    by_feature = np.ascontiguousarray(w.T)
+    most = max(1, _BLOCK // max(1, len(w)))
+    lo = 0
+    while lo < len(x):
+        hi = int(np.searchsorted(x.start, x.start[lo] + most, "right")) - 1
+        hi = min(max(hi, lo + 1), lo + most, len(x))
+        blk = x.rows(lo, hi)
+        dot = blk.row_sums(blk.value[:, None] * by_feature[blk.index])
+        x2 = blk.row_sums(blk.value ** 2)
+        d2 = x2[:, None] + w2[None, :] - 2.0 * dot
+        j = d2.argmin(axis=1)
+        slack = 1e-12 * w.shape[1] * (x2 + w2.max(initial=0.0)) + 1e-300
+        close = d2 <= (d2[np.arange(len(blk)), j] + slack)[:, None]
+        for r in np.flatnonzero(close.sum(axis=1) > 1):
+            nodes = np.flatnonzero(close[r])
+            j[r] = nodes[((w[nodes] - blk.dense([r])) ** 2).sum(axis=1).argmin()]
+        # |x - w|^2 over the row's entries, plus the rest of |w|^2.
+        own = w[np.repeat(j, np.diff(blk.start)), blk.index]
+        gap = blk.row_sums(np.stack([(blk.value - own) ** 2, own ** 2], axis=1))
+        exact = gap[:, 0] + np.maximum(w2[j] - gap[:, 1], 0.0)
+        for r in np.flatnonzero(exact < 1e-6 * w2[j]):
+            exact[r] = ((w[j[r]] - blk.dense([r])) ** 2).sum()
+        idx[lo:hi], dist[lo:hi] = j, np.sqrt(exact)
+        lo = hi
+    return idx, dist
+
+
+def _vector_struct(col: str) -> Column:
+    """A vector column in its struct form, for Arrow."""
+    return F.unwrap_udt(F.col(col))
+
+
 def _sum_by_node(idx: np.ndarray, x: np.ndarray, sums: np.ndarray) -> None:
     order = np.argsort(idx, kind="stable")
     nodes, first = np.unique(idx[order], return_index=True)
@@ -117,6 +164,8 @@ class SomModel:
         w = np.ascontiguousarray(self.weights, dtype=np.float64)
         check_model_size(w)
         n_cols = self.n
+        if is_vector(df, features):
+            return self._score_sparse(df, features, keep, w)
         src = df.select(*keep, as_double_array(df, features).alias(FEATURES))
         out_schema = StructType([*[f for f in src.schema.fields if f.name in keep],
                                  StructField("bmu", LongType()), StructField("bmu_row", LongType()),
@@ -137,6 +186,20 @@ class SomModel:
 
         return src.mapInPandas(run, out_schema)
 
+    def _score_sparse(self, df: DataFrame, features: str, keep: list[str], w: np.ndarray) -> DataFrame:
+        n_cols, dim = self.n, w.shape[1]
+        src = df.select(*keep, _vector_struct(features).alias(FEATURES))
+        out_schema = StructType([*src.schema.fields[:-1], StructField("bmu", LongType()), StructField("bmu_row", LongType()),
+                                 StructField("bmu_col", LongType()), StructField("distance", DoubleType())])
+
+        def run(batches):
+            for batch in batches:
+                idx, dist = _sparse_bmu_and_dist(sparse_rows(batch.column(FEATURES), dim), w)
+                found = [pa.array(idx), pa.array(idx // n_cols), pa.array(idx % n_cols), pa.array(dist)]
+                yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), *found], out_schema.names)
+
+        return src.mapInArrow(run, out_schema)
+
     def quantization_error(self, df: DataFrame, features: str | list[str]) -> float:
         return self.score(df, features, []).agg(F.avg("distance")).first()[0]
 
@@ -169,10 +232,21 @@ def bmu_statistics(df: DataFrame, features: str | list[str], weights: np.ndarray
     w = np.ascontiguousarray(weights, dtype=np.float64)
     check_model_size(w)
     k, dim = w.shape
-    src = df.select(as_double_array(df, features).alias(FEATURES))
     schema = StructType([StructField("bmu", IntegerType()), StructField("n", LongType()),
                          StructField("s", ArrayType(DoubleType()))])
 
+    def run_sparse(batches):
+        sums = np.zeros((k, dim))
+        counts = np.zeros(k, dtype=np.int64)
+        for batch in batches:
+            x = sparse_rows(batch.column(FEATURES), dim)
+            idx, _ = _sparse_bmu_and_dist(x, w)
+            np.add.at(sums, (np.repeat(idx, np.diff(x.start)), x.index), x.value)
+            counts += np.bincount(idx, minlength=k)
+        for j in np.flatnonzero(counts):
+            yield pa.RecordBatch.from_arrays([pa.array([j], pa.int32()), pa.array([counts[j]], pa.int64()),
+                                              pa.array([sums[j]], pa.list_(pa.float64()))], schema.names)
+
     def run(batches):
         sums = np.zeros((k, dim))
         counts = np.zeros(k, dtype=np.int64)
@@ -188,7 +262,10 @@ def bmu_statistics(df: DataFrame, features: str | list[str], weights: np.ndarray
             yield pd.DataFrame({"bmu": hit.astype(np.int32), "n": counts[hit],
                                 "s": [sums[j] for j in hit]})
 
-    part = src.mapInPandas(run, schema)
+    if is_vector(df, features):
+        part = df.select(_vector_struct(features).alias(FEATURES)).mapInArrow(run_sparse, schema)
+    else:
+        part = df.select(as_double_array(df, features).alias(FEATURES)).mapInPandas(run, schema)
     agg = part.groupBy("bmu").agg(Summarizer.sum(array_to_vector("s")).alias("s"), F.sum("n").alias("n"))
     s = np.zeros((k, dim))
     c = np.zeros(k)
@@ -210,36 +287,55 @@ def _toward(weights: np.ndarray, num: np.ndarray, den: np.ndarray, rate: float)
     return weights + rate * (target - weights)
 
 
+def feature_bounds(df: DataFrame, features: str | list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Each feature's min and max from one summarizer: a single aggregate
+    whatever the dimension, over the stored entries of sparse vectors."""
+    vec = F.col(features) if is_vector(df, features) else array_to_vector(as_double_array(df, features))
+    row = df.select(Summarizer.metrics("min", "max").summary(vec).alias("s")).first()["s"]
+    if row is None or row["min"] is None or not row["min"].size:
+        raise ValueError("no rows to take the feature bounds from")
+    return row["min"].toArray(), row["max"].toArray()
+
+
 def initial_codebook(df: DataFrame, features: str | list[str], m: int, n: int,
                      seed: int = 0) -> np.ndarray:
     """Seeded uniform start inside each feature's [min, max] (one pass)."""
-    x = as_double_array(df, features)
-    dim = df.select(F.size(x)).first()[0]
-    stats = df.select(x.alias("x")).select(
-        *[F.min(F.col("x")[i]).alias(f"lo{i}") for i in range(dim)],
-        *[F.max(F.col("x")[i]).alias(f"hi{i}") for i in range(dim)]).first()
-    lo = np.array([stats[f"lo{i}"] for i in range(dim)])
-    hi = np.array([stats[f"hi{i}"] for i in range(dim)])
+    lo, hi = feature_bounds(df, features)
     rng = np.random.default_rng(seed)
-    return lo + rng.random((m * n, dim)) * (hi - lo)
+    return lo + rng.random((m * n, len(lo))) * (hi - lo)
 
 
 def train_som(df: DataFrame, features: str | list[str], m: int = 10, n: int = 10,
               iterations: int = 20, sigma: float = 1.0, learning_rate: float = 1.0,
               decay: bool = True, cutoff: float | None = None, seed: int = 0,
-              init: np.ndarray | None = None, persist: bool = True) -> SomModel:
+              init: np.ndarray | None = None, persist: bool = True, bands: int = 1,
+              key: Column | str | None = None, portable: bool = False) -> SomModel:
     """M-12..M-14 as batch passes. With ``decay`` the rate and radius fall
-    linearly over the passes (floored so the kernel stays defined)."""
-    data = spread(df.select(as_double_array(df, features).alias(FEATURES)))
-    if persist:
-        data = data.persist(StorageLevel.MEMORY_AND_DISK)
+    linearly over the passes (floored so the kernel stays defined).
+
+    With ``bands`` above 1, training is by mini-batches (O-06): the rows are
+    dealt once into that many disjoint bands by a hash of ``key`` (all
+    features without one), and step t reads band t modulo ``bands`` only, so
+    a step costs its share of the rows and every row is drawn once a round."""
+    kept = F.col(features) if is_vector(df, features) else as_double_array(df, features)
+    if bands > 1:
+        own_key = F.col(key) if isinstance(key, str) else key
+        keyed = df.select(kept.alias(FEATURES), (F.xxhash64(kept) if own_key is None else own_key).alias("_key"))
+        dealt = hash_bands(keyed, bands, "_key", seed, portable)
+        steps = [dealt.read(b).select(FEATURES) for b in range(bands)]
+        data, persist = dealt.table.select(FEATURES), False
+    else:
+        data = spread(df.select(kept.alias(FEATURES)))
+        if persist:
+            data = data.persist(StorageLevel.MEMORY_AND_DISK)
+        steps = [data]
     try:
         w = init.copy() if init is not None else initial_codebook(data, FEATURES, m, n, seed)
         for t in range(iterations):
             frac = 1.0 - t / iterations if decay else 1.0
             sig = max(sigma * frac, 1e-3)
             rate = learning_rate * frac if decay else learning_rate
-            s, c = bmu_statistics(data, FEATURES, w)
+            s, c = bmu_statistics(steps[t % bands], FEATURES, w)
             w = _toward(w, grid_smooth(s, m, n, sig, cutoff), grid_smooth(c[:, None], m, n, sig, cutoff)[:, 0], rate)
         return SomModel(m, n, w)
     finally:

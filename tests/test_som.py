@@ -99,3 +99,86 @@ def test_wide_grid_with_a_thousand_features(spark):
     df = spark.range(60).select(F.transform(F.sequence(F.lit(0), F.lit(1005)), lambda k: ((F.col("id") * 7 + k) % 13).cast("double")).alias("f"))
     model = SOM.train_som(df, "f", 10, 1013, iterations=1, sigma=506, learning_rate=0.4, decay=False, cutoff=506, seed=2)
     assert model.weights.shape == (10130, 1006) and np.isfinite(model.weights).all()
+
+
+def _sparse_table(spark, n=300, dim=1005, seed=3):
+    from pyspark.ml.linalg import Vectors
+    rng = np.random.default_rng(seed)
+    rows, dense = [], np.zeros((n, dim))
+    for i in range(n):
+        at = np.sort(rng.choice(dim, rng.integers(0, 12), replace=False))
+        values = rng.integers(1, 4, len(at)).astype(float)
+        dense[i, at] = values
+        rows.append((i, Vectors.dense(dense[i]) if i % 7 == 0 else Vectors.sparse(dim, at.tolist(), values.tolist())))
+    return spark.createDataFrame(rows, ["id", "f"]), dense
+
+
+def test_sparse_rows_give_the_dense_result(spark):
+    df, dense = _sparse_table(spark)
+    rng = np.random.default_rng(1)
+    w = np.concatenate([rng.random((20, dense.shape[1])), dense[:3], np.zeros((2, dense.shape[1]))])
+    model = SOM.SomModel(5, 5, w)
+    idx, dist = SOM._bmu_and_dist(dense, w)
+    got = model.score(df, "f", ["id"]).orderBy("id").collect()
+    assert [r["bmu"] for r in got] == idx.tolist() and np.allclose([r["distance"] for r in got], dist, atol=1e-9)
+    s, c = SOM.bmu_statistics(df, "f", w)
+    want = np.zeros_like(w)
+    np.add.at(want, idx, dense)
+    assert np.allclose(s, want) and np.array_equal(c, np.bincount(idx, minlength=25))
+    lo, hi = SOM.feature_bounds(df, "f")
+    assert np.array_equal(lo, dense.min(0)) and np.array_equal(hi, dense.max(0))
+
+
+def test_sparse_training_equals_dense_training(spark):
+    from pyspark.ml.functions import vector_to_array
+    df, dense = _sparse_table(spark, dim=40)
+    w0 = np.random.default_rng(2).random((12, 40))
+    args = dict(m=3, n=4, iterations=3, sigma=1.5, learning_rate=0.4, decay=False, cutoff=2.0, init=w0)
+    a = SOM.train_som(df, "f", **args)
+    b = SOM.train_som(df.select(vector_to_array("f").alias("f")), "f", **args)
+    assert np.allclose(a.weights, b.weights, atol=1e-12)
+
+
+def test_sparse_edges(spark):
+    import pytest
+    from pyspark.ml.linalg import Vectors
+    df, _ = _sparse_table(spark, n=5, dim=4 + 12)
+    model = SOM.SomModel(1, 2, np.zeros((2, 16)))
+    assert {r["bmu"] for r in model.score(df, "f", []).collect()} == {0}  # ties go to the lower node
+    assert model.score(df.limit(0), "f", ["id"]).collect() == []
+    assert SOM.bmu_statistics(df.limit(0), "f", model.weights)[1].sum() == 0
+    for bad in ([(1, Vectors.sparse(9, [], []))], [(1, None)]):
+        frame = spark.createDataFrame(bad, df.schema)
+        with pytest.raises(Exception, match="feature vector"):
+            model.score(frame, "f", ["id"]).collect()
+
+
+def test_the_cost_of_sparse_rows_follows_their_entries():
+    """A block is bounded by entries times nodes, not by rows times features."""
+    from logloom.operators.vectors import SparseRows
+    n, dim = 3000, 1 << 18
+    rng = np.random.default_rng(4)
+    x = SparseRows(np.arange(0, 3 * n + 1, 3), rng.integers(0, dim, 3 * n), np.ones(3 * n), dim)
+    w = np.zeros((4, dim))
+    w[1, x.index[:3]] = 1.0
+    idx, dist = SOM._sparse_bmu_and_dist(x, w)
+    assert idx[0] == 1 and dist[0] == 0.0 and (dist[1:] > 0).all()
+
+
+def test_minibatches_read_each_row_once_a_round_and_the_error_falls(spark):
+    from logloom.operators import sampling as S
+    rng = np.random.default_rng(0)
+    df = spark.createDataFrame([(i, *map(float, rng.normal(size=3))) for i in range(800)], SCHEMA)
+    bands = S.hash_bands(df, 8, "id")
+    parts = [bands.read(b) for b in range(8)]
+    ids = [sorted(r["id"] for r in p.collect()) for p in parts]
+    assert sorted(i for p in ids for i in p) == list(range(800)) and min(map(len, ids)) > 50
+    again = S.hash_bands(df.repartition(11), 8, "id")
+    assert [sorted(r["id"] for r in again.read(b).collect()) for b in range(8)] == ids
+    plan = parts[3]._jdf.queryExecution().executedPlan().toString()
+    assert "_band" in plan.split("PartitionFilters")[1][:80]
+    w0 = SOM.initial_codebook(df, FEATS, 4, 4, seed=3)
+    before = SOM.SomModel(4, 4, w0).quantization_error(df, FEATS)
+    model = SOM.train_som(df, FEATS, 4, 4, iterations=16, sigma=1.5, init=w0, bands=8, key="id")
+    other = SOM.train_som(df.repartition(13), FEATS, 4, 4, iterations=16, sigma=1.5, init=w0, bands=8, key="id")
+    assert model.quantization_error(df, FEATS) < 0.8 * before and np.allclose(model.weights, other.weights, atol=1e-9)
