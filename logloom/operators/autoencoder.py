@@ -1,11 +1,12 @@
 """Dense autoencoders (M-20..M-23) trained and scored on executors.
 
-Training is synchronous data parallel with parameter averaging: every
-epoch is one Spark job. Each task starts from the current weights (shipped
-with the closure, size checked), runs minibatch Adam over its rows one
-Arrow batch at a time, and emits its weights times its row count; a
-grouped sum over parameter positions averages them. Only the model (a few
-thousand numbers) reaches the driver.
+Training is synchronous data-parallel gradient descent. The rows are dealt
+once into disjoint bands by a hash; a step is one Spark job over one band:
+every task sums the gradient of its rows at the current weights, one
+grouped sum combines the tasks, and a single Adam state on the driver,
+kept over all steps and epochs, moves the weights. So the model depends on
+the rows, the bands and the seed, not on the number of partitions. Only
+vectors of the model's size (checked) reach the driver.
 """
 
 from __future__ import annotations
@@ -14,16 +15,19 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
-from pyspark import StorageLevel, TaskContext
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, LongType, StructField, StructType
+from pyspark.sql.types import (ArrayType, DoubleType, IntegerType, StructField, StructType)
 
-from logloom.sources.tables import spread
+from logloom.operators.sampling import hash_bands
 from logloom.operators.vectors import FEATURES, as_double_array, batch_matrix, check_model_size
 
+SCHEMA_VERSION = 1
+_CHUNK = 4096  # gradient values in one row of the grouped sum
+DEFAULT_STEPS = 4
+
 
 def _sigmoid(z):
     return 1.0 / (1.0 + np.exp(-z))
@@ -88,6 +92,40 @@ class Autoencoder:
 
         return src.mapInPandas(run, schema)
 
+    def loss(self, df: DataFrame, features: str | list[str]) -> float:
+        """Mean reconstruction error over all rows."""
+        return self.score(df, features, []).agg(F.avg("reconstruction_error")).first()[0]
+
+    # -- persistence (K-04) ------------------------------------------------------
+    def to_frame(self, spark: SparkSession) -> DataFrame:
+        """The model as rows: schema_version, part (weights, biases, lo, hi,
+        history), layer, n_in, n_out and the values in row order."""
+        rows = []
+        for i, (w, b) in enumerate(zip(self.weights, self.biases)):
+            rows.append((SCHEMA_VERSION, "weights", i, *w.shape, [float(v) for v in w.ravel()]))
+            rows.append((SCHEMA_VERSION, "biases", i, 1, len(b), [float(v) for v in b]))
+        for part, values in (("lo", self.lo), ("hi", self.hi), ("history", self.history)):
+            if values is not None:
+                rows.append((SCHEMA_VERSION, part, -1, 1, len(values), [float(v) for v in values]))
+        return spark.createDataFrame(rows, "schema_version int, part string, layer int, n_in int, n_out int, values array<double>")
+
+    def save(self, spark: SparkSession, path: str, mode: str = "errorifexists") -> None:
+        """One Parquet table of layers, sizes and scaling."""
+        self.to_frame(spark).coalesce(1).write.mode(mode).parquet(path)
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> "Autoencoder":
+        rows = spark.read.parquet(path).orderBy("part", "layer").collect()
+        versions = {r["schema_version"] for r in rows}
+        if versions != {SCHEMA_VERSION}:
+            raise ValueError(f"autoencoder table of schema version {sorted(versions)}, not {SCHEMA_VERSION}")
+        part = lambda name: [np.array(r["values"]).reshape(r["n_in"], r["n_out"]) for r in rows if r["part"] == name]
+        one = lambda name: next((v.ravel() for v in part(name)), None)
+        weights, biases = part("weights"), [b.ravel() for b in part("biases")]
+        if len(weights) != len(biases) or any(w.shape[1] != len(b) for w, b in zip(weights, biases)):
+            raise ValueError("autoencoder table with layers missing")
+        return cls(weights, biases, one("lo"), one("hi"), list(one("history")))
+
 
 def init_autoencoder(sizes: list[int], seed: int = 0) -> Autoencoder:
     """Glorot-uniform weights, zero biases (the Keras defaults)."""
@@ -115,35 +153,56 @@ def _grads(model: Autoencoder, x: np.ndarray) -> tuple[list, list, float]:
     return gw, gb, loss
 
 
-def _local_epoch(model: Autoencoder, batches, batch_size: int, lr: float, seed: int):
-    """Minibatch Adam over one task's rows; returns the trained weights,
-    the number of rows seen and the summed minibatch loss."""
-    b1, b2, eps = 0.9, 0.999, 1e-7
-    params = [*model.weights, *model.biases]
-    m = [np.zeros_like(p) for p in params]
-    v = [np.zeros_like(p) for p in params]
-    rng = np.random.default_rng(seed)
-    t, seen, loss_sum = 0, 0, 0.0
-    nl = len(model.weights)
-    for pdf in batches:
-        if len(pdf) == 0:
-            continue
-        x = model.scale(batch_matrix(pdf[FEATURES]))
-        order = rng.permutation(len(x))
-        for s in range(0, len(x), batch_size):
-            xb = x[order[s:s + batch_size]]
-            gw, gb, loss = _grads(model, xb)
-            t += 1
-            for j, g in enumerate([*gw, *gb]):
-                m[j] = b1 * m[j] + (1 - b1) * g
-                v[j] = b2 * v[j] + (1 - b2) * g * g
-                mh = m[j] / (1 - b1 ** t)
-                vh = v[j] / (1 - b2 ** t)
-                params[j] -= lr * mh / (np.sqrt(vh) + eps)
-            model.weights, model.biases = params[:nl], params[nl:]
-            seen += len(xb)
-            loss_sum += loss * len(xb)
-    return model, seen, loss_sum
+@dataclass
+class Adam:
+    """The optimizer's state: moments of the gradient and the step number."""
+
+    learning_rate: float = 1e-3
+    m: np.ndarray | float = 0.0
+    v: np.ndarray | float = 0.0
+    t: int = 0
+    b1: float = 0.9
+    b2: float = 0.999
+    eps: float = 1e-7
+
+    def step(self, params: np.ndarray, gradient: np.ndarray) -> np.ndarray:
+        self.t += 1
+        self.m = self.b1 * self.m + (1 - self.b1) * gradient
+        self.v = self.b2 * self.v + (1 - self.b2) * gradient * gradient
+        first, second = self.m / (1 - self.b1 ** self.t), self.v / (1 - self.b2 ** self.t)
+        return params - self.learning_rate * first / (np.sqrt(second) + self.eps)
+
+
+def gradient_sums(model: Autoencoder, df: DataFrame, features: str | list[str]) -> tuple[np.ndarray, float, int]:
+    """(summed gradient, summed loss, rows) at the model's weights: each task
+    sums over its own rows, a grouped sum of chunks combines the tasks. The
+    gradient is that of the mean squared error of a row, in the order of
+    ``Autoencoder.flat``."""
+    size = len(model.flat())
+    check_model_size(model.flat())
+    schema = StructType([StructField("chunk", IntegerType()), StructField("s", ArrayType(DoubleType()))])
+
+    def run(batches):
+        total, loss, seen = np.zeros(size), 0.0, 0
+        for pdf in batches:
+            if len(pdf) == 0:
+                continue
+            x = model.scale(batch_matrix(pdf[FEATURES]))
+            gw, gb, mean = _grads(model, x)
+            total += len(x) * np.concatenate([g.ravel() for pair in zip(gw, gb) for g in pair])
+            loss += len(x) * mean
+            seen += len(x)
+        if seen:
+            whole = np.concatenate([[seen, loss], total])
+            parts = [whole[a:a + _CHUNK] for a in range(0, len(whole), _CHUNK)]
+            yield pd.DataFrame({"chunk": np.arange(len(parts), dtype=np.int32), "s": parts})
+
+    part = df.select(as_double_array(df, features).alias(FEATURES)).mapInPandas(run, schema)
+    rows = part.groupBy("chunk").agg(Summarizer.sum(array_to_vector("s")).alias("s")).collect()
+    if not rows:
+        return np.zeros(size), 0.0, 0
+    whole = np.concatenate([r["s"].toArray() for r in sorted(rows, key=lambda r: r["chunk"])])
+    return whole[2:], float(whole[1]), int(whole[0])
 
 
 def feature_range(df: DataFrame, features: str | list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -154,50 +213,48 @@ def feature_range(df: DataFrame, features: str | list[str]) -> tuple[np.ndarray,
 
 
 def train_autoencoder(df: DataFrame, features: str | list[str], hidden: list[int],
-                      epochs: int = 10, batch_size: int = 256, learning_rate: float = 1e-3,
-                      seed: int = 0, minmax: bool = True, persist: bool = True) -> Autoencoder:
-    """M-20/M-21. ``hidden`` is e.g. [64, 32, 16, 32, 64] or [10]."""
-    data = spread(df.select(as_double_array(df, features).alias(FEATURES)))
-    if persist:
-        data = data.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        dim = data.select(F.size(FEATURES)).first()[0]
-        model = init_autoencoder([dim, *hidden, dim], seed)
-        if minmax:
-            model.lo, model.hi = feature_range(data, FEATURES)
-        schema = StructType([StructField("i", LongType()), StructField("v", DoubleType())])
-        for epoch in range(epochs):
-            current = model
-            check_model_size(current.flat())
-
-            def run(batches, current=current, epoch=epoch):
-                ctx = TaskContext.get()
-                pid = ctx.partitionId() if ctx else 0
-                local = current.with_flat(current.flat())
-                local, seen, loss_sum = _local_epoch(local, batches, batch_size, learning_rate,
-                                                     seed * 1_000_003 + epoch * 7919 + pid)
-                if seen == 0:
-                    return
-                vec = local.flat() * seen
-                # Position -1 carries the row count, -2 the summed loss.
-                idx = np.concatenate([np.arange(len(vec)), [-1, -2]])
-                val = np.concatenate([vec, [float(seen), loss_sum]])
-                yield pd.DataFrame({"i": idx, "v": val})
-
-            sums = (data.mapInPandas(run, schema).groupBy("i").agg(F.sum("v").alias("v"))
-                        .collect())
-            total = dict((r["i"], r["v"]) for r in sums)
-            n = total.pop(-1, 0.0)
-            loss = total.pop(-2, 0.0)
-            if n == 0:
-                break
-            flat = np.array([total[i] for i in range(len(total))]) / n
-            model = model.with_flat(flat)
-            model.history.append(loss / n)
-        return model
-    finally:
-        if persist:
-            data.unpersist()
+                      epochs: int = 10, batch_size: int | None = None, learning_rate: float = 1e-3,
+                      seed: int = 0, minmax: bool = True, steps: int | None = None,
+                      key: Column | str | None = None, optimizer: Adam | None = None,
+                      start: Autoencoder | None = None) -> Autoencoder:
+    """M-20/M-21. ``hidden`` is e.g. [64, 32, 16, 32, 64] or [10].
+
+    An epoch has ``steps`` steps (``batch_size`` rows each, if that is given;
+    a step is one Spark job, so it should grow with the data). Step and band
+    are the same thing: the rows are dealt into bands by a hash of ``key``
+    (of the features without one), the epochs take the bands in seeded
+    orders, and a step reads its own band. A step's gradient is divided by
+    the mean rows of a band, so an epoch's steps add up to the gradient of
+    all rows even if many equal rows share a band.
+
+    ``start`` and ``optimizer`` continue an earlier training; ``history``
+    holds each epoch's mean loss. Without rows the start model comes back."""
+    kept = df.select(as_double_array(df, features).alias(FEATURES),
+                     *([] if key is None else [(F.col(key) if isinstance(key, str) else key).alias("_key")]))
+    if steps is None:
+        steps = DEFAULT_STEPS if batch_size is None else max(1, round(df.count() / batch_size))
+    bands = hash_bands(kept, steps, F.xxhash64(FEATURES) if key is None else "_key", seed)
+    data = bands.table.select(FEATURES)
+    first = data.select(F.size(FEATURES)).first()
+    if first is None:
+        if start is None:
+            raise ValueError("no rows to train on")
+        return start
+    model = start or init_autoencoder([first[0], *hidden, first[0]], seed)
+    if minmax and model.lo is None:
+        model.lo, model.hi = feature_range(data, FEATURES)
+    adam = optimizer or Adam(learning_rate)
+    share = data.count() / steps
+    rng = np.random.default_rng(seed)
+    for _ in range(epochs):
+        loss_sum, seen = 0.0, 0
+        for band in rng.permutation(steps):
+            gradient, loss, n = gradient_sums(model, bands.read(int(band)), FEATURES)
+            if n:
+                model = model.with_flat(adam.step(model.flat(), gradient / share))
+            loss_sum, seen = loss_sum + loss, seen + n
+        model.history.append(loss_sum / seen)
+    return model
 
 
 def flag_reconstruction(model: Autoencoder, df: DataFrame, features: str | list[str],
