@@ -147,7 +147,8 @@ def add_path_features(df: DataFrame, n: int = 9, num_features: int = 16384, item
 
 def add_indexed_columns(df: DataFrame, columns=("req_method", "domain"), unknown: bool = False) -> DataFrame:
     """M-05 + M-06: frequency-ordered index (ties alphabetical) and one-hot
-    with the last category dropped (its rows are all zero).
+    with the last category dropped (its rows are all zero), unless it is the
+    only one.
 
     The index is the distributed rank of ``features.index_labels``, joined
     back on the value: no label list reaches the driver, AQE broadcasts the
@@ -162,17 +163,34 @@ def add_indexed_columns(df: DataFrame, columns=("req_method", "domain"), unknown
         missing = F.lit(float(n_labels)) if unknown else F.raise_error(F.lit(f"missing value in {c}")).cast("double")
         idx = F.coalesce(F.col("_idx").cast("double"), missing)
         df = df.join(ranks, c, "left").withColumn(f"{c}_index", idx.alias(f"{c}_index", metadata=meta)).drop("_idx")
-        df = OneHotEncoder(inputCol=f"{c}_index", outputCol=f"{c}_onehot").fit(df).transform(df)
+        several = n_labels + int(unknown) > 1
+        df = OneHotEncoder(inputCol=f"{c}_index", outputCol=f"{c}_onehot", dropLast=several).fit(df).transform(df)
     return df
 
 
-def extract_log(lines: DataFrame, value_col: str = "value", index: bool = True) -> DataFrame:
-    """The extracted-log table (28 columns with the index columns)."""
+def extract_log(lines: DataFrame, value_col: str = "value", index: bool = True, indexes: list | None = None,
+                unseen: str = "keep") -> DataFrame:
+    """The extracted-log table (28 columns with the index columns).
+
+    ``indexes`` are fitted label indexes (``features.LabelIndex``) of an
+    earlier extract: the rows get their indexes and one-hot vectors instead
+    of ones fitted on these rows, with ``unseen`` as the rule for new
+    labels."""
     df = add_url_columns(clean_log(parse_access_log(lines, value_col)))
     df = add_path_features(add_time_columns(df))
+    if indexes is not None:
+        for fitted in indexes:
+            df = fitted.one_hot(df, unseen=unseen)
+        return df
     return add_indexed_columns(df) if index else df
 
 
+def without_domain(df: DataFrame, column: str = "domain") -> DataFrame:
+    """P-13: the rows whose domain is empty text, as a plain host column of a
+    referer like ``-`` has it (``referer_domain`` names those Unknown)."""
+    return df.filter(F.col(column) == "")
+
+
 def split_known(df: DataFrame, domains: list[str] | DataFrame = REGISTERED_DOMAINS,
                 column: str = "domain") -> tuple[DataFrame, DataFrame]:
     """P-09: (known, unknown). A short list is an ``isin`` filter; a

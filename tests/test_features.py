@@ -59,3 +59,30 @@ def test_flatten_query_words(spark):
     r = df.select(url.flat_query_words("q").alias("w")).first()
     assert list(r["w"]) == ["a", "1", "b", "2"]
 
+
+
+def test_hashed_entries_and_sql_buckets_equal_the_transformer(spark):
+    import duckdb
+    from logloom.plans.oracle_sql import hash_buckets
+    terms = ["", "a", "ab", "abc", "abcd", "abcde", "k=v", "/ p r o d", "é中😀", "x" * 40, "a" * 7]
+    df = spark.createDataFrame([(i, [t]) for i, t in enumerate(terms)], "i bigint, t array<string>")
+    hashed = FE.hash_features(df, "t", "h", 1000)
+    got = {r.i: (r.bucket, r.weight) for r in FE.hashed_entries(hashed, ["i"], "h").collect()}
+    want = {r.i: (int(r.h.indices[0]), 1.0) for r in hashed.collect()}
+    assert got == want
+    db = duckdb.connect()
+    db.execute("CREATE TABLE terms (term VARCHAR)")
+    db.executemany("INSERT INTO terms VALUES (?)", [[t] for t in terms])
+    assert dict(db.execute(f"WITH {hash_buckets('terms', 1000)} SELECT * FROM buckets").fetchall()) == {t: want[i][0] for i, t in enumerate(terms)}
+    twice = spark.createDataFrame([(1, ["a", "a", "b"]), (2, [])], "i bigint, t array<string>")
+    entries = FE.hashed_entries(FE.hash_features(twice, "t", "h", 1000), ["i"], "h").collect()
+    assert sorted(r.weight for r in entries) == [1.0, 2.0] and {r.i for r in entries} == {1}
+
+
+def test_log_vectors_are_sparse_and_reproducible(spark):
+    from pyspark.ml.linalg import SparseVector, Vectors
+    row = (Vectors.dense([1.0]), 200, 5, "/a/b/c", ["k=v"], 10.5, 3)
+    df = spark.createDataFrame([row], ["req_method_onehot", "status", "body_bytes_sent", "clean_path", "clean_query_list", "fabstime", "day_of_week"])
+    v = FE.log_vectors(df, 1000).first()["features"]
+    assert v.size == 1005 and isinstance(v, SparseVector) and len(v.indices) == 8
+    assert (v[0], v[1], v[2], v[1003], v[1004]) == (1.0, 200.0, 5.0, 10.5, 3.0)
