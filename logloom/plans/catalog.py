@@ -17,6 +17,8 @@ _MODULES = [
     "logloom.plans.som_queries",
     "logloom.plans.autoencoder_queries",
     "logloom.plans.model_queries",
+    "logloom.plans.log_model_queries",
+    "logloom.plans.training_queries",
 ]
 
 

@@ -15,6 +15,7 @@ from logloom.plans.weblog_queries import _featured, extracted_tables
 from logloom.sources.tables import read_table
 
 TRAIN_FRACTION = 0.8
+HASH_BUCKETS = 16384
 
 
 def q_classify_domains(spark, sf_dir):
@@ -45,19 +46,15 @@ def q_kmeans_traffic(spark, sf_dir):
 
 
 def q_hashed_url_features(spark, sf_dir):
-    """M-03 summary per page: total term weight of the HashingTF vector and
-    whether each term has a bucket. The vector's own (sparse) values are
-    read from its struct form, so no row becomes a dense array."""
+    """M-03 per page: each bucket of the hashed path 9-grams and parameter
+    keys with its weight, read from the vector's own sparse form."""
     pages = read_table(spark, sf_dir, "pages", "page_id", "url").withColumn(
         "dec", url.decode_uri("url"))
     feats = pages.withColumn("url_features", F.concat(
         text.ngrams(text.characters(url.url_path("dec")), 9),
         F.transform(url.query_list("dec"), url.param_key)))
-    hashed = FE.hash_features(feats, "url_features", "hash_url_features", 16384)
-    values = F.unwrap_udt("hash_url_features").getField("values")
-    distinct = F.size(F.array_distinct("url_features"))
-    return hashed.select("page_id", F.aggregate(values, F.lit(0.0), lambda a, v: a + v).alias("total"),
-                         ((F.size(values) > 0) == (distinct > 0)).alias("any_bucket"), (F.size(values) <= distinct).alias("no_more_buckets"))
+    hashed = FE.hash_features(feats, "url_features", "hash_url_features", HASH_BUCKETS)
+    return FE.hashed_entries(hashed, ["page_id"], "hash_url_features")
 
 
 def q_param_vocabulary(spark, sf_dir):
@@ -68,8 +65,11 @@ def q_param_vocabulary(spark, sf_dir):
 
 
 SQL = {
-    "hashed_url_features": f"""SELECT page_id, CAST(greatest(length(path) - 8, 0) + len(items) AS DOUBLE) AS total, TRUE AS any_bucket, TRUE AS no_more_buckets
-FROM (SELECT page_id, {O.url_path(O.decode_uri('url'))} AS path, {O.query_list(O.decode_uri('url'))} AS items FROM pages)""",
+    "hashed_url_features": f"""WITH p AS (SELECT page_id, {O.url_path(O.decode_uri('url'))} AS path, {O.query_list(O.decode_uri('url'))} AS items FROM pages),
+terms AS (SELECT page_id, unnest(list_concat(list_transform(range(1, CAST(length(path) AS BIGINT) - 7), lambda i: array_to_string([substr(path, CAST(i + k AS BIGINT), 1) FOR k IN range(0, 9)], ' ')),
+                                             list_transform(items, lambda x: string_split(x, '=')[1]))) AS term FROM p),
+{O.hash_buckets('terms', HASH_BUCKETS)}
+SELECT page_id, bucket, CAST(count(*) AS DOUBLE) AS weight FROM terms JOIN buckets USING (term) GROUP BY page_id, bucket""",
     "param_vocabulary": f"""SELECT term, CAST(row_number() OVER (ORDER BY n DESC, term) - 1 AS BIGINT) AS term_index, n
 FROM (SELECT term, count(*) AS n FROM (SELECT unnest({O.query_list(O.decode_uri('url'))}) AS term FROM pages) GROUP BY term)""",
     "classification_metrics": """WITH p AS (SELECT CAST(quality AS DOUBLE) AS y, CAST(1 - toxic AS DOUBLE) AS p FROM labels),

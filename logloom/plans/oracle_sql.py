@@ -90,3 +90,40 @@ def weblog_with(*stages: str) -> str:
 
 def cleaned_with(*stages: str) -> str:
     return weblog_with(NULLED_SQL, CLEANED_SQL, *stages)
+
+
+# ---- murmur3 (public algorithm, 32 bits) -------------------------------------
+# Its multipliers and the seed that Spark's feature hashing uses.
+_C1, _C2, _N, _F1, _F2, _HASH_SEED = 3432918353, 461845907, 3864292196, 2246822507, 3266489909, 42
+_M32 = 4294967296
+
+
+def _rotated(x: str, by: int) -> str:
+    return f"(((({x}) << {by}) | (({x}) >> {32 - by})) % {_M32})"
+
+
+def _mixed(k: str) -> str:
+    """One four-byte block before it joins the hash."""
+    return f"(({_rotated(f'({k}) * {_C1} % {_M32}', 15)}) * {_C2} % {_M32})"
+
+
+def hash_buckets(terms: str, n: int, name: str = "buckets") -> str:
+    """CTEs ending in ``name(term, bucket)``: the bucket of ``n`` in which
+    feature hashing puts each term of the CTE ``terms(term)``."""
+    byte = lambda i: f"CAST(('0x' || substr(h, CAST(2 * ({i}) + 1 AS BIGINT), 2)) AS UBIGINT)"
+    block = " + ".join(f"({byte(f'4 * i + {j}')} << {8 * j})" for j in range(4))
+    tail = " + ".join(f"(CASE WHEN n % 4 > {j} THEN {byte(f'n // 4 * 4 + {j}')} << {8 * j} ELSE 0::UBIGINT END)" for j in range(3))
+    step = f"((({_rotated('xor(a, x)', 13)}) * 5 + {_N}) % {_M32})"
+    return f"""{name}_0 AS (SELECT term, hex(term) AS h, CAST(octet_length(encode(term)) AS BIGINT) AS n FROM (SELECT DISTINCT term FROM {terms})),
+{name}_1 AS (SELECT term, n, list_transform(range(0, n // 4), lambda i: CAST({_mixed(block)} AS UBIGINT)) AS blocks, CAST({tail} AS UBIGINT) AS t FROM {name}_0),
+{name}_2 AS (SELECT term, n, t, list_reduce(list_prepend({_HASH_SEED}::UBIGINT, blocks), lambda a, x: CAST({step} AS UBIGINT)) AS a FROM {name}_1),
+{name}_3 AS (SELECT term, xor(xor(a, CAST({_mixed('t')} AS UBIGINT)), CAST(n AS UBIGINT)) AS a FROM {name}_2),
+{name}_4 AS (SELECT term, xor(a, a >> 16) * {_F1}::UBIGINT % {_M32}::UBIGINT AS a FROM {name}_3),
+{name}_5 AS (SELECT term, xor(a, a >> 13) * {_F2}::UBIGINT % {_M32}::UBIGINT AS a FROM {name}_4),
+{name}_6 AS (SELECT term, CAST(xor(a, a >> 16) AS BIGINT) AS a FROM {name}_5),
+{name} AS (SELECT term, (((a - CASE WHEN a >= 2147483648 THEN {_M32} ELSE 0 END) % {n}) + {n}) % {n} AS bucket FROM {name}_6)"""
+
+
+def joined_runs(words: str, n: int) -> str:
+    """All runs of ``n`` neighbouring list elements, joined by a space."""
+    return f"list_transform(range(1, CAST(len({words}) AS BIGINT) - {n} + 2), lambda i: array_to_string(({words})[i:i + {n - 1}], ' '))"

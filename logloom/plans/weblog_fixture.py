@@ -50,6 +50,13 @@ def weblog_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return staging.stage_text(spark, lambda: weblog_lines(spark, sf_dir), "weblog", key)
 
 
+def weblog_path(spark: SparkSession, sf_dir: str) -> str:
+    """Folder of the staged text (written when missing)."""
+    weblog_text(spark, sf_dir)
+    key = staging.fingerprint(spark, table_path(sf_dir, "events"), table_path(sf_dir, "pages"))
+    return staging.staged_dir(spark, "weblog", key)
+
+
 # DuckDB form of the same lines, as a CTE named ``weblog(value)``.
 WEBLOG_SQL = r"""
 weblog AS (
