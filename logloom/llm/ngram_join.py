@@ -12,11 +12,16 @@ First every row is checked against one pivot, the first row of one of its column
 component, and from then on only rows of different components meet.
 
 - Columns of at most ``block`` rows are multiplied in full.
-- Longer columns (large groups of near copies) are multiplied after a change of basis. With P the pivot's set, the
-  difference ``D_x = x ^ P`` is small, and ``x ^ y = D_x ^ D_y``. A link of x and y, x not linked with P, needs more
-  than half of D_y in common, so x and y meet in the first half of D_y in an order by frequency: in the changes that
-  few rows of the group made, and not in the text that all of them share. Rows of different pivots that share a long
-  column are compared directly.
+- Longer columns (large groups of near copies) are multiplied after a change of basis. The rows of one pivot are a group;
+  its consensus M holds the columns that more than half of the group's rows have, and a row becomes its difference
+  ``D_x = x ^ M``, of size d_x. As ``x ^ y = D_x ^ D_y``, sizes alone decide most pairs: where d_x + d_y is within the
+  allowance ``T = (1-t)/(1+t) * (n_x + n_y)`` a pair is linked for sure, and all those rows are linked with the row
+  nearest to M. Any other link needs ``(d_x + d_y - T) / 2`` changes in common. In an order of the changes by frequency
+  in the group the first common one stands early in both rows, so only rows meet that share a rare change, and not
+  those that share what many rows have. The pairs that meet are decided on their differences alone.
+- Rows whose rare changes are still crowded (a family of its own within the group) form groups around the most frequent
+  of these changes first, with a consensus of their own, until that joins nothing more.
+- Rows of different pivots that share a long column are compared directly.
 
 So no link between components is lost, and no group is expanded into all its pairs.
 
@@ -207,20 +212,80 @@ def _checked(docs: DataFrame, pairs: DataFrame, width: int, num: int, den: int,
     return out
 
 
-def _in_pivot_groups(checked: DataFrame, comps: DataFrame, num: int, den: int) -> DataFrame:
-    """Candidate pairs (a, b) of rows with one pivot and different components, by their differences from it."""
-    rows = checked.select("a", "b", "linked", "na", "nb", "difference").join(comps, "b")
-    cells = rows.select(F.col("a").alias("pivot"), F.col("b").alias("id"), "comp", "linked", (F.col("nb") - F.col("na")).alias("grown"),
-                        F.size("difference").alias("d"), F.explode("difference").alias("h"))
-    often = cells.groupBy("pivot", "h").agg(F.count("*").alias("n"), F.min("comp").alias("c0"), F.max("comp").alias("c1"), F.bool_and("linked").alias("all_linked"))
-    cells = cells.join(often, ["pivot", "h"])
-    # More than (d - (den - num) / (den + num) * grown) / 2 of the d changes are common to any link.
-    common = F.greatest(F.lit(1), F.floor(((num + den) * F.col("d") - (den - num) * F.col("grown")) / (2 * (num + den))) + 1)
-    rank = F.row_number().over(Window.partitionBy("pivot", "id").orderBy("n", "h"))
-    first = cells.withColumn("rank", rank).where((F.col("rank") <= F.col("d") - common + 1) & (F.col("c0") != F.col("c1")) & ~F.col("all_linked"))
-    first = first.select("pivot", "h", F.col("id").alias("y"), F.col("comp").alias("cy"))
-    other = cells.where("not linked and c0 <> c1").select("pivot", "h", F.col("id").alias("x"), F.col("comp").alias("cx"))
-    return first.join(other, ["pivot", "h"]).where("cx <> cy").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+def _rebased(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """``rows`` (keys, id, n, diff) with each difference taken from the consensus of its group instead: what more than
+    half of the group's differences hold is flipped in all of them."""
+    sizes = rows.groupBy(*keys).agg(F.count("*").alias("size"))
+    often = rows.select(*keys, F.explode("diff").alias("h")).groupBy(*keys, "h").agg(F.count("*").alias("c"))
+    most = often.join(sizes, keys).where(2 * F.col("c") > F.col("size")).groupBy(*keys).agg(F.collect_list("h").alias("most"))
+    flipped = F.concat(F.array_except("diff", "most"), F.array_except("most", "diff"))
+    return rows.join(most, keys, "left").select(*keys, "id", "n", F.when(F.col("most").isNull(), F.col("diff")).otherwise(flipped).alias("diff"))
+
+
+def _sure_links(rows: DataFrame, keys: list[str], num: int, den: int) -> DataFrame:
+    """(a, b): every row that sizes alone link with its group's nearest row to the consensus."""
+    excess = (num + den) * F.size("diff") - (den - num) * F.col("n")
+    rows = rows.select(*keys, "id", excess.alias("e"))
+    least = rows.groupBy(*keys).agg(F.min(F.struct("e", "id")).alias("least"))
+    sure = rows.join(least, keys).where((F.col("e") + F.col("least.e") <= 0) & (F.col("id") != F.col("least.id")))
+    return sure.select(F.col("least.id").alias("a"), F.col("id").alias("b"))
+
+
+def _placed(rows: DataFrame) -> DataFrame:
+    """(pivot, h, id, n, d, j): each change of a row with its place j in the order by frequency in the group, rare ones
+    first. A change of one row only is left out, as nothing meets there."""
+    cells = rows.select("pivot", "id", "n", F.size("diff").alias("d"), F.explode("diff").alias("h"))
+    often = cells.groupBy("pivot", "h").agg(F.count("*").alias("f"))
+    place = F.row_number().over(Window.partitionBy("pivot", "id").orderBy("f", "h")) - 1
+    return cells.join(often, ["pivot", "h"]).withColumn("j", place).where("f > 1").drop("f")
+
+
+def _in_pivot_groups(placed: DataFrame, comps: DataFrame, num: int, den: int) -> DataFrame:
+    """Candidate pairs (pivot, a, b) of one group whose components differ, by a change that may be their first common
+    one. The row with fewer changes has it within half of its allowance, the other one within its whole allowance."""
+    cells = placed.join(comps, "id", "left").withColumn("comp", F.coalesce("component", "id")).drop("component")
+    crossing = cells.groupBy("pivot", "h").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1")).where("c0 <> c1").select("pivot", "h")
+    cells = cells.join(crossing, ["pivot", "h"], "left_semi")
+    half, whole = (F.col("j") * k * num <= F.col("n") * (den - num) for k in (2, 1))
+    x = cells.where(half).select("pivot", "h", *(F.col(c).alias(f"{c}_x") for c in ("id", "n", "d", "j", "comp")))
+    y = cells.where(whole).select("pivot", "h", *(F.col(c).alias(f"{c}_y") for c in ("id", "n", "d", "j", "comp")))
+    need = (num + den) * (F.col("d_x") + F.col("d_y")) - (den - num) * (F.col("n_x") + F.col("n_y"))  # twice the common changes, times num + den
+    left = F.least(F.col("d_x") - F.col("j_x"), F.col("d_y") - F.col("j_y"))
+    smaller = (F.col("d_x") < F.col("d_y")) | ((F.col("d_x") == F.col("d_y")) & (F.col("id_x") < F.col("id_y")))
+    met = x.join(y, ["pivot", "h"]).where(smaller & (F.col("comp_x") != F.col("comp_y")) & (2 * (num + den) * left >= need))
+    return met.select("pivot", F.col("id_x").alias("a"), F.col("id_y").alias("b")).distinct()
+
+
+def _linked_in_groups(pairs: DataFrame, rows: DataFrame, num: int, den: int) -> DataFrame:
+    """The pairs (a, b) of (pivot, a, b) that reach the threshold, from the rows' differences."""
+    side = lambda c: rows.select("pivot", F.col("id").alias(c), F.col("n").alias(f"n_{c}"), F.col("diff").alias(f"diff_{c}"))
+    both = pairs.join(side("a"), ["pivot", "a"]).join(side("b"), ["pivot", "b"])
+    apart = F.size("diff_a") + F.size("diff_b") - 2 * F.size(F.array_intersect("diff_a", "diff_b"))
+    return both.where((num + den) * apart <= (den - num) * (F.col("n_a") + F.col("n_b"))).select("a", "b")
+
+
+def _settled(rows: DataFrame, placed: DataFrame, links: DataFrame, block: int, num: int, den: int, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
+    """(links, components) after the families within the groups are joined: rows of different components that crowd
+    (over ``block``) on a rare change form a group around the most frequent one, as long as that joins components."""
+    comps = components(links, scratch)
+    while True:
+        early = placed.where(F.col("j") * 2 * num <= F.col("n") * (den - num)).join(comps, F.col("id") == F.col("node"), "left")
+        early = early.withColumn("comp", F.coalesce("component", "id"))
+        crowded = early.groupBy("pivot", "h").agg(F.count("*").alias("c"), F.min("comp").alias("c0"), F.max("comp").alias("c1"))
+        crowded = crowded.where((F.col("c") > block) & (F.col("c0") != F.col("c1"))).select("pivot", "h", "c")
+        family = early.select("pivot", "h", "id").join(crowded, ["pivot", "h"]).groupBy("pivot", "id").agg(F.max_by("h", F.struct("c", "h")).alias("family"))
+        family = scratch.save(family, "families")
+        if family.isEmpty():
+            return links, comps
+        own = _rebased(rows.join(family, ["pivot", "id"]), ["pivot", "family"])
+        sure = _sure_links(own, ["pivot", "family"], num, den)
+        of = lambda c: comps.select(F.col("node").alias(c), F.col("component").alias(f"c_{c}"))
+        new = sure.join(of("a"), "a", "left").join(of("b"), "b", "left").where(F.coalesce("c_a", "a") != F.coalesce("c_b", "b")).select("a", "b")
+        new = scratch.save(new, "new-links")
+        if new.isEmpty():
+            return links, comps
+        links = scratch.save(links.unionByName(new), "links")
+        comps = components(links, scratch)
 
 
 def _between_pivot_groups(cells: DataFrame, num: int, den: int) -> DataFrame:
@@ -280,9 +345,17 @@ def ngram_jaccard_join(docs: DataFrame, width: int = 4, num: int = 85, den: int
     star = star.join(star.groupBy("a").agg(F.count("*").alias("met")), "a")
     star = star.groupBy("b").agg(F.max_by("a", F.struct("met", "c", -F.col("a"))).alias("a")).select("a", "b", F.lit(True).alias("basis"))
     checked = _checked(docs, near.unionByName(star).groupBy("a", "b").agg(F.bool_or("basis").alias("basis")), width, num, den, scratch)
-    links = checked.where("linked").select("a", "b")
-    joined = components(links, scratch)
-    pivots = checked.where(F.size("difference") > 0).select(F.col("b").alias("id"), F.col("a").alias("pivot"))
+    starred = checked.where(F.size("difference") > 0)
+    rows = starred.select(F.col("a").alias("pivot"), F.col("b").alias("id"), F.col("nb").alias("n"), F.col("difference").alias("diff"))
+    heads = starred.groupBy(F.col("a").alias("pivot")).agg(F.max("na").alias("n"))
+    rows = rows.unionByName(heads.select("pivot", F.col("pivot").alias("id"), "n", F.array().cast("array<long>").alias("diff")))
+    rows = scratch.save(_rebased(rows, ["pivot"]), "groups")
+    pivots = rows.where("id <> pivot").select("id", "pivot")
+    links = checked.where("linked").select("a", "b").unionByName(_sure_links(rows, ["pivot"], num, den))
+    links = scratch.save(links, "links")
+    scratch.drop(checked)
+    placed = scratch.save(_placed(rows), "placed")
+    links, joined = _settled(rows, placed, links, block, num, den, scratch)
 
     # Short columns: every pair of different components, products summed, then the size-derived bound. A pair that
     # also shares a long column may be short of products here; it is looked at below.
@@ -294,15 +367,15 @@ def ngram_jaccard_join(docs: DataFrame, width: int = 4, num: int = 85, den: int
     summed = products.groupBy("a", "b").agg(F.count("*").alias("c"), F.max("na").alias("na"), F.max("nb").alias("nb"))
     pairs = summed.where(_reaches("c", "na", "nb", num, den)).select("a", "b")
 
-    # Long columns: rows of one pivot by their differences from it, rows of different pivots directly.
-    rows = labelled.where(F.col("rows") > block)
-    comps = rows.select(F.col("id").alias("b"), "comp").distinct()
-    pairs = pairs.unionByName(_in_pivot_groups(checked.where(F.size("difference") > 0), comps, num, den))
-    rows = rows.join(pivots, "id", "left").withColumn("pivot", F.coalesce("pivot", "id"))
-    pairs = pairs.unionByName(_between_pivot_groups(rows, num, den)).distinct()
+    # Long columns: rows of one pivot by their differences from the consensus, rows of different pivots directly.
+    comps = joined.select(F.col("node").alias("id"), "component")
+    within = _linked_in_groups(_in_pivot_groups(placed, comps, num, den), rows, num, den)
+    links = scratch.save(links.unionByName(within), "links")
+    apart = labelled.where(F.col("rows") > block).join(pivots, "id", "left").withColumn("pivot", F.coalesce("pivot", "id"))
+    pairs = pairs.unionByName(_between_pivot_groups(apart, num, den)).distinct()
     more = _checked(docs, pairs.withColumn("basis", F.lit(False)), width, num, den, scratch)
     final = scratch.save(components(links.unionByName(more.where("linked").select("a", "b")), scratch), "final")
-    scratch.drop(met, labelled, checked, more)
+    scratch.drop(met, labelled, more, rows, placed)
 
     labels = classes.join(final, classes["rep"] == final["node"], "left").select("k1", "k2", "n", F.coalesce("component", "rep").alias("component_id"))
     return described.select("doc_id", "n", "k1", "k2").join(labels, ["k1", "k2", "n"], "left").select(

@@ -63,3 +63,62 @@ def test_edges(spark, edge_docs):
 
 def test_empty_table(spark, docs):
     assert ngram_jaccard_join(docs.limit(0)).collect() == []
+
+
+def _two_passages(n, m=120):
+    """A long first document of two passages, n documents that share the first (no links), m short ones of the second
+    (all linked)."""
+    rng = random.Random(3)
+    first, second = [f"a{k}" for k in range(200)], [f"b{k}" for k in range(120)]
+    rows = [(0, " ".join(first + second))]
+    rows += [(1 + i, " ".join(first + [f"u{rng.randrange(10**7)}" for _ in range(rng.randrange(55, 90))])) for i in range(n)]
+    rows += [(10_000 + i, " ".join(second + [f"t{i}"])) for i in range(m)]
+    return rows
+
+
+def test_a_pivot_longer_than_its_rows(spark):
+    check(spark, _two_passages(150), block=16)
+
+
+def _met_in_groups(spark, rows, block, monkeypatch):
+    """Pairs that meet in groups of one pivot, while the join runs."""
+    from logloom.llm import ngram_join
+    met, plain = [], ngram_join._in_pivot_groups
+    with monkeypatch.context() as m:
+        m.setattr(ngram_join, "_in_pivot_groups", lambda *a: met.append(plain(*a).cache()) or met[-1])
+        ngram_jaccard_join(spark.createDataFrame(rows, "doc_id long, text string"), block=block).collect()
+    return sum(f.count() for f in met)
+
+
+def test_pairs_that_meet_grow_with_the_rows(spark, monkeypatch):
+    few, many = (_met_in_groups(spark, _two_passages(n, n), 32, monkeypatch) for n in (150, 600))
+    assert many <= 6 * few + 600
+
+
+def _edited(rng, base, edits):
+    w = list(base)
+    for _ in range(edits):
+        k = rng.randrange(len(w))
+        kind = rng.randrange(3)
+        w[k : k + (kind > 0)] = [f"x{rng.randrange(10**6)}"] if kind < 2 else []
+    return w
+
+
+def test_a_group_of_mostly_unlinked_copies_is_not_multiplied_out(spark, monkeypatch):
+    rng = random.Random(8)
+    base = [f"w{k}" for k in range(150)]
+    rows = [(i, " ".join(_edited(rng, base, rng.randrange(0, 12)))) for i in range(500)]
+    check(spark, rows, block=32)
+    assert _met_in_groups(spark, rows, 32, monkeypatch) < 500 * 499 // 2 // 20
+
+
+def test_families_within_a_group(spark):
+    """Three versions of one text, far from each other, each with copies of its own; one is the majority."""
+    rng = random.Random(4)
+    base = [f"w{k}" for k in range(160)]
+    versions = [base, base[:60] + [f"v{k}" for k in range(50)] + base[60:], base[:90] + [f"z{k}" for k in range(60)]]
+    rows = []
+    for v, n in zip(versions, (150, 80, 60), strict=True):
+        rows += [(len(rows) + i, " ".join(_edited(rng, v, rng.randrange(0, 7)))) for i in range(n)]
+    rng.shuffle(rows)
+    check(spark, rows, block=16)
