@@ -212,11 +212,34 @@ def _checked(docs: DataFrame, pairs: DataFrame, width: int, num: int, den: int,
     return out
 
 
+def _local_majority(keys: list[str]):
+    """(keys, most): what more than half of a group's rows in this task hold. What more than half of all its rows hold
+    is among these in some task."""
+    def run(batches):
+        groups: dict[tuple, list[np.ndarray]] = {}
+        for batch in batches:
+            lists = batch.column("diff")
+            offsets, cells = lists.offsets.to_numpy(), lists.values.to_numpy()
+            for key, lo, hi in zip(zip(*(batch.column(k).to_pylist() for k in keys), strict=True), offsets[:-1], offsets[1:], strict=True):
+                groups.setdefault(key, []).append(cells[lo:hi])
+        names, most = [], []
+        for key, rows in groups.items():
+            cells, counts = np.unique(np.concatenate(rows), return_counts=True)
+            if (often := 2 * counts > len(rows)).any():
+                names.append(key)
+                most.append(cells[often])
+        columns = [pa.array([n[k] for n in names], pa.int64()) for k in range(len(keys))]
+        yield pa.RecordBatch.from_arrays([*columns, _lists(most, pa.int64())], [*keys, "some"])
+    return run
+
+
 def _rebased(rows: DataFrame, keys: list[str]) -> DataFrame:
     """``rows`` (keys, id, n, diff) with each difference taken from the consensus of its group instead: what more than
-    half of the group's differences hold is flipped in all of them."""
+    half of the group's differences hold is flipped in all of them. Only what may be that is counted."""
     sizes = rows.groupBy(*keys).agg(F.count("*").alias("size"))
-    often = rows.select(*keys, F.explode("diff").alias("h")).groupBy(*keys, "h").agg(F.count("*").alias("c"))
+    may = rows.select(*keys, "diff").mapInArrow(_local_majority(keys), ", ".join(f"{k} long" for k in keys) + ", some array<long>")
+    may = may.groupBy(*keys).agg(F.array_distinct(F.flatten(F.collect_list("some"))).alias("may"))
+    often = rows.join(may, keys).select(*keys, F.explode(F.array_intersect("diff", "may")).alias("h")).groupBy(*keys, "h").agg(F.count("*").alias("c"))
     most = often.join(sizes, keys).where(2 * F.col("c") > F.col("size")).groupBy(*keys).agg(F.collect_list("h").alias("most"))
     flipped = F.concat(F.array_except("diff", "most"), F.array_except("most", "diff"))
     return rows.join(most, keys, "left").select(*keys, "id", "n", F.when(F.col("most").isNull(), F.col("diff")).otherwise(flipped).alias("diff"))
@@ -277,7 +300,7 @@ def _settled(rows: DataFrame, placed: DataFrame, links: DataFrame, block: int, n
         family = scratch.save(family, "families")
         if family.isEmpty():
             return links, comps
-        own = _rebased(rows.join(family, ["pivot", "id"]), ["pivot", "family"])
+        own = _rebased(scratch.save(rows.join(family, ["pivot", "id"]), "family-rows"), ["pivot", "family"])
         sure = _sure_links(own, ["pivot", "family"], num, den)
         of = lambda c: comps.select(F.col("node").alias(c), F.col("component").alias(f"c_{c}"))
         new = sure.join(of("a"), "a", "left").join(of("b"), "b", "left").where(F.coalesce("c_a", "a") != F.coalesce("c_b", "b")).select("a", "b")
@@ -349,7 +372,9 @@ def ngram_jaccard_join(docs: DataFrame, width: int = 4, num: int = 85, den: int
     rows = starred.select(F.col("a").alias("pivot"), F.col("b").alias("id"), F.col("nb").alias("n"), F.col("difference").alias("diff"))
     heads = starred.groupBy(F.col("a").alias("pivot")).agg(F.max("na").alias("n"))
     rows = rows.unionByName(heads.select("pivot", F.col("pivot").alias("id"), "n", F.array().cast("array<long>").alias("diff")))
-    rows = scratch.save(_rebased(rows, ["pivot"]), "groups")
+    starred = scratch.save(rows, "starred")
+    rows = scratch.save(_rebased(starred, ["pivot"]), "groups")
+    scratch.drop(starred)
     pivots = rows.where("id <> pivot").select("id", "pivot")
     links = checked.where("linked").select("a", "b").unionByName(_sure_links(rows, ["pivot"], num, den))
     links = scratch.save(links, "links")
