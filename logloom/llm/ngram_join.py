@@ -44,6 +44,7 @@ from logloom.llm.words import mix64, shingle_hashes, word_hashes
 
 FREQUENT_ROWS = 24  # rows that make a column frequent: it goes to the end of the order
 FREQUENT_COLUMNS = 1 << 16  # columns moved to the end: 512 kB in each task, whatever the input
+LATE_SHARE = 16  # changes of more than this part of a group's rows go to the end of the group's order
 ID_FILTER_BITS = 1 << 20  # fixed-size filter of the ids whose whole sets are needed
 COLUMN_FILTER_BITS = 1 << 23  # fixed-size filter of the columns that may have a second row
 
@@ -212,9 +213,9 @@ def _checked(docs: DataFrame, pairs: DataFrame, width: int, num: int, den: int,
     return out
 
 
-def _local_majority(keys: list[str]):
-    """(keys, most): what more than half of a group's rows in this task hold. What more than half of all its rows hold
-    is among these in some task."""
+def _local_often(keys: list[str], share: int):
+    """(keys, some, counts): the changes that more than 1 / share of a group's rows in this task hold, with their
+    counts. What more than 1 / share of all rows of a group hold is among these in some task."""
     def run(batches):
         groups: dict[tuple, list[np.ndarray]] = {}
         for batch in batches:
@@ -222,45 +223,65 @@ def _local_majority(keys: list[str]):
             offsets, cells = lists.offsets.to_numpy(), lists.values.to_numpy()
             for key, lo, hi in zip(zip(*(batch.column(k).to_pylist() for k in keys), strict=True), offsets[:-1], offsets[1:], strict=True):
                 groups.setdefault(key, []).append(cells[lo:hi])
-        names, most = [], []
+        names, some, counted = [], [], []
         for key, rows in groups.items():
             cells, counts = np.unique(np.concatenate(rows), return_counts=True)
-            if (often := 2 * counts > len(rows)).any():
+            if (often := share * counts > len(rows)).any():
                 names.append(key)
-                most.append(cells[often])
+                some.append(cells[often])
+                counted.append(counts[often])
         columns = [pa.array([n[k] for n in names], pa.int64()) for k in range(len(keys))]
-        yield pa.RecordBatch.from_arrays([*columns, _lists(most, pa.int64())], [*keys, "some"])
+        yield pa.RecordBatch.from_arrays([*columns, _lists(some, pa.int64()), _lists(counted, pa.int64())], [*keys, "some", "counts"])
     return run
 
 
+def _often(rows: DataFrame, keys: list[str], share: int) -> DataFrame:
+    kinds = ", ".join(f"{k} long" for k in keys)
+    return rows.select(*keys, "diff").mapInArrow(_local_often(keys, share), f"{kinds}, some array<long>, counts array<long>")
+
+
 def _rebased(rows: DataFrame, keys: list[str]) -> DataFrame:
     """``rows`` (keys, id, n, diff) with each difference taken from the consensus of its group instead: what more than
     half of the group's differences hold is flipped in all of them. Only what may be that is counted."""
     sizes = rows.groupBy(*keys).agg(F.count("*").alias("size"))
-    may = rows.select(*keys, "diff").mapInArrow(_local_majority(keys), ", ".join(f"{k} long" for k in keys) + ", some array<long>")
-    may = may.groupBy(*keys).agg(F.array_distinct(F.flatten(F.collect_list("some"))).alias("may"))
+    may = _often(rows, keys, 2).groupBy(*keys).agg(F.array_distinct(F.flatten(F.collect_list("some"))).alias("may"))
     often = rows.join(may, keys).select(*keys, F.explode(F.array_intersect("diff", "may")).alias("h")).groupBy(*keys, "h").agg(F.count("*").alias("c"))
     most = often.join(sizes, keys).where(2 * F.col("c") > F.col("size")).groupBy(*keys).agg(F.collect_list("h").alias("most"))
     flipped = F.concat(F.array_except("diff", "most"), F.array_except("most", "diff"))
     return rows.join(most, keys, "left").select(*keys, "id", "n", F.when(F.col("most").isNull(), F.col("diff")).otherwise(flipped).alias("diff"))
 
 
+def _excess(num: int, den: int):
+    """num + den times what a row's changes are above its own half of the allowance."""
+    return (num + den) * F.size("diff") - (den - num) * F.col("n")
+
+
 def _sure_links(rows: DataFrame, keys: list[str], num: int, den: int) -> DataFrame:
     """(a, b): every row that sizes alone link with its group's nearest row to the consensus."""
-    excess = (num + den) * F.size("diff") - (den - num) * F.col("n")
-    rows = rows.select(*keys, "id", excess.alias("e"))
+    rows = rows.select(*keys, "id", _excess(num, den).alias("e"))
     least = rows.groupBy(*keys).agg(F.min(F.struct("e", "id")).alias("least"))
     sure = rows.join(least, keys).where((F.col("e") + F.col("least.e") <= 0) & (F.col("id") != F.col("least.id")))
     return sure.select(F.col("least.id").alias("a"), F.col("id").alias("b"))
 
 
-def _placed(rows: DataFrame) -> DataFrame:
-    """(pivot, h, id, n, d, j): each change of a row with its place j in the order by frequency in the group, rare ones
-    first. A change of one row only is left out, as nothing meets there."""
-    cells = rows.select("pivot", "id", "n", F.size("diff").alias("d"), F.explode("diff").alias("h"))
-    often = cells.groupBy("pivot", "h").agg(F.count("*").alias("f"))
-    place = F.row_number().over(Window.partitionBy("pivot", "id").orderBy("f", "h")) - 1
-    return cells.join(often, ["pivot", "h"]).withColumn("j", place).where("f > 1").drop("f")
+def _placed(rows: DataFrame, num: int, den: int) -> DataFrame:
+    """(pivot, id, n, d, j, h): the changes of each row that may be the first common one of a link, with their places.
+
+    The order of a group's changes is by hash, those that more than 1 / LATE_SHARE of its rows have at the end by
+    their counts. A row that sizes link with the nearest one (excess e, least excess of the group e0) can only have
+    further links with rows of an excess above -e0, so its first common change stands early; any other row has it
+    within its allowance."""
+    group = rows.groupBy("pivot").agg(F.count("*").alias("size"), F.min(_excess(num, den)).alias("e0"))
+    late = _often(rows, ["pivot"], LATE_SHARE).select("pivot", F.explode(F.arrays_zip("some", "counts")).alias("x"))
+    late = late.groupBy("pivot", F.col("x.some").alias("h")).agg(F.sum("x.counts").alias("f")).join(group, "pivot").where(LATE_SHARE * F.col("f") > F.col("size"))
+    late = late.groupBy("pivot").agg(F.array_sort(F.collect_list(F.struct("f", "h"))).alias("late")).select("pivot", F.col("late.h").alias("late"))
+    none = F.array().cast("array<long>")
+    own = rows.join(group, "pivot").join(late, "pivot", "left").withColumn("late", F.coalesce("late", none)).withColumn("e", _excess(num, den))
+    ordered = F.concat(F.array_sort(F.array_except("diff", "late")), F.array_intersect("late", "diff"))
+    near = F.floor(((num + den) * F.size("diff") + (den - num) * F.col("n") + F.col("e0")) / (2 * (num + den)))
+    last = F.when(F.col("e") + F.col("e0") <= 0, near).otherwise(F.floor(F.col("n") * (den - num) / num))
+    early = F.slice(ordered, 1, F.greatest(F.lit(0), last + 1).cast("int"))
+    return own.select("pivot", "id", "n", F.size("diff").alias("d"), F.posexplode(early).alias("j", "h"))
 
 
 def _in_pivot_groups(placed: DataFrame, comps: DataFrame, num: int, den: int) -> DataFrame:
@@ -373,13 +394,13 @@ def ngram_jaccard_join(docs: DataFrame, width: int = 4, num: int = 85, den: int
     heads = starred.groupBy(F.col("a").alias("pivot")).agg(F.max("na").alias("n"))
     rows = rows.unionByName(heads.select("pivot", F.col("pivot").alias("id"), "n", F.array().cast("array<long>").alias("diff")))
     starred = scratch.save(rows, "starred")
-    rows = scratch.save(_rebased(starred, ["pivot"]), "groups")
+    rows = scratch.save(_rebased(starred, ["pivot"]).repartition("id"), "groups")  # a large group in many tasks
     scratch.drop(starred)
     pivots = rows.where("id <> pivot").select("id", "pivot")
     links = checked.where("linked").select("a", "b").unionByName(_sure_links(rows, ["pivot"], num, den))
     links = scratch.save(links, "links")
     scratch.drop(checked)
-    placed = scratch.save(_placed(rows), "placed")
+    placed = scratch.save(_placed(rows, num, den), "placed")
     links, joined = _settled(rows, placed, links, block, num, den, scratch)
 
     # Short columns: every pair of different components, products summed, then the size-derived bound. A pair that
