@@ -44,6 +44,7 @@ from logloom.llm.words import mix64, shingle_hashes, word_hashes
 
 FREQUENT_ROWS = 24  # rows that make a column frequent: it goes to the end of the order
 FREQUENT_COLUMNS = 1 << 16  # columns moved to the end: 512 kB in each task, whatever the input
+BATCH_ROWS = 500  # rows of an Arrow batch: two whole sets a row while pairs are checked
 LATE_SHARE = 16  # changes of more than this part of a group's rows go to the end of the group's order
 ID_FILTER_BITS = 1 << 20  # fixed-size filter of the ids whose whole sets are needed
 COLUMN_FILTER_BITS = 1 << 23  # fixed-size filter of the columns that may have a second row
@@ -265,7 +266,7 @@ def _sure_links(rows: DataFrame, keys: list[str], num: int, den: int) -> DataFra
 
 
 def _placed(rows: DataFrame, num: int, den: int) -> DataFrame:
-    """(pivot, id, n, d, j, h): the changes of each row that may be the first common one of a link, with their places.
+    """(pivot, id, n, d, early): the changes of each row that may be the first common one of a link, by their places.
 
     The order of a group's changes is by hash, those that more than 1 / LATE_SHARE of its rows have at the end by
     their counts. A row that sizes link with the nearest one (excess e, least excess of the group e0) can only have
@@ -281,13 +282,19 @@ def _placed(rows: DataFrame, num: int, den: int) -> DataFrame:
     near = F.floor(((num + den) * F.size("diff") + (den - num) * F.col("n") + F.col("e0")) / (2 * (num + den)))
     last = F.when(F.col("e") + F.col("e0") <= 0, near).otherwise(F.floor(F.col("n") * (den - num) / num))
     early = F.slice(ordered, 1, F.greatest(F.lit(0), last + 1).cast("int"))
-    return own.select("pivot", "id", "n", F.size("diff").alias("d"), F.posexplode(early).alias("j", "h"))
+    return own.select("pivot", "id", "n", F.size("diff").alias("d"), early.alias("early"))
+
+
+def _early_cells(placed: DataFrame, comps: DataFrame) -> DataFrame:
+    """(pivot, id, n, d, comp, j, h): one row for each early change, with the component of its row."""
+    own = placed.join(comps.select(F.col("node").alias("id"), "component"), "id", "left")
+    return own.select("pivot", "id", "n", "d", F.coalesce("component", "id").alias("comp"), F.posexplode("early").alias("j", "h"))
 
 
 def _in_pivot_groups(placed: DataFrame, comps: DataFrame, num: int, den: int) -> DataFrame:
     """Candidate pairs (pivot, a, b) of one group whose components differ, by a change that may be their first common
     one. The row with fewer changes has it within half of its allowance, the other one within its whole allowance."""
-    cells = placed.join(comps, "id", "left").withColumn("comp", F.coalesce("component", "id")).drop("component")
+    cells = _early_cells(placed, comps)
     crossing = cells.groupBy("pivot", "h").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1")).where("c0 <> c1").select("pivot", "h")
     cells = cells.join(crossing, ["pivot", "h"], "left_semi")
     half, whole = (F.col("j") * k * num <= F.col("n") * (den - num) for k in (2, 1))
@@ -313,8 +320,7 @@ def _settled(rows: DataFrame, placed: DataFrame, links: DataFrame, block: int, n
     (over ``block``) on a rare change form a group around the most frequent one, as long as that joins components."""
     comps = components(links, scratch)
     while True:
-        early = placed.where(F.col("j") * 2 * num <= F.col("n") * (den - num)).join(comps, F.col("id") == F.col("node"), "left")
-        early = early.withColumn("comp", F.coalesce("component", "id"))
+        early = _early_cells(placed, comps).where(F.col("j") * 2 * num <= F.col("n") * (den - num))
         crowded = early.groupBy("pivot", "h").agg(F.count("*").alias("c"), F.min("comp").alias("c0"), F.max("comp").alias("c1"))
         crowded = crowded.where((F.col("c") > block) & (F.col("c0") != F.col("c1"))).select("pivot", "h", "c")
         family = early.select("pivot", "h", "id").join(crowded, ["pivot", "h"]).groupBy("pivot", "id").agg(F.max_by("h", F.struct("c", "h")).alias("family"))
@@ -350,7 +356,7 @@ def ngram_jaccard_join(docs: DataFrame, width: int = 4, num: int = 85, den: int
     ``docs`` has doc_id (long) and text. Two documents link when ``den * intersection >= num * union`` of their
     distinct word n-grams of ``width`` words. ``block`` bounds the rows of a column that is multiplied in full."""
     spark = docs.sparkSession
-    bounded_batches(spark)
+    bounded_batches(spark, BATCH_ROWS)
     scratch = Scratch(spark, "ngram-join")
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     wide = scratch.save(docs.mapInArrow(_describe(width, num, den), "doc_id long, n long, k1 long, k2 long, first array<long>"), "wide")
@@ -405,7 +411,8 @@ def ngram_jaccard_join(docs: DataFrame, width: int = 4, num: int = 85, den: int
 
     # Short columns: every pair of different components, products summed, then the size-derived bound. A pair that
     # also shares a long column may be short of products here; it is looked at below.
-    labelled = met.join(joined, met["id"] == joined["node"], "left").select("h", "id", "n", "pos", "rows", F.coalesce("component", "id").alias("comp"))
+    known = joined.select(F.col("node").alias("id"), "component").join(pivots, "id", "full")
+    labelled = met.join(known, "id", "left").select("h", "id", "n", "pos", "rows", F.coalesce("component", "id").alias("comp"), F.coalesce("pivot", "id").alias("pivot"))
     labelled = scratch.save(labelled, "labelled")
     lists = labelled.where(F.col("rows") <= block).groupBy("h").agg(
         F.collect_list(F.struct("id", "n", "pos", "comp")).alias("rows"), F.min("comp").alias("c0"), F.max("comp").alias("c1")).where("c0 <> c1")
@@ -414,11 +421,9 @@ def ngram_jaccard_join(docs: DataFrame, width: int = 4, num: int = 85, den: int
     pairs = summed.where(_reaches("c", "na", "nb", num, den)).select("a", "b")
 
     # Long columns: rows of one pivot by their differences from the consensus, rows of different pivots directly.
-    comps = joined.select(F.col("node").alias("id"), "component")
-    within = _linked_in_groups(_in_pivot_groups(placed, comps, num, den), rows, num, den)
+    within = _linked_in_groups(_in_pivot_groups(placed, joined, num, den), rows, num, den)
     links = scratch.save(links.unionByName(within), "links")
-    apart = labelled.where(F.col("rows") > block).join(pivots, "id", "left").withColumn("pivot", F.coalesce("pivot", "id"))
-    pairs = pairs.unionByName(_between_pivot_groups(apart, num, den)).distinct()
+    pairs = pairs.unionByName(_between_pivot_groups(labelled.where(F.col("rows") > block), num, den)).distinct()
     more = _checked(docs, pairs.withColumn("basis", F.lit(False)), width, num, den, scratch)
     final = scratch.save(components(links.unionByName(more.where("linked").select("a", "b")), scratch), "final")
     scratch.drop(met, labelled, more, rows, placed)
