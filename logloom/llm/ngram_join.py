@@ -291,10 +291,9 @@ def _early_cells(placed: DataFrame, comps: DataFrame) -> DataFrame:
     return own.select("pivot", "id", "n", "d", F.coalesce("component", "id").alias("comp"), F.posexplode("early").alias("j", "h"))
 
 
-def _in_pivot_groups(placed: DataFrame, comps: DataFrame, num: int, den: int) -> DataFrame:
+def _in_pivot_groups(cells: DataFrame, num: int, den: int) -> DataFrame:
     """Candidate pairs (pivot, a, b) of one group whose components differ, by a change that may be their first common
     one. The row with fewer changes has it within half of its allowance, the other one within its whole allowance."""
-    cells = _early_cells(placed, comps)
     crossing = cells.groupBy("pivot", "h").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1")).where("c0 <> c1").select("pivot", "h")
     cells = cells.join(crossing, ["pivot", "h"], "left_semi")
     half, whole = (F.col("j") * k * num <= F.col("n") * (den - num) for k in (2, 1))
@@ -315,25 +314,27 @@ def _linked_in_groups(pairs: DataFrame, rows: DataFrame, num: int, den: int) ->
     return both.where((num + den) * apart <= (den - num) * (F.col("n_a") + F.col("n_b"))).select("a", "b")
 
 
-def _settled(rows: DataFrame, placed: DataFrame, links: DataFrame, block: int, num: int, den: int, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
-    """(links, components) after the families within the groups are joined: rows of different components that crowd
+def _settled(rows: DataFrame, placed: DataFrame, links: DataFrame, block: int, num: int, den: int, scratch: Scratch) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(links, components, early cells) after the families within the groups are joined: rows of different components that crowd
     (over ``block``) on a rare change form a group around the most frequent one, as long as that joins components."""
     comps = components(links, scratch)
     while True:
-        early = _early_cells(placed, comps).where(F.col("j") * 2 * num <= F.col("n") * (den - num))
+        cells = scratch.save(_early_cells(placed, comps), "early")
+        early = cells.where(F.col("j") * 2 * num <= F.col("n") * (den - num))
         crowded = early.groupBy("pivot", "h").agg(F.count("*").alias("c"), F.min("comp").alias("c0"), F.max("comp").alias("c1"))
         crowded = crowded.where((F.col("c") > block) & (F.col("c0") != F.col("c1"))).select("pivot", "h", "c")
         family = early.select("pivot", "h", "id").join(crowded, ["pivot", "h"]).groupBy("pivot", "id").agg(F.max_by("h", F.struct("c", "h")).alias("family"))
         family = scratch.save(family, "families")
         if family.isEmpty():
-            return links, comps
+            return links, comps, cells
         own = _rebased(scratch.save(rows.join(family, ["pivot", "id"]), "family-rows"), ["pivot", "family"])
         sure = _sure_links(own, ["pivot", "family"], num, den)
         of = lambda c: comps.select(F.col("node").alias(c), F.col("component").alias(f"c_{c}"))
         new = sure.join(of("a"), "a", "left").join(of("b"), "b", "left").where(F.coalesce("c_a", "a") != F.coalesce("c_b", "b")).select("a", "b")
         new = scratch.save(new, "new-links")
         if new.isEmpty():
-            return links, comps
+            return links, comps, cells
+        scratch.drop(cells)
         links = scratch.save(links.unionByName(new), "links")
         comps = components(links, scratch)
 
@@ -407,7 +408,7 @@ def ngram_jaccard_join(docs: DataFrame, width: int = 4, num: int = 85, den: int
     links = scratch.save(links, "links")
     scratch.drop(checked)
     placed = scratch.save(_placed(rows, num, den), "placed")
-    links, joined = _settled(rows, placed, links, block, num, den, scratch)
+    links, joined, early = _settled(rows, placed, links, block, num, den, scratch)
 
     # Short columns: every pair of different components, products summed, then the size-derived bound. A pair that
     # also shares a long column may be short of products here; it is looked at below.
@@ -421,12 +422,12 @@ def ngram_jaccard_join(docs: DataFrame, width: int = 4, num: int = 85, den: int
     pairs = summed.where(_reaches("c", "na", "nb", num, den)).select("a", "b")
 
     # Long columns: rows of one pivot by their differences from the consensus, rows of different pivots directly.
-    within = _linked_in_groups(_in_pivot_groups(placed, joined, num, den), rows, num, den)
+    within = _linked_in_groups(_in_pivot_groups(early, num, den), rows, num, den)
     links = scratch.save(links.unionByName(within), "links")
     pairs = pairs.unionByName(_between_pivot_groups(labelled.where(F.col("rows") > block), num, den)).distinct()
     more = _checked(docs, pairs.withColumn("basis", F.lit(False)), width, num, den, scratch)
     final = scratch.save(components(links.unionByName(more.where("linked").select("a", "b")), scratch), "final")
-    scratch.drop(met, labelled, more, rows, placed)
+    scratch.drop(met, labelled, more, rows, placed, early)
 
     labels = classes.join(final, classes["rep"] == final["node"], "left").select("k1", "k2", "n", F.coalesce("component", "rep").alias("component_id"))
     return described.select("doc_id", "n", "k1", "k2").join(labels, ["k1", "k2", "n"], "left").select(
