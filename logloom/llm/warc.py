@@ -203,7 +203,7 @@ def warc_record(r: dict) -> bytes:
     mime = "application/http;msgtype=response" if r["http"] else r["mime"]
     lines = [("WARC-Type", kind), ("WARC-Record-ID", f"<{r['record_id']}>"), ("WARC-Date", r["date"]), ("WARC-Target-URI", r["uri"]),
              ("WARC-IP-Address", None if r["ip"] == "0.0.0.0" else r["ip"]), ("WARC-Block-Digest", f"sha1:{digest(block)}"),
-             ("WARC-Payload-Digest", f"sha1:{r['payload_digest']}"), ("WARC-Truncated", "length" if r["truncated"] else None)]
+             ("WARC-Payload-Digest", f"sha1:{r['payload_digest']}"), ("WARC-Payload-Length", r["payload_bytes"]), ("WARC-Truncated", "length" if r["truncated"] else None)]
     if revisit:
         lines += [("WARC-Profile", REVISIT_PROFILE), ("WARC-Refers-To", f"<{r['first_id']}>"), ("WARC-Refers-To-Target-URI", r["first_uri"]), ("WARC-Refers-To-Date", r["first_date"])]
     return _header([*lines, ("Content-Type", mime), ("Content-Length", len(block))]) + block + b"\r\n"
@@ -231,6 +231,15 @@ def convert_to_warc(spark: SparkSession, arc_folder: str, warc_folder: str, leas
     _write_blocks(records.mapInArrow(run, BLOCKS), warc_folder, "\r\n")
 
 
+def _payload_length(head: dict[str, str], http: bytes) -> int | None:
+    """Bytes of the payload that a revisit leaves out: by this library's header field, else by the HTTP header, whose
+    names have any case; null where neither says it."""
+    if "warc-payload-length" in head:
+        return int(head["warc-payload-length"])
+    found = re.search(rb"(?i)\r\ncontent-length:[ \t]*(\d+)[ \t]*\r\n", http)
+    return int(found[1]) if found else None
+
+
 def parse_warc(content: bytes):
     """The response, resource and revisit records of one WARC file as tuples of READ."""
     stream = gzip.GzipFile(fileobj=io.BytesIO(content)) if content[:2] == b"\x1f\x8b" else io.BytesIO(content)
@@ -252,7 +261,7 @@ def parse_warc(content: bytes):
             http, payload = block[: cut + 4], block[cut + 4 :]
         own = re.search(rb"\r\nX-Page-Id: (-?\d+)\r\n", http)
         if kind == "revisit":
-            size, said = int(re.search(rb"\r\nContent-Length: (\d+)\r\n", http)[1]), head["warc-payload-digest"].removeprefix("sha1:")
+            size, said = _payload_length(head, http), head.get("warc-payload-digest", "").removeprefix("sha1:") or None
         else:
             size, said = len(payload), digest(payload)
         yield (int(own[1]) if own else None, size, said, kind, head["warc-record-id"].strip("<>"),

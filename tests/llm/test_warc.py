@@ -86,3 +86,30 @@ def test_both_arc_versions_are_written(spark):
 def test_parse_warc_rejects_what_is_not_warc():
     with pytest.raises(ValueError, match="not a WARC"):
         list(parse_warc(b"hello\r\n"))
+
+
+def test_ordinary_archives(spark, tmp_path):
+    """Records of other writers: no HTTP header, no length field in it, or one in lower case; all of them twice."""
+    from logloom.llm.warc import convert_to_warc, read_warc
+    messages = [("dns:h", b"20240101 1.2.3.4"), ("http://h/a", b"HTTP/1.1 200 OK\r\nServer: x\r\n\r\nbody a"),
+                ("http://h/b", b"HTTP/1.0 200 OK\r\ncontent-length: 6\r\n\r\nbody b"), ("http://h/c", b"HTTP/1.1 204 No Content\r\n\r\n")]
+    head = b"1 0 test\n" + ARC_FIELDS[1].encode() + b"\n"
+    content = b"filedesc://t 0.0.0.0 20240101000000 text/plain %d\n" % len(head) + head
+    for uri, m in messages * 2:
+        content += f"{uri} 1.2.3.4 20240102030405 text/html {len(m)}\n".encode() + m + b"\n"
+    (tmp_path / "arc" / "archive=t").mkdir(parents=True)
+    (tmp_path / "arc" / "archive=t" / "part.arc").write_bytes(content)
+    convert_to_warc(spark, str(tmp_path / "arc"), str(tmp_path / "warc"))
+    found = read_warc(spark, str(tmp_path / "warc")).collect()
+    payloads = [b"20240101 1.2.3.4", b"body a", b"body b", b""]
+    assert sorted((r.payload_bytes, r.payload_digest) for r in found) == sorted((len(p), sha(p)) for p in payloads * 2)
+    assert sorted(r.record_type for r in found) == sorted(["resource", "response", "response", "response"] + ["revisit"] * 4)
+
+
+def test_revisits_of_other_writers():
+    """Without this library's length field the HTTP header decides, in any case; without both the size is null."""
+    def revisit(http):
+        lines = ["WARC/1.1", "WARC-Type: revisit", "WARC-Record-ID: <urn:x>", "WARC-Date: 2024-01-01T00:00:00Z", "Content-Type: application/http", f"Content-Length: {len(http)}"]
+        return "\r\n".join(lines).encode() + b"\r\n\r\n" + http + b"\r\n\r\n"
+    sizes = [next(parse_warc(revisit(h)))[1:3] for h in (b"HTTP/1.1 200 OK\r\ncontent-LENGTH:  12 \r\n\r\n", b"HTTP/1.1 200 OK\r\n\r\n", b"")]
+    assert sizes == [(12, None), (None, None), (None, None)]
