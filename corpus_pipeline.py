@@ -26,9 +26,10 @@ LEAST_LANGUAGE_SCORE = 0.3
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose text has a letter and fits a learned language stay; null texts go."""
     filters = learn_filters(docs.where(~held_out()).select("text", "lang"))
     kept = (F.col("_pred.lang_pred") != UNKNOWN) & (F.col("_pred.score") >= LEAST_LANGUAGE_SCORE)
-    inner = docs.select(F.struct(*docs.columns).alias("_row"), "text")
+    inner = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row"), "text")
     judged = identify(inner, filters).select("_row", F.struct("lang_pred", "score").alias("_pred"))
     return judged.where(kept).select("_row.*")
 
@@ -39,7 +40,9 @@ def near_copy_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     scratch = Scratch(spark, "near-copies")
     named = docs.where("doc_id is not null")
     text = F.struct(*(F.xxhash64(F.lit(k), F.col("text").isNull(), "text") for k in (1, 2)))
-    several = scratch.save(named.groupBy("doc_id").agg(F.min(text).alias("t0"), F.max(text).alias("t1")).where("t0 <> t1").select("doc_id"), "several")
+    repeated = named.groupBy("doc_id").agg(F.count("*").alias("n"), F.min(text).alias("t0"), F.max(text).alias("t1")).where("n > 1")
+    repeated = scratch.save(repeated.select("doc_id", (F.col("t0") != F.col("t1")).alias("differ")), "repeated")
+    several = repeated.where("differ").select("doc_id")
     inner = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_doc")
     keyed = named.select(inner, F.col("doc_id").cast("long").alias("_key"), "text")
     names = None
@@ -56,16 +59,25 @@ def near_copy_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
         ends = scratch.save(ends.select("_key", "component_id", F.struct(F.coalesce("_id", "_key").alias("id"), "_text").alias("_at")), "ends")
         stay = ends.groupBy("component_id").agg(F.min_by("_key", "_at").alias("_stays"))
         copies = ends.join(stay, "component_id").where("_key <> _stays").select("_key")
+    kept = keyed.join(scratch.save(copies, "copies"), "_key", "left_anti")
+    null_ids = docs.where("doc_id is null")
+    if repeated.isEmpty():
+        return kept.select("_doc.*").unionByName(null_ids)
+    # Only the rows of repeated ids are gathered by key: one of equal rows stays.
     order = F.struct(*(F.col(f"_doc.`{c}`") for c, kind in docs.dtypes if "map<" not in kind and "variant" not in kind))
-    kept = keyed.join(copies, "_key", "left_anti").groupBy("_key").agg(F.min_by("_doc", order).alias("_doc")).select("_doc.*")
-    return kept.unionByName(docs.where("doc_id is null"))
+    again = F.col("_doc.doc_id") == F.col("_again")
+    ids = repeated.select(F.col("doc_id").alias("_again"))
+    one = kept.join(ids, again, "left_semi").groupBy("_key").agg(F.min_by("_doc", order).alias("_doc"))
+    return kept.join(ids, again, "left_anti").select("_doc.*").unionByName(one.select("_doc.*")).unionByName(null_ids)
 
 
 def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item go; null and empty texts hold none and stay."""
     return decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The rows that the target weights take, with their whole epochs and the tokens of a part."""
     return mix_sources(docs, TARGET_WEIGHTS)
 
 
