@@ -216,7 +216,8 @@ def convert_to_warc(spark: SparkSession, arc_folder: str, warc_folder: str, leas
     equal = read_arc(spark, arc_folder, payloads=False).where(F.col("payload_bytes") >= least_payload).groupBy("payload_digest", "payload_bytes").agg(
         F.max(F.struct("page_id", "record_id", "uri", "date")).alias("first"), F.count("*").alias("n")).where("n > 1")
     equal = equal.select("payload_digest", "payload_bytes", F.col("first.record_id").alias("first_id"), F.col("first.uri").alias("first_uri"), F.col("first.date").alias("first_date"))
-    records = read_arc(spark, arc_folder).join(equal, ["payload_digest", "payload_bytes"], "left")
+    # Hashed, not sorted: the side of equal payloads has one narrow row for each, the other side whole payloads.
+    records = read_arc(spark, arc_folder).join(equal.hint("shuffle_hash"), ["payload_digest", "payload_bytes"], "left")
 
     def warcinfo(archive: str) -> bytes:
         body = f"software: logloom\r\nformat: {WARC_VERSION}\r\ndescription: converted from ARC\r\n".encode()
