@@ -1,7 +1,12 @@
+import hashlib
 import random
 from collections import defaultdict
 
-from logloom.llm.chat import CHUNK, format_chats
+from logloom.llm.chat import CHUNK, format_chats, numbered_turns
+
+
+def md5(text):
+    return hashlib.md5(text.encode()).hexdigest()
 
 
 def plain(rows):
@@ -9,7 +14,7 @@ def plain(rows):
     chats = defaultdict(list)
     for conv, turn, role, text in rows:
         chats[conv].append(((turn is not None, turn), role or "", text or ""))
-    chats = {c: [(r, t) for _, r, t in sorted(v, key=lambda x: (x[0][0], x[0][1] or 0, x[1], x[2]))] for c, v in chats.items()}
+    chats = {c: [(r, t) for _, r, t in sorted(v, key=lambda x: (x[0][0], x[0][1] or 0, md5(md5(x[1]) + x[2])))] for c, v in chats.items()}
     groups = defaultdict(list)
     for c, v in chats.items():
         groups[tuple(v)].append(c)
@@ -56,5 +61,18 @@ def test_a_conversation_over_many_chunks(spark):
     assert sorted(found) == [1, 4] and len(found[1]) == 4
 
 
+def test_a_crowd_without_ids_and_with_few_turn_numbers(spark):
+    """Equal turn numbers and equal rows, too, are chunks of CHUNK turns and sorted by several tasks."""
+    rows = [(None, k % 10, "user", f"t{k % 3}") for k in range(6 * CHUNK)] + [(1, 0, "user", "hi"), (1, 1, "assistant", "yo"), (2, 0, "user", "hi")]
+    found = check(spark, rows)
+    assert sorted(found[None]) == list(range(6)) and {r.text.count("<|im_start|>") for r in found[None].values()} == {CHUNK}
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        turns = numbered_turns(spark.createDataFrame([(None, 0, "user", "same")] * 4000, "conv_id long, turn long, role string, text string"))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(turns.select("row").inputFiles()) > 1 and turns.where("row between 0 and 3999").select("row").distinct().count() == 4000
+
+
 def test_empty_table(spark):
     assert format_chats(spark.createDataFrame([], "conv_id long, turn long, role string, text string")).collect() == []
