@@ -2,12 +2,13 @@
 
 The canonical key of a host and a path is the host's labels from the top-level domain down, then a separator, then the
 path. A rule's key is a prefix of the keys that it fits, so a rule is the interval of all keys that begin with its own.
-A rule also fits subdomains: a URL is therefore looked up under each suffix of its host. Rules and URL keys are sorted
+A rule also fits subdomains: a URL is therefore looked up under the suffixes of its host with as many labels as some
+rule has at most (a longer suffix fits nothing, so a host of many labels costs no more). Rules and URL keys are sorted
 together, and one sweep keeps a stack of the rules whose intervals are open (prefix intervals are nested or disjoint);
 the top of the stack is the longest rule for a key.
 
 The key space is cut into ranges at keys of a seeded sample of distinct keys (the sample decides balance only), several
-ranges for each shuffle partition. A rule is sent to each range that its interval meets, so every range is swept on its
+ranges for each shuffle partition; bounds are the first ``BOUND_CHARS`` characters of a key. A rule is sent to each range that its interval meets, so every range is swept on its
 own. Only distinct (host, path) pairs are swept; a URL that many rows repeat is swept once and joined back.
 
 The longest rule is the one with the longest host and path together, then the longest host, then block before allow.
@@ -15,7 +16,7 @@ The longest rule is the one with the longest host and path together, then the lo
 Defined cases: a null URL, or one without ``://``, has empty host and path and gets the default verdict; so does every
 URL without a fitting rule or with an empty rule table. A URL without a path doesn't begin with ``/``, so a rule with a
 path doesn't fit it. Repeated rows are judged alike. Null rule hosts or paths count as empty; a rule with an empty host
-fits nothing. Other columns are kept; host, path, rule and verdict are replaced."""
+fits nothing. Other columns are kept, whatever their names; host, path, rule and verdict are replaced."""
 
 from __future__ import annotations
 
@@ -29,6 +30,8 @@ from pyspark.sql import functions as F
 
 RANGES_A_PARTITION = 8
 SAMPLED_A_RANGE = 16
+BOUND_CHARS = 256
+JUDGED = ("host", "path", "rule", "verdict")
 SWEPT = "host string, path string, rule string, verdict string, rule_host int, rule_length int"
 
 
@@ -38,7 +41,12 @@ def host_and_path(url: str = "url"):
     rest = F.when(F.col(url).isNull() | (F.locate("://", F.col(url)) == 0), F.lit("")).otherwise(rest)
     rest = F.regexp_extract(rest, r"(?s)^([^?#]*)", 1)
     host = F.regexp_extract(rest, r"(?s)^([^/]*)", 1)
-    return F.translate(host, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"), F.substr(rest, F.length(host) + 1)
+    return lower_ascii(host), F.substr(rest, F.length(host) + 1)
+
+
+def lower_ascii(c):
+    """A-Z of a column lower-cased."""
+    return F.translate(c, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
 def canonical_key(labels, path):
@@ -98,17 +106,19 @@ def judge_urls(pages: DataFrame, rules: DataFrame, default: str = "allow", url:
     ``rules`` has host, path and verdict (allow or block)."""
     spark = pages.sparkSession
     host, path = host_and_path(url)
-    pages = pages.drop("host", "path", "rule", "verdict").withColumn("host", host).withColumn("path", path)
-    urls = pages.select("host", "path").distinct()
+    inner = pages.select(F.struct(*(F.col(f"`{c}`") for c in pages.columns)).alias("_row"), host.alias("host"), path.alias("path"))
+    rules = rules.select(lower_ascii(F.coalesce("host", F.lit(""))).alias("host"), F.coalesce("path", F.lit("")).alias("path"), "verdict").where("host <> ''")
     labels = F.split("host", "[.]")
-    urls = urls.withColumn("key", F.explode(F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: canonical_key(F.slice(labels, i, F.size(labels)), F.col("path")))))
-    rules = rules.select(F.lower(F.coalesce("host", F.lit(""))).alias("host"), F.coalesce("path", F.lit("")).alias("path"), "verdict").where("host <> ''")
+    most = rules.agg(F.max(F.size(labels))).first()[0] or 1
+    suffixes = F.sequence(F.greatest(F.lit(1), F.size(labels) - most + 1), F.size(labels))
+    urls = inner.select("host", "path").distinct()
+    urls = urls.withColumn("key", F.explode(F.transform(suffixes, lambda i: canonical_key(F.slice(labels, i, F.size(labels)), F.col("path")))))
     rules = rules.select("host", "path", canonical_key(F.split("host", "[.]"), F.col("path")).alias("key"), F.concat("host", "path").alias("rule"), "verdict",
                          F.length("host").alias("rule_host"), F.length(F.concat("host", "path")).alias("rule_length")).distinct()
 
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     ranges = RANGES_A_PARTITION * partitions
-    drawn = urls.select("key", F.xxhash64("key", F.lit(5)).alias("draw")).orderBy("draw", "key").limit(SAMPLED_A_RANGE * ranges).select("key").toPandas()["key"]
+    drawn = urls.select("key", F.xxhash64("key", F.lit(5)).alias("draw")).orderBy("draw", "key").limit(SAMPLED_A_RANGE * ranges).select(F.left("key", F.lit(BOUND_CHARS)).alias("key")).toPandas()["key"]
     drawn = sorted(set(drawn))
     bounds = [drawn[len(drawn) * k // ranges] for k in range(1, ranges)] if len(drawn) >= 2 * ranges else drawn[1::2]
     none = lambda c, kind: F.lit(None).cast(kind).alias(c)
@@ -117,8 +127,8 @@ def judge_urls(pages: DataFrame, rules: DataFrame, default: str = "allow", url:
     order = F.when(F.col("verdict") == "block", 0).otherwise(1)
     swept = both.withColumn("order", order).repartition(partitions, "range").sortWithinPartitions("range", "key", "is_url", "order").drop("order").mapInArrow(_sweep, SWEPT)
     best = swept.where("rule is not null").groupBy("host", "path").agg(F.max_by(F.struct("rule", "verdict"), F.struct("rule_length", "rule_host")).alias("best"))
-    return pages.join(best, ["host", "path"], "left").withColumn("rule", F.col("best.rule")).withColumn(
-        "verdict", F.coalesce("best.verdict", F.lit(default))).drop("best")
+    others = [F.col(f"_row.`{c}`") for c in pages.columns if c.lower() not in JUDGED]
+    return inner.join(best, ["host", "path"], "left").select(*others, "host", "path", F.col("best.rule").alias("rule"), F.coalesce("best.verdict", F.lit(default)).alias("verdict"))
 
 
 #: The rules of the registered query.

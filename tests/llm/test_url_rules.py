@@ -64,3 +64,15 @@ def test_many_rules_over_many_ranges(spark):
 
 def test_oracle_names_the_same_columns():
     assert all(c in url_rules.oracle_sql() for c in ("page_id", "host", "path", "rule", "verdict"))
+
+
+def test_any_input_columns_stand(spark):
+    pages = spark.createDataFrame([(1, "http://a.org/x", "b", "k", "r", "d")], "page_id long, url string, best string, key string, _row string, `a.b` string")
+    rules = spark.createDataFrame([("ORG", "/", "block")], "host string, path string, verdict string")
+    got = judge_urls(pages, rules).collect()[0]
+    assert got.asDict() == {"page_id": 1, "url": "http://a.org/x", "best": "b", "key": "k", "_row": "r", "a.b": "d", "host": "a.org", "path": "/x", "rule": "org/", "verdict": "block"}
+
+
+def test_a_host_of_many_labels(spark):
+    """As many keys as the deepest rule has labels, not one that holds the whole host for each label."""
+    check(spark, ["http://" + "s." * 200_000 + "com/de/x", "http://" + "s." * 200_000 + "b.com/", "http://a.b.com/fr/"], [("b.com", "/", "block"), ("com", "/", "allow"), ("com", "/de/", "block")])
