@@ -6,8 +6,8 @@ the fingerprint. The likeness of two fingerprints is the share of equal bits.
 
 Search: a fingerprint is cut into ``radius + 2`` blocks. Two fingerprints within ``radius`` differ in at most ``radius``
 blocks, so they agree on at least two; there is one table for each pair of blocks, keyed by them (the permuted leading
-bits). An equi-join on (table, key) finds all candidates, which the Hamming distance then decides. Equal fingerprints
-are one entry with a count.
+bits). An equi-join on (table, key) finds all candidates, which the Hamming distance then decides. Documents of one
+fingerprint are a class, named by their smallest id: a search finds classes, and a document's class is in its row.
 
 The next document of a row is found without a global sort: ids are cut into ranges at ids of a seeded sample (it decides
 balance only), each range is sorted on its own, and the first row of a range is also sent to the range before. Texts are
@@ -158,15 +158,20 @@ def within_radius(queries: DataFrame, prints: DataFrame, radius: int = RADIUS) -
 
 
 def fingerprint_documents(docs: DataFrame, radius: int = RADIUS, every: int = 50) -> DataFrame:
-    """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint (16 hex digits), near_edited, near_next, and
-    near_documents: for ids divisible by ``every`` (the stated queries) how many other rows lie within ``radius``."""
+    """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint (16 hex digits), near_edited, near_next, class_id
+    (the smallest id with the same fingerprint), and for ids divisible by ``every`` (the stated queries) near_documents,
+    how many other rows lie within ``radius``, and near_classes, the sorted ids of the other classes among them. A class
+    of null ids alone has a null id and is counted, not named."""
     scratch = Scratch(docs.sparkSession, "simhash")
     rows = scratch.save(fingerprint_edits(docs), "prints")
     asked = (F.col("id") != NO_ID) & (F.col("id") % every == 0)
-    sizes = rows.groupBy("print").agg(F.count("*").alias("n"))
-    close = within_radius(rows.where(asked), rows, radius).join(sizes, "print").groupBy("query").agg((F.sum("n") - 1).alias("near"))
-    close = scratch.save(close, "near")
+    classes = scratch.save(rows.groupBy("print").agg(F.count("*").alias("n"), F.min(F.when(F.col("id") != NO_ID, F.col("id"))).alias("class_id")), "classes")
+    other = F.when(F.col("print") != F.col("query"), F.col("class_id"))
+    close = within_radius(rows.where(asked), classes, radius).join(classes, "print").groupBy("query").agg(
+        (F.sum("n") - 1).alias("near"), F.array_sort(F.collect_list(other)).alias("others"))
+    found = scratch.save(classes.join(close, F.col("print") == F.col("query"), "left").select("print", "class_id", "near", "others"), "near")
     digits = lambda c: F.lpad(F.lower(F.hex(c)), 16, "0")
-    return rows.join(close, rows["print"] == close["query"], "left").select(
+    return rows.join(found, "print").select(
         F.when(F.col("id") != NO_ID, F.col("id")).alias("doc_id"), "n_chars", "edited_sha256", digits("print").alias("fingerprint"),
-        digits("edited_print").alias("edited_fingerprint"), "near_edited", "near_next", F.when(asked, F.col("near")).alias("near_documents"))
+        digits("edited_print").alias("edited_fingerprint"), "near_edited", "near_next", "class_id", F.when(asked, F.col("near")).alias("near_documents"),
+        F.when(asked, F.col("others")).alias("near_classes"))

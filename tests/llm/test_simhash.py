@@ -1,17 +1,38 @@
 import hashlib
+import math
 import random
+import re
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from logloom.llm.simhash import block_tables, fingerprint_documents, fingerprints, within_radius
+from logloom.llm.simhash import WIDTH, block_tables, fingerprint_documents, fingerprints, within_radius
+from logloom.llm.words import shingle_hashes, word_hashes
 
 
 def distance(a, b):
     return bin(int(a, 16) ^ int(b, 16)).count("1")
 
 
+def plain_print(text):
+    """Weighted votes bit by bit; only the hash of a term is the library's."""
+    words = [re.sub("[A-Z]", lambda m: m[0].lower(), w) for w in re.findall("[^\x20\x09-\x0d]+", text)]
+    terms = Counter(tuple(words[k : k + WIDTH]) for k in range(max(1, len(words) - WIDTH + 1))) if words else {}
+    votes = [0.0] * 64
+    for term, n in terms.items():
+        h = int(shingle_hashes(*word_hashes(pa.array([" ".join(term)])), WIDTH)[1][0])
+        for b in range(64):
+            votes[b] += float(np.float32(1 + math.log(n))) * (1 if h >> b & 1 else -1)
+    return sum(1 << b for b, v in enumerate(votes) if v > 0)
+
+
+def test_fingerprints_by_plain_votes(doc_rows):
+    texts = ["", " \t", "One", "one TWO", "a b c", "a b a b a b a b", "x " * 500, *(t or "" for _, t, *_ in doc_rows[:40])]
+    assert [int(x) for x in fingerprints(pa.array(texts, pa.large_string()))] == [plain_print(t) for t in texts]
+
+
 def check(spark, docs, rows, every=50):
     """rows: (id, text) in the order of the operator."""
     found = fingerprint_documents(docs, every=every).collect()
@@ -24,9 +45,13 @@ def check(spark, docs, rows, every=50):
         half = len(t) // 2
         changed = t[: len(t) - half] + nxt[:half]
         e = f"{int(fingerprints(pa.array([changed], pa.large_string()))[0]):016x}"
+        mine = min((j for (j, _), p in zip(rows, prints) if p == prints[k] and j is not None), default=None)
+        others = {p for p in prints if p != prints[k] and distance(prints[k], p) <= 3}
+        firsts = [min((j for (j, _), q in zip(rows, prints) if q == p and j is not None), default=None) for p in others]
         near = sum(distance(prints[k], p) <= 3 for p in prints) - 1 if i is not None and i % every == 0 else None
         want.append((i, len(t), hashlib.sha256(changed.encode()).hexdigest(), prints[k], e, 1 - distance(prints[k], e) / 64,
-                     1 - distance(prints[k], prints[(k + 1) % len(rows)]) / 64, near))
+                     1 - distance(prints[k], prints[(k + 1) % len(rows)]) / 64, mine, near,
+                     None if near is None else sorted(j for j in firsts if j is not None)))
     assert sorted(map(tuple, found), key=str) == sorted(want, key=str)
 
 
