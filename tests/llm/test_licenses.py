@@ -1,21 +1,26 @@
 import math
+import os
 import re
 from collections import Counter
 
-from logloom.llm.licenses import TEMPLATES, scan_licenses
+import pytest
 
+from logloom.llm.licenses import TEMPLATES, read_templates, scan_licenses
 
-def plain(rows, least=0.6):
+FULL_TEXTS = "/usr/share/common-licenses"
+
+
+def plain(rows, least=0.6, given=TEMPLATES):
     """{path: (license, cosine, from)} of rows (path, text), every segment against every template."""
     split = lambda t: [w for w in re.split("[^a-z0-9]+", t.lower()) if w]
     texts = {(p, t) for p, t in rows if t is not None}
-    vocabulary = {w for _, t in TEMPLATES for w in split(t)}
+    vocabulary = {w for _, t in given for w in split(t)}
     sets = [set(split(t)) for _, t in texts]
     df = {w: sum(w in s for s in sets) for w in vocabulary}
     idf = lambda w: math.log((len(texts) + 1) / (df.get(w, 0) + 1)) + 1
     vector = lambda ws: {w: n * idf(w) for w, n in Counter(ws).items()}
     length = lambda v: math.sqrt(sum(x * x for x in v.values()))
-    templates = [(n, vector(split(t))) for n, t in TEMPLATES]
+    templates = [(n, vector(split(t))) for n, t in given]
 
     def best(segments):
         found = []
@@ -44,12 +49,13 @@ def plain(rows, least=0.6):
     return out
 
 
-def check(spark, rows):
+def check(spark, rows, given=TEMPLATES):
     from pyspark.sql import functions as F
-    files = spark.createDataFrame(rows, "path string, text string").withColumns({c: F.lit("x") for c in ("w", "segment", "idf", "depth", "notice", "own")})
-    found = scan_licenses(files).collect()
+    files = spark.createDataFrame(rows, "path string, text string").withColumns({c: F.lit("x") for c in ("w", "segment", "idf", "depth", "notice", "own", "_own", "_dir", "_id", "_row", "a.b")})
+    found = scan_licenses(files, given).collect()
+    assert all(r[c] == "x" for r in found for c in ("_own", "_dir", "_id", "_row", "a.b"))
     assert len(found) == len(rows)
-    want = plain(rows)
+    want = plain(rows, given=given)
     for r in found:
         name, cosine, source = want[r.path, r.text]
         assert (r.license, r.license_from) == (name, source), r
@@ -78,5 +84,29 @@ def test_lines_near_a_template(spark):
     check(spark, rows + [(f"e{k}/f", "the of and work under this") for k in range(30)])
 
 
+def test_whole_licence_files_give_their_licence_below(spark):
+    """A licence file as it is found (holder, line breaks) gives its own licence to the code below it."""
+    rows = []
+    for name, text in TEMPLATES:
+        if len(text) > 600:
+            folded = re.sub("((?:\\S+ ){9}\\S+) ", "\\1\n", text)
+            rows += [(f"{name}/LICENSE", f"Copyright 2019 Some Holder\n\n{folded}\n"), (f"{name}/src/code.py", f"def {name.lower()[:3]}(): return 1")]
+    found = check(spark, rows + [(f"d/{k}", f"plain words number {k}") for k in range(40)])
+    below = {p: r.license for (p, _), r in found.items() if p.endswith(".py")}
+    assert below == {f"{n}/src/code.py": n for n in ("MIT", "BSD-3-Clause", "ISC")}
+
+
+@pytest.mark.skipif(not os.path.isdir(FULL_TEXTS), reason="no licence texts on this machine")
+def test_templates_read_from_a_folder(spark):
+    names = [n for n in ("Apache-2.0", "GPL-2", "GPL-3", "LGPL-2.1", "MPL-2.0") if os.path.isfile(f"{FULL_TEXTS}/{n}")]
+    read = read_templates(spark, *(f"{FULL_TEXTS}/{n}" for n in names))
+    assert [n for n, _ in read] == sorted(names)
+    rows = [(f"{n}/COPYING", f"This is project {n}, by its holders.\n\n{t}") for n, t in read] + [(f"{n}/a/b.c", f"int {n[:3]};") for n, _ in read]
+    found = check(spark, rows + [(f"d/{k}", f"the words of a text, to be or not {k}") for k in range(60)], TEMPLATES + read)
+    assert {p: r.license for (p, _), r in found.items() if p.endswith(".c")} == {f"{n}/a/b.c": n for n in names}
+    with pytest.raises(ValueError):
+        scan_licenses(spark.createDataFrame(rows[:1], "path string, text string"), [("x", " ".join(f"w{k}" for k in range(20_001)))])
+
+
 def test_empty_table(spark):
     assert scan_licenses(spark.createDataFrame([], "path string, text string")).collect() == []
