@@ -5,7 +5,8 @@ bit that depends on the step and the word. Two sequences at a small edit distanc
 together again, so their outputs differ in few places: edit distance becomes Hamming distance. Bit sampling then
 takes a few output places as a signature; equal signatures make a candidate. The walk is repeated with fresh random
 bits until ``target_recall`` is reached for items with the most edits allowed; the number of repetitions is measured
-on seeded edits of at most ``SAMPLE`` items. Every candidate is verified by the exact word edit distance between the
+on ``TRIALS`` seeded edits of at most ``SAMPLE`` items with their words renamed (so that no two trials walk alike), set
+inside running words, as a walk runs past the item's end there. If ``MOST`` repetitions don't reach the target, a warning states the recall. Every candidate is verified by the exact word edit distance between the
 whole item and the document around it.
 
 Windows have the size of the items, by size class (``CLASSES``). A document gives a window every ``stride`` words; an
@@ -21,6 +22,7 @@ items each give their own rows; texts are read whole, and columns other than tho
 from __future__ import annotations
 
 import math
+import warnings
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -36,6 +38,8 @@ from logloom.llm.words import mix64, word_hashes
 CLASSES = ((31, 24, 8), (15, 12, 4), (8, 6, 3), (4, 4, 1))
 PLACES = 4  # sampled places of an embedding
 SAMPLE = 64  # items of a class on which the repetitions are measured
+TRIALS = 400
+MOST = 128  # repetitions of a class
 FILTER = 1 << 20
 BLOCK_CHARS = 8 << 20  # characters of items in a block
 LEAKS = "doc_id long, item_id long, word_start long, distance int, item_words int"
@@ -160,15 +164,22 @@ def repetitions(items: list[np.ndarray], size_class: int, max_edits: float, targ
     _, window, stride = CLASSES[size_class]
     rng = np.random.default_rng(11)
     sample = items[:: max(1, len(items) // SAMPLE)][:SAMPLE]
-    trials = [(w, _edited(w, int(max_edits * len(w)), rng), int(rng.integers(stride))) for w in sample for _ in range(4)]
+    other = lambda n: rng.integers(1, 1 << 62, n, dtype=np.int64).astype(np.uint64)
+    trials = []
+    for k in range(TRIALS):
+        _, same = np.unique(sample[k % len(sample)], return_inverse=True)
+        item = other(len(same))[same]
+        trials.append((item, np.concatenate([other(int(rng.integers(stride))), _edited(item, int(max_edits * len(item)), rng), other(_steps(window))])))
     missed, r = len(trials), 0
     found = np.zeros(len(trials), bool)
-    while missed > (1 - target_recall) * len(trials) and r < 64:
-        for k, (w, e, phase) in enumerate(trials):
+    while missed > (1 - target_recall) * len(trials) and r < MOST:
+        for k, (w, text) in enumerate(trials):
             if not found[k]:
-                there = np.arange(phase, len(e) - window + 1, stride)
-                found[k] = bool(np.isin(signatures(e, there, size_class, r), signatures(w, np.arange(len(w) - window + 1), size_class, r)).any())
+                there = np.arange(0, len(text) - window + 1, stride)
+                found[k] = bool(np.isin(signatures(text, there, size_class, r), signatures(w, np.arange(len(w) - window + 1), size_class, r)).any())
         missed, r = int((~found).sum()), r + 1
+    if missed > (1 - target_recall) * len(trials):
+        warnings.warn(f"items of {CLASSES[size_class][0]} words and more: recall {found.mean():.3f} after {r} repetitions, below {target_recall}", stacklevel=2)
     return max(1, r)
 
 

@@ -1,7 +1,9 @@
 import random
 
 import numpy as np
+import pytest
 
+import logloom.llm.decontaminate as decontaminate_module
 from logloom.llm.decontaminate import CLASSES, decontaminate, find_leaks, fitting_distance
 from tests.llm.brute import edit_distance_to_run, words
 
@@ -73,3 +75,22 @@ def test_class_sizes_leave_no_length_out():
     for least, window, stride in CLASSES:
         assert window + stride - 1 <= least or stride == 1 and window <= least
     assert np.all(np.diff([c[0] for c in CLASSES]) < 0)
+
+
+def test_repetitions_reach_the_target_inside_running_text():
+    """Short items, verbatim or with the most edits, among other words; a target that can't be reached is reported."""
+    rng = np.random.default_rng(21)
+    words = lambda n: rng.integers(1, 1 << 62, n, dtype=np.int64).astype(np.uint64)
+    for n in (4, 8, 15):
+        size_class = next(k for k, (least, *_) in enumerate(decontaminate_module.CLASSES) if n >= least)
+        _, window, stride = decontaminate_module.CLASSES[size_class]
+        times = decontaminate_module.repetitions([words(n) for _ in range(3)], size_class, 0.2, 0.98)
+        hits = 0
+        for _ in range(300):
+            item = words(n)
+            text = np.concatenate([words(int(rng.integers(40))), decontaminate_module._edited(item, n // 5, rng), words(40)])
+            there, own = np.arange(0, len(text) - window + 1, stride), np.arange(n - window + 1)
+            hits += any(np.isin(decontaminate_module.signatures(text, there, size_class, r), decontaminate_module.signatures(item, own, size_class, r)).any() for r in range(times))
+        assert hits >= 0.96 * 300, (n, times, hits)
+    with pytest.warns(UserWarning, match="recall"):
+        decontaminate_module.repetitions([words(8)], 2, 0.9, 0.98)
