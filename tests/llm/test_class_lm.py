@@ -3,8 +3,9 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pytest
 
-from logloom.llm.class_lm import CLASSES, END, best_class, score, score_held_out, train
+from logloom.llm.class_lm import CLASSES, END, best_classes, score, score_held_out, train
 from logloom.llm.scratch import Scratch
 from tests.llm.brute import words
 
@@ -87,10 +88,63 @@ def test_best_class_raises_the_likelihood():
         phi = lambda x: (x * np.log(np.maximum(x, 1))).sum()
         return phi(m) - phi(m.sum(0)) - phi(m.sum(1))
 
-    for u in range(units - 1):
-        after, before = counts[u].copy(), counts[:, u].copy()
-        after[u] = before[u] = 0
-        got = best_class(matrix(of), int(of[u]), np.bincount(of, after, classes + 1), np.bincount(of, before, classes + 1), counts[u, u])
+    who = np.arange(units - 1)
+    after, before = counts[:-1].copy(), counts.T[:-1].copy()
+    after[who, who] = before[who, who] = 0
+    by_class = lambda n: np.stack([np.bincount(of, row, classes + 1) for row in n])
+    got = best_classes(matrix(of), of[:-1], by_class(after), by_class(before), np.diag(counts)[:-1])
+    for u in who:
         tried = [likelihood(np.where(np.arange(units) == u, k, of)) for k in range(classes)]
-        assert math.isclose(tried[got], max(tried), abs_tol=1e-6)
+        assert math.isclose(tried[got[u]], max(tried), abs_tol=1e-6)
     assert END > CLASSES
+
+
+def _plain_classes(model, texts):
+    """Class of each word of the texts, from the model's table, lookup and, for unseen words, ending."""
+    import pyarrow as pa
+
+    from logloom.llm.words import word_hashes
+    table = {r["word"]: r["class"] for r in model.rarer.collect()}
+    out = {}
+    for w in {w for t in texts for w in words(t)}:
+        h = int(word_hashes(pa.array([w]))[1].view(np.int64)[0])
+        out[w] = table.get(h, _class(model, w))
+    return out
+
+
+@pytest.mark.parametrize("frequent, lookup", [(8192, 1 << 18), (3, 6), (0, 0)])
+def test_scores_against_a_plain_version(spark, frequent, lookup):
+    """Transitions, masses and scores from plain counts, with words of all three ways: units, looked up, joined."""
+    rng = np.random.default_rng(5)
+    names = [f"w{i}" for i in range(40)]
+    texts = [" ".join(names[min(int(i), 39)] for i in rng.geometric(0.12, n) - 1) for n in rng.integers(0, 60, 50)] + ["w1 w1 w1 w39 w39"]
+    asked = [*texts, "", "w0 new1 w1 new1 new2", "new3"]
+    scratch = Scratch(spark, "test-lm")
+    model = train(spark.createDataFrame([(t,) for t in texts], "text string"), scratch, frequent, lookup)
+    of = _plain_classes(model, asked)
+    n = Counter(w for t in texts for w in words(t))
+    size, types = Counter(), Counter()
+    for w, c in n.items():
+        size[of[w]] += c
+        types[of[w]] += 1
+    path = lambda t: [CLASSES, *(of[w] for w in words(t)), CLASSES]
+    steps = Counter((a, b) for t in texts for a, b in zip(path(t), path(t)[1:]))
+    from_class = Counter()
+    for (a, _), c in steps.items():
+        from_class[a] += c
+    assert model.rarer.count() == max(len(n) - frequent, 0) and model.tokens == sum(n.values()) + len(texts)
+
+    def plain(t):
+        moves = sum(math.log10((steps[a, b] + 0.5) / (from_class[a] + 0.5 * (CLASSES + 1))) for a, b in zip(path(t), path(t)[1:]))
+        return moves + sum(math.log10((n[w] + 0.5) / (size[of[w]] + 0.5 * (types[of[w]] + 1))) for w in words(t))
+
+    got = {r.name: r.score for r in score(spark.createDataFrame([(t, t) for t in asked], "name string, text string"), model, scratch).collect()}
+    assert all(math.isclose(got[t], plain(t), rel_tol=1e-9) for t in asked)
+
+
+def test_rarer_words_follow_their_own_neighbours(spark):
+    """Words of one ending part by what stands around them, and join the frequent word that stands there."""
+    texts = ["a p b", "c r d"] * 200 + [f"{t}zzz {e}" for i in range(30) for t, e in ((f"a x{i}", "b"), (f"c y{i}", "d"))] * 2
+    model = train(spark.createDataFrame([(t,) for t in texts], "text string"), Scratch(spark, "test-lm"), 6, classes=6)
+    of = _plain_classes(model, texts)
+    assert {of[f"x{i}zzz"] for i in range(30)} == {of["p"]} and {of[f"y{i}zzz"] for i in range(30)} == {of["r"]} and of["p"] != of["r"]
