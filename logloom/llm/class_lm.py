@@ -11,8 +11,8 @@ Only words that the training text lacks take the class of their ending. Both pro
 adding 0.5, words by ``(c + 0.5) / (N_class + 0.5 * (V_class + 1))``, the last 1 for the class's unseen word. The end of a
 text is a token and a class of its own, and also what precedes the first word.
 
-Counts cover all training text. The rarer words with class and count are a distributed table; the ``LOOKUP`` most
-frequent words (a fixed 4 MB) are looked up in the tasks, and the distinct other words of a text are joined with that
+Counts cover all training text. The rarer words with class and count are a distributed table; up to ``LOOKUP`` of
+the most frequent words (a fixed 4 MB) are looked up in the tasks, and the distinct other words of a text are joined with that
 table. Texts are tagged once, one byte a token; transitions are counted, and scores summed, over the tags. The first phase
 keeps one row of neighbour counts per unit, whatever the corpus; a round reads these rows where they lie and returns one
 class a unit. The second is one aggregation by word and classes of its neighbours.
@@ -312,12 +312,25 @@ class ClassModel(WordClasses):
     transitions: np.ndarray = None  # log10 P(class | class before)
 
 
+def _frequent(words: DataFrame, most: int, whole: bool) -> DataFrame:
+    """The words of the highest counts. Counts fall into 32 classes an octave; the class with the ``most``-th word is in
+    unless ``whole`` asks for at most ``most`` words. So no task sends more than it holds of these."""
+    octave = F.floor(F.log2("n") * 32).cast("int")
+    sizes = words.groupBy(octave.alias("octave")).count().toPandas().sort_values("octave", ascending=False)
+    before = sizes["count"].cumsum() - (0 if whole else sizes["count"])
+    taken = sizes["octave"][before <= most if whole else before < most]
+    return words.where(octave >= (int(taken.min()) if len(taken) else 1 << 30))
+
+
 def learn_classes(texts: DataFrame, scratch: Scratch, frequent: int = FREQUENT, lookup: int = LOOKUP, classes: int = CLASSES) -> WordClasses:
     """The classes of all words of the column ``text``. The ``frequent`` (at most FREQUENT) most frequent words are units
     of their own; ``lookup`` words are held by every task. Neither leaves a word out."""
     spark = texts.sparkSession
     bounded_batches(spark)
-    top = texts.mapInArrow(_word_counts, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(min(frequent, FREQUENT)).toPandas()
+    frequent = min(frequent, FREQUENT)
+    counted = scratch.save(texts.mapInArrow(_word_counts, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")), "counts")
+    top = _frequent(counted, frequent, whole=False).orderBy(F.desc("n"), "word").limit(frequent).toPandas()
+    scratch.drop(counted)
     n_texts = texts.count()
     units = np.arange(len(top))
     named = _lookup(top["word"].to_numpy(np.int64), top["n"].to_numpy(np.int64), units)
@@ -345,7 +358,7 @@ def learn_classes(texts: DataFrame, scratch: Scratch, frequent: int = FREQUENT,
     types[by_class["class"].to_numpy(np.int64)] += by_class["types"].to_numpy(np.float64)
     mass = np.log10(tokens + 0.5 * (types + 1))
     mass[-1] = 0.0
-    more = rarer.orderBy(F.desc("n"), "word").limit(max(lookup - len(top), 0)).toPandas()
+    more = _frequent(rarer, lookup - len(top), whole=True).toPandas()  # at most lookup rows
     held = _lookup(*(np.concatenate([a, b]).astype(np.int64) for a, b in ((top["word"], more["word"]), (top["n"], more["n"]), (units, END + 1 + more["class"]))))
     return WordClasses(held, np.append(of, np.arange(many)), mass, rarer, int(tokens.sum()) + n_texts, int(types.sum()) + (n_texts > 0), n_texts)
 
