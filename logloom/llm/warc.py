@@ -43,7 +43,7 @@ REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-dig
 BLOCKS = "archive string, seq long, block binary"
 RECORDS = ("archive string, at long, version int, uri string, ip string, date string, mime string, record_id string, page_id long, "
            "truncated boolean, http binary, payload binary, payload_bytes long, payload_digest string")
-NARROW = "record_id string, page_id long, uri string, date string, payload_bytes long, payload_digest string"
+NARROW = "path string, at long, record_id string, page_id long, uri string, date string, payload_bytes long, payload_digest string"
 READ = "page_id long, payload_bytes long, payload_digest string, record_type string, record_id string, refers_to_id string, uri string, date string"
 
 
@@ -94,7 +94,8 @@ def _write_blocks(blocks: DataFrame, folder: str, line_end: str) -> None:
 
 def _archives(spark: SparkSession, folder: str) -> DataFrame:
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
-    return files.select(F.regexp_extract("path", "archive=([^/]+)/", 1).alias("archive"), "content")
+    own, name = F.regexp_extract("path", "archive=([^/]+)/", 1), F.substring_index("path", "/", -1)
+    return files.select(F.when(own != "", own).otherwise(name).alias("archive"), "path", "content")
 
 
 def _encode_uri(uri: str | None, page_id: int | None) -> str:
@@ -183,9 +184,9 @@ def read_arc(spark: SparkSession, folder: str, payloads: bool = True) -> DataFra
     """The records of all ARC files below ``folder``; without ``payloads`` only the columns of NARROW."""
     def rows(batches):
         for batch in batches:
-            for archive, content in zip(batch.column("archive"), batch.column("content"), strict=True):
+            for archive, path, content in zip(*(batch.column(c) for c in ("archive", "path", "content")), strict=True):
                 for r in parse_arc(archive.as_py(), content.as_py()):
-                    yield r if payloads else (r[7], r[8], r[3], r[5], r[12], r[13])
+                    yield r if payloads else (path.as_py(), r[1], r[7], r[8], r[3], r[5], r[12], r[13])
 
     schema = RECORDS if payloads else NARROW
     return _archives(spark, folder).mapInArrow(lambda batches: _batched(rows(batches), schema), schema)
@@ -211,12 +212,18 @@ def warc_record(r: dict) -> bytes:
 
 def convert_to_warc(spark: SparkSession, arc_folder: str, warc_folder: str, least_payload: int = 0, archive_bytes: int = 64 << 20) -> None:
     """Convert all ARC files. Of records with equal payloads of at least ``least_payload`` bytes, the one with the
-    largest (page_id, record id) is written whole and the others revisit it."""
+    largest (page_id, record id) is written whole and the others revisit it. Who revisits whom is learned from the
+    records without payloads; each archive then gets its revisits, and no payload is shuffled."""
     bounded_batches(spark)
-    equal = read_arc(spark, arc_folder, payloads=False).where(F.col("payload_bytes") >= least_payload).groupBy("payload_digest", "payload_bytes").agg(
+    scratch = Scratch(spark, "arc-records")
+    records = scratch.save(read_arc(spark, arc_folder, payloads=False), "records")
+    same = ["payload_digest", "payload_bytes"]
+    equal = records.where(F.col("payload_bytes") >= least_payload).groupBy(*same).agg(
         F.max(F.struct("page_id", "record_id", "uri", "date")).alias("first"), F.count("*").alias("n")).where("n > 1")
-    equal = equal.select("payload_digest", "payload_bytes", F.col("first.record_id").alias("first_id"), F.col("first.uri").alias("first_uri"), F.col("first.date").alias("first_date"))
-    records = read_arc(spark, arc_folder).join(equal, ["payload_digest", "payload_bytes"], "left")
+    later = records.select("path", "at", "record_id", *same).join(equal, same).where("record_id <> first.record_id")
+    revisits = later.select("path", F.struct("at", F.col("first.record_id").alias("first_id"), F.col("first.uri").alias("first_uri"), F.col("first.date").alias("first_date")).alias("r"))
+    revisits = revisits.groupBy("path").agg(F.collect_list("r").alias("revisits"))  # at most an archive's records
+    archives = _archives(spark, arc_folder).join(revisits, "path", "left").select("archive", "content", "revisits")
 
     def warcinfo(archive: str) -> bytes:
         body = f"software: logloom\r\nformat: {WARC_VERSION}\r\ndescription: converted from ARC\r\n".encode()
@@ -224,11 +231,22 @@ def convert_to_warc(spark: SparkSession, arc_folder: str, warc_folder: str, leas
         return _header([("WARC-Type", "warcinfo"), ("WARC-Record-ID", name), ("WARC-Date", "2024-01-01T00:00:00Z"), ("WARC-Filename", archive),
                         ("Content-Type", "application/warc-fields"), ("Content-Length", len(body))]) + body + b"\r\n"
 
+    names = [c.split(" ")[0] for c in RECORDS.split(", ")]
+
+    def converted(batches):
+        for batch in batches:
+            for archive, content, found in zip(*batch.columns, strict=True):
+                found = found.values if found.is_valid else None
+                place = {} if found is None else {at: i for i, at in enumerate(found.field("at").to_pylist())}
+                for r in parse_arc(archive.as_py(), content.as_py()):
+                    i = place.get(r[1])
+                    yield warc_record(dict(zip(names, r, strict=True)) | ({"first_id": None} if i is None else found[i].as_py()))
+
     def run(batches):
-        records = (warc_record(r) for batch in batches for r in batch.to_pylist())
-        yield from _batched(_rolled(records, warcinfo, "warc", archive_bytes), BLOCKS)
+        yield from _batched(_rolled(converted(batches), warcinfo, "warc", archive_bytes), BLOCKS)
 
-    _write_blocks(records.mapInArrow(run, BLOCKS), warc_folder, "\r\n")
+    _write_blocks(archives.mapInArrow(run, BLOCKS), warc_folder, "\r\n")
+    scratch.drop(records)
 
 
 def _payload_length(head: dict[str, str], http: bytes) -> int | None:
