@@ -40,7 +40,7 @@ PLACES = 4  # sampled places of an embedding
 SAMPLE = 64  # items of a class on which the repetitions are measured
 TRIALS = 400
 MOST = 128  # repetitions of a class
-FILTER = 1 << 20
+FILTER = 1 << 20  # most slots of a signature filter, which has 16 a signature below that; it only spares searches
 BLOCK_CHARS = 8 << 20  # characters of items in a block
 LEAKS = "doc_id long, item_id long, word_start long, distance int, item_words int"
 
@@ -121,7 +121,7 @@ class ItemBlock:
                 per_class[size_class] = row, offsets[row] + place * stride
             row, starts = per_class[size_class]
             sig = signatures(words, starts, size_class, repetition)
-            near = np.flatnonzero(bits[(sig % np.uint64(FILTER)).astype(np.int64)])
+            near = np.flatnonzero(bits[(sig % np.uint64(len(bits))).astype(np.int64)])
             lo, hi = np.searchsorted(values, sig[near], "left"), np.searchsorted(values, sig[near], "right")
             for k, a, b in zip(near.tolist(), lo.tolist(), hi.tolist(), strict=True):
                 for x in range(a, b):
@@ -205,8 +205,8 @@ def item_blocks(items: DataFrame, max_edits: float, target_recall: float):
                 sizes = [len(s) for s in sig]
                 values = np.concatenate(sig)
                 by = np.argsort(values, kind="stable")
-                bits = np.zeros(FILTER, bool)
-                bits[(values % np.uint64(FILTER)).astype(np.int64)] = True
+                bits = np.zeros(min(FILTER, 1 << (16 * len(values)).bit_length()), bool)
+                bits[(values % np.uint64(len(bits))).astype(np.int64)] = True
                 block.tables[c, r] = values[by], np.repeat(own, sizes)[by], np.concatenate([np.arange(s) for s in sizes])[by], bits
         yield block
 
