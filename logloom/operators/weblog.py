@@ -96,9 +96,12 @@ def _to_null(name: str, dtype: str) -> Column:
     if dtype != "string":
         # An integral value is never blank or NaN text.
         return c.alias(name)
+    return F.when(~_missing_text(c), c).alias(name)
+
+
+def _missing_text(c: Column) -> Column:
     maybe_nan = c.contains("a") | c.contains("A")
-    missing = c.isNull() | (F.trim(c) == "") | (maybe_nan & c.rlike(_NAN_TEXT))
-    return F.when(~missing, c).alias(name)
+    return c.isNull() | (F.trim(c) == "") | (maybe_nan & c.rlike(_NAN_TEXT))
 
 
 def blank_to_null(df: DataFrame) -> DataFrame:
@@ -108,8 +111,20 @@ def blank_to_null(df: DataFrame) -> DataFrame:
 
 def clean_log(parsed: DataFrame) -> DataFrame:
     """P-06 + P-07: drop every row with a missing field. An unparsed line
-    is all blank, so it goes too."""
-    return blank_to_null(parsed).na.drop()
+    is all blank, so it goes too.
+
+    A row that stays has no field that ``blank_to_null`` would change, so its
+    conditions are the filter alone. The text columns are tested by one
+    lambda over their array: a copy of the conditions for each column makes
+    one generated method that the JVM doesn't compile."""
+    texts = [F.col(n) for n, t in parsed.dtypes if t == "string"]
+    present = [_to_null(n, t).isNotNull() for n, t in parsed.dtypes if t != "string"]
+    if texts:
+        present.append(F.forall(F.array(*texts), lambda c: ~_missing_text(c)))
+    out = parsed
+    for kept in present:
+        out = out.where(kept)
+    return out
 
 
 def add_url_columns(df: DataFrame) -> DataFrame:
@@ -168,6 +183,12 @@ def add_indexed_columns(df: DataFrame, columns=("req_method", "domain"), unknown
     return df
 
 
+def extract_columns(lines: DataFrame, value_col: str = "value") -> DataFrame:
+    """The extracted table's plain columns: parsed fields, URL and time
+    columns, without path features and indexes."""
+    return add_time_columns(add_url_columns(clean_log(parse_access_log(lines, value_col))))
+
+
 def extract_log(lines: DataFrame, value_col: str = "value", index: bool = True, indexes: list | None = None,
                 unseen: str = "keep") -> DataFrame:
     """The extracted-log table (28 columns with the index columns).
@@ -176,8 +197,7 @@ def extract_log(lines: DataFrame, value_col: str = "value", index: bool = True,
     earlier extract: the rows get their indexes and one-hot vectors instead
     of ones fitted on these rows, with ``unseen`` as the rule for new
     labels."""
-    df = add_url_columns(clean_log(parse_access_log(lines, value_col)))
-    df = add_path_features(add_time_columns(df))
+    df = add_path_features(extract_columns(lines, value_col))
     if indexes is not None:
         for fitted in indexes:
             df = fitted.one_hot(df, unseen=unseen)

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,6 +31,13 @@ def domain_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.select(host.alias("domain")).filter(F.col("domain").endswith(KNOWN_SUFFIX)).distinct()
 
 
+def _with_path_features(df: DataFrame) -> DataFrame:
+    """``df`` with the path features before its index columns."""
+    index = [c for c in df.columns if c.endswith(("_index", "_onehot"))]
+    wide = W.add_path_features(df)
+    return wide.select(*[c for c in wide.columns if c not in index], *index)
+
+
 def extracted_tables(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
     """Run the full extract once and stage it: known rows partitioned by
     domain, unknown rows unpartitioned (K-01, K-02). Returns both roots."""
@@ -40,19 +46,15 @@ def extracted_tables(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
     unknown_root = staging.staged_dir(spark, "extract-unknown", key)
     if not (staging.path_exists(spark, f"{known_root}/_SUCCESS")
             and staging.path_exists(spark, f"{unknown_root}/_SUCCESS")):
-        # Built only when needed: the index fits inside run jobs. The
-        # extract is persisted across the two writes so the log is parsed
-        # once; lost blocks are recomputed from lineage.
-        base = W.extract_log(weblog_text(spark, sf_dir), index=False).persist(
-            StorageLevel.MEMORY_AND_DISK)
-        ext = base
-        try:
-            ext = W.add_indexed_columns(base)
-            known, unknown = W.split_known(ext, domain_registry(spark, sf_dir))
-            known_root = staging.stage_parquet(spark, known, "extract-known", key, ["domain"])
-            unknown_root = staging.stage_parquet(spark, unknown, "extract-unknown", key)
-        finally:
-            base.unpersist()
+        # Built only when needed: the index fits inside run jobs. The log is
+        # parsed once, into a scratch table of the plain columns that the
+        # index fits and both writes read; the path features, which are many
+        # times as wide, are computed by the tasks that write them.
+        plain = staging.materialize(W.extract_columns(weblog_text(spark, sf_dir)), "extract")
+        ext = W.add_indexed_columns(plain)
+        known, unknown = W.split_known(ext, domain_registry(spark, sf_dir))
+        known_root = staging.stage_parquet(spark, known, "extract-known", key, ["domain"], finish=_with_path_features)
+        unknown_root = staging.stage_parquet(spark, unknown, "extract-unknown", key, finish=_with_path_features)
     return known_root, unknown_root
 
 

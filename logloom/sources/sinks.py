@@ -3,6 +3,8 @@ default refuses to overwrite, so a rerun never clobbers output silently."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -19,14 +21,19 @@ def cluster_for_partitions(df: DataFrame, partition_by: list[str]) -> DataFrame:
 
 
 def write_parquet(df: DataFrame, path: str, mode: str = "errorifexists",
-                  partition_by: list[str] | None = None, repartition: int | None = None) -> None:
+                  partition_by: list[str] | None = None, repartition: int | None = None,
+                  finish: Callable[[DataFrame], DataFrame] | None = None) -> None:
     """K-01 (partitioned) / K-02 (plain). With ``partition_by`` the rows
-    are rebalanced by the partition columns first (see above)."""
+    are rebalanced by the partition columns first (see above). ``finish``
+    adds row-wise columns after that shuffle, so wide derived columns (path
+    n-grams) are computed where they are written and never shuffled."""
     out = df
     if partition_by:
         out = cluster_for_partitions(out, partition_by)
     elif repartition:
         out = out.repartition(repartition)
+    if finish:
+        out = finish(out)
     w = out.write.mode(mode)
     if partition_by:
         w = w.partitionBy(*partition_by)

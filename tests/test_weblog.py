@@ -132,3 +132,41 @@ def test_path_features_with_whole_items(spark):
     df = spark.createDataFrame([("/a", ["k=v"])], "clean_path string, clean_query_list array<string>")
     assert W.add_path_features(df).first()["url_features"] == ["k"]
     assert W.add_path_features(df, items="pairs").first()["url_features"] == ["k=v"]
+
+
+def test_clean_filter_tests_all_texts_by_one_lambda(spark):
+    plan = W.clean_log(W.parse_access_log(_lines(spark)))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("trim(") <= 2  # not one copy a column, in the filter and above it
+
+
+def test_clean_log_equals_blank_to_null_and_drop(spark):
+    parsed = W.parse_access_log(_lines(spark))
+    want = W.blank_to_null(parsed).na.drop()
+    assert W.clean_log(parsed).exceptAll(want).count() == 0 and want.exceptAll(W.clean_log(parsed)).count() == 0
+
+
+def test_extract_stages_without_persisting_and_keeps_columns(spark, tmp_path, monkeypatch):
+    from pyspark.sql import DataFrame, Row
+    from logloom.plans.weblog_queries import extracted_tables
+    import datetime
+    when = datetime.datetime(2024, 1, 1, 10, 30)
+    events = [Row(event_id=i, ts=when, user_id=i, event_type="view") for i in range(40)]
+    pages = [Row(page_id=i, url=f"http://{h}/some/path/{i}?a=1") for i, h in enumerate(["a.example.com", "b.example.com", "c.org"])]
+    spark.createDataFrame(events).write.parquet(str(tmp_path / "events.parquet"))
+    spark.createDataFrame(pages).write.parquet(str(tmp_path / "pages.parquet"))
+    want = W.extract_log(_fixture_lines(spark, str(tmp_path)))
+
+    def no_persist(self, *level):
+        raise AssertionError("the extract is persisted")
+    monkeypatch.setattr(DataFrame, "persist", no_persist)
+    known, unknown = (spark.read.parquet(p) for p in extracted_tables(spark, str(tmp_path)))
+    assert set(known.columns) == set(want.columns) == set(unknown.columns)
+    keys = ["remote_addr", "date_time", "clean_path", "domain", "path_ngrams", "url_features", "domain_index"]
+    both = known.select(keys).unionByName(unknown.select(keys))
+    assert sorted(map(str, both.collect())) == sorted(map(str, want.select(keys).collect()))
+    assert both.count() > 20
+
+
+def _fixture_lines(spark, sf):
+    from logloom.plans.weblog_fixture import weblog_text
+    return weblog_text(spark, sf)
