@@ -14,7 +14,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -22,10 +22,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import (ArrayType, DoubleType, IntegerType, StructField, StructType)
 
 from logloom.operators.sampling import hash_bands
-from logloom.operators.vectors import FEATURES, as_double_array, batch_matrix, check_model_size
+from logloom.operators.vectors import FEATURES, array_matrix, as_double_array, check_model_size
 
 SCHEMA_VERSION = 1
 _CHUNK = 4096  # gradient values in one row of the grouped sum
+_ROWS = 512  # rows whose activations are computed together: they stay in the core's cache
 DEFAULT_STEPS = 4
 
 
@@ -59,9 +60,12 @@ class Autoencoder:
 
     def errors(self, raw: np.ndarray) -> np.ndarray:
         """M-22: mean squared reconstruction error per row (scaled space)."""
-        x = self.scale(raw)
-        y = self.forward(x)[-1]
-        return ((x - y) ** 2).mean(axis=1)
+        out = np.empty(len(raw))
+        for a in range(0, len(raw), _ROWS):
+            x = self.scale(raw[a:a + _ROWS])
+            y = self.forward(x)[-1]
+            out[a:a + _ROWS] = ((x - y) ** 2).mean(axis=1)
+        return out
 
     def flat(self) -> np.ndarray:
         return np.concatenate([a.ravel() for pair in zip(self.weights, self.biases) for a in pair])
@@ -81,16 +85,15 @@ class Autoencoder:
         src = df.select(*keep, as_double_array(df, features).alias(FEATURES))
         schema = StructType([*[f for f in src.schema.fields if f.name in keep],
                              StructField(output, DoubleType())])
+        kept = schema.names[:-1]
 
         def run(batches):
-            for pdf in batches:
-                if len(pdf) == 0:
-                    continue
-                out = pdf.drop(columns=[FEATURES])
-                out[output] = model.errors(batch_matrix(pdf[FEATURES]))
-                yield out
+            for batch in batches:
+                found = model.errors(array_matrix(batch.column(FEATURES)))
+                columns = [*(batch.column(c) for c in kept), pa.array(found, mask=np.isnan(found))]
+                yield pa.RecordBatch.from_arrays(columns, schema.names)
 
-        return src.mapInPandas(run, schema)
+        return src.mapInArrow(run, schema)
 
     def loss(self, df: DataFrame, features: str | list[str]) -> float:
         """Mean reconstruction error over all rows."""
@@ -184,20 +187,20 @@ def gradient_sums(model: Autoencoder, df: DataFrame, features: str | list[str])
 
     def run(batches):
         total, loss, seen = np.zeros(size), 0.0, 0
-        for pdf in batches:
-            if len(pdf) == 0:
-                continue
-            x = model.scale(batch_matrix(pdf[FEATURES]))
-            gw, gb, mean = _grads(model, x)
-            total += len(x) * np.concatenate([g.ravel() for pair in zip(gw, gb) for g in pair])
-            loss += len(x) * mean
-            seen += len(x)
+        for batch in batches:
+            raw = array_matrix(batch.column(FEATURES))
+            for a in range(0, len(raw), _ROWS):
+                x = model.scale(raw[a:a + _ROWS])
+                gw, gb, mean = _grads(model, x)
+                total += len(x) * np.concatenate([g.ravel() for pair in zip(gw, gb) for g in pair])
+                loss += len(x) * mean
+                seen += len(x)
         if seen:
             whole = np.concatenate([[seen, loss], total])
             parts = [whole[a:a + _CHUNK] for a in range(0, len(whole), _CHUNK)]
-            yield pd.DataFrame({"chunk": np.arange(len(parts), dtype=np.int32), "s": parts})
+            yield pa.RecordBatch.from_arrays([pa.array(range(len(parts)), pa.int32()), pa.array(parts, pa.list_(pa.float64()))], schema.names)
 
-    part = df.select(as_double_array(df, features).alias(FEATURES)).mapInPandas(run, schema)
+    part = df.select(as_double_array(df, features).alias(FEATURES)).mapInArrow(run, schema)
     rows = part.groupBy("chunk").agg(Summarizer.sum(array_to_vector("s")).alias("s")).collect()
     if not rows:
         return np.zeros(size), 0.0, 0

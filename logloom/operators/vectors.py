@@ -39,6 +39,21 @@ def batch_matrix(series: pd.Series) -> np.ndarray:
     return np.stack(series.to_numpy()).astype(np.float64, copy=False)
 
 
+def array_matrix(column: pa.Array) -> np.ndarray:
+    """Rows of an Arrow column of lists as a matrix, without a copy; a null
+    element is NaN. A null list, or lists of several sizes, are an error."""
+    if isinstance(column, pa.ChunkedArray):
+        column = column.combine_chunks()
+    if len(column) == 0:
+        return np.zeros((0, 0))
+    if column.null_count:
+        raise ValueError("a row has no features")
+    sizes = column.value_lengths().to_numpy(zero_copy_only=False)
+    if not (sizes == sizes[0]).all():
+        raise ValueError("rows have several numbers of features")
+    return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64, copy=False).reshape(len(column), int(sizes[0]))
+
+
 def check_model_size(*arrays: np.ndarray) -> None:
     size = sum(a.nbytes for a in arrays)
     if size > MAX_MODEL_BYTES:

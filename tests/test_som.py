@@ -182,3 +182,13 @@ def test_minibatches_read_each_row_once_a_round_and_the_error_falls(spark):
     model = SOM.train_som(df, FEATS, 4, 4, iterations=16, sigma=1.5, init=w0, bands=8, key="id")
     other = SOM.train_som(df.repartition(13), FEATS, 4, 4, iterations=16, sigma=1.5, init=w0, bands=8, key="id")
     assert model.quantization_error(df, FEATS) < 0.8 * before and np.allclose(model.weights, other.weights, atol=1e-9)
+
+
+def test_every_task_writes_its_share_of_each_of_few_bands(spark):
+    from pyspark.sql import functions as F
+    from logloom.operators import sampling as S
+    df = spark.range(0, 4000, 1, 8).withColumn("v", F.lit(1.0))
+    bands = S.hash_bands(df, 4, "id")
+    files = [bands.read(b).select(F.input_file_name().alias("f")).distinct().count() for b in range(4)]
+    assert min(files) == 8  # so a step of the training is as many tasks, however well the rows compress
+    assert bands.table.count() == 4000
