@@ -20,6 +20,7 @@ from logloom.operators import weblog as W
 from logloom.operators.autoencoder import Autoencoder, train_autoencoder
 from logloom.operators.som import SomModel, train_som
 from logloom.operators.stats import exact_percentile, flag_above
+from logloom.sources.staging import materialize
 
 
 def _param(name: str, doc: str, convert) -> Param:
@@ -210,6 +211,9 @@ class SomFlagger(_FlagParams, Estimator, DefaultParamsReadable, DefaultParamsWri
     DEFAULTS = {**SomFlagModel.DEFAULTS, "iterations": 20, "sigma": 1.0, "learningRate": 1.0, "bands": 1}
 
     def _fit(self, dataset: DataFrame) -> SomFlagModel:
+        # The features alone are written once: the training and the threshold
+        # read them and don't repeat the stages before (parsing the log).
+        dataset = materialize(dataset.select(self.get("featuresCol")), "som-features")
         model = self._copyValues(SomFlagModel())
         model.som = train_som(dataset, self.get("featuresCol"), self.get("gridRows"), self.get("gridCols"), self.get("iterations"),
                               self.get("sigma"), self.get("learningRate"), seed=self.get("seed"), bands=self.get("bands"))
@@ -244,6 +248,7 @@ class AutoencoderFlagger(_FlagParams, Estimator, DefaultParamsReadable, DefaultP
     DEFAULTS = {**AutoencoderFlagModel.DEFAULTS, "hidden": [64, 32, 16, 32, 64], "epochs": 10, "steps": 4, "learningRate": 1e-3}
 
     def _fit(self, dataset: DataFrame) -> AutoencoderFlagModel:
+        dataset = materialize(dataset.select(self.get("featuresCol")), "autoencoder-features")
         model = self._copyValues(AutoencoderFlagModel())
         model.autoencoder = train_autoencoder(dataset, self.get("featuresCol"), self.get("hidden"), self.get("epochs"),
                                               learning_rate=self.get("learningRate"), seed=self.get("seed"), steps=self.get("steps"))

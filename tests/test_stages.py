@@ -65,3 +65,18 @@ def test_params_copy_and_defaults(spark):
     assert flagger.get("gridRows") == 3 and flagger.get("gridCols") == 10
     copied = flagger.copy({flagger.getParam("gridCols"): 4})
     assert copied.get("gridCols") == 4 and flagger.get("gridCols") == 10
+
+
+def test_som_flagger_computes_its_input_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def run(batches):
+        for pdf in batches:
+            seen.add(len(pdf))
+            pdf["features"] = [[float(i % 7), float(i % 5)] for i in pdf["id"]]
+            yield pdf
+
+    rows = spark.range(200).mapInPandas(run, "id long, features array<double>")
+    model = ST.SomFlagger(gridRows=2, gridCols=2, iterations=2, bands=2, seed=1).fit(rows)
+    assert seen.value == 200  # not again for the bands, and again for the threshold
+    assert model.transform(rows).count() == 200
