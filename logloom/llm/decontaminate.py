@@ -42,6 +42,7 @@ TRIALS = 400
 MOST = 128  # repetitions of a class
 FILTER = 1 << 20  # most slots of a signature filter, which has 16 a signature below that; it only spares searches
 BLOCK_CHARS = 8 << 20  # characters of items in a block
+BATCH_ROWS = 500  # documents whose words and windows a task holds at once
 LEAKS = "doc_id long, item_id long, word_start long, distance int, item_words int"
 
 
@@ -217,7 +218,7 @@ def find_leaks(docs: DataFrame, items: DataFrame, max_edits: float = 0.2, target
     ``docs`` has doc_id and text, ``items`` item_id and text. An item is found where its word edit distance to a run of
     the document's words is at most ``max_edits`` times its words; word_start is about where that run begins."""
     spark = docs.sparkSession
-    bounded_batches(spark)
+    bounded_batches(spark, BATCH_ROWS)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     out = None
     for block in item_blocks(items, max_edits, target_recall):
@@ -241,7 +242,7 @@ def find_leaks(docs: DataFrame, items: DataFrame, max_edits: float = 0.2, target
 def decontaminate(docs: DataFrame, items: DataFrame, max_edits: float = 0.2, target_recall: float = 0.98) -> DataFrame:
     """``docs`` without the rows in which an item is found; all columns are kept."""
     spark = docs.sparkSession
-    bounded_batches(spark)
+    bounded_batches(spark, BATCH_ROWS)
     for block in item_blocks(items, max_edits, target_recall):
         shared = spark.sparkContext.broadcast(block)
 

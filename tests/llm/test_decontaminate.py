@@ -94,3 +94,12 @@ def test_repetitions_reach_the_target_inside_running_text():
         assert hits >= 0.96 * 300, (n, times, hits)
     with pytest.warns(UserWarning, match="recall"):
         decontaminate_module.repetitions([words(8)], 2, 0.9, 0.98)
+
+
+def test_tasks_hold_a_bounded_number_of_documents(spark):
+    from logloom.llm import decontaminate as D
+    docs = spark.createDataFrame([(1, "a b c d e f g h i j")], "doc_id long, text string")
+    items = spark.createDataFrame([(1, "a b c d e f g h i j")], "item_id long, text string")
+    left = D.decontaminate(docs, items)
+    assert int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) == D.BATCH_ROWS <= 500
+    assert left.count() == 0
