@@ -36,7 +36,10 @@ SLOTS = 1 << 20  # slots of a slice of the bit-sliced filter
 HASHES = 3
 FALSE_POSITIVES = 0.01  # aimed at in the fullest filter
 BROADCAST_CELLS = 1 << 23  # 64 MB in each task
-PIECE = 1 << 20
+PIECE = 1 << 20  # characters after which a text is cut, as by a word edge
+BLOCK = 1 << 17  # characters whose n-grams a task holds at once; PIECE is a multiple
+COUNTED = 1 << 18  # n-gram counts that a task holds before it adds them up
+BATCH_ROWS, BATCH_BYTES = 500, 8 << 20  # of an Arrow batch of whole texts
 UNKNOWN = "und"
 _letters: list[np.ndarray] = []
 
@@ -48,28 +51,34 @@ def _letter_table() -> np.ndarray:
 
 
 def _ngrams(texts: list[str | None]):
-    """Yields (row of each text piece, offsets, n-gram keys) for pieces of about PIECE characters in all."""
-    rows, pieces, size = [], [], 0
+    """Yields (row of each text part, offsets, n-gram keys) for parts of about BLOCK characters in all. A part shows its
+    neighbours in the piece one character each, so the n-grams don't depend on BLOCK."""
+    rows, parts, before, after, size = [], [], [], [], 0
 
     def flush():
-        # Two edge characters between pieces keep their n-grams apart.
-        codes = np.frombuffer("\n\n".join(["", *pieces, ""]).encode("utf-32-le", "surrogatepass"), np.uint32)
+        # Two edge characters between parts keep their n-grams apart.
+        codes = np.frombuffer("\n\n".join(["", *parts, ""]).encode("utf-32-le", "surrogatepass"), np.uint32)
         letter = _letter_table()[codes]
         kept = np.where(letter, codes, 0).astype(np.int64)
+        starts = np.cumsum([2, *[len(p) + 2 for p in parts]])
+        letter[starts[:-1][before]] = False
+        letter[starts[1:][after] - 3] = False
         at = np.flatnonzero(letter)
-        starts = np.cumsum([2, *[len(p) + 2 for p in pieces]])
         keys = (kept[at - 1] << 42) | (kept[at] << 21) | kept[at + 1]
         return np.array(rows), np.searchsorted(at, starts), keys
 
     for i, text in enumerate(texts):
         text = (text or "").lower()
-        for k in range(0, max(1, len(text)), PIECE):
+        for k in range(0, max(1, len(text)), BLOCK):
+            shown = k % PIECE > 0, (k + BLOCK) % PIECE > 0 and k + BLOCK < len(text)
             rows.append(i)
-            pieces.append(text[k : k + PIECE])
-            size += len(pieces[-1])
-            if size >= PIECE:
+            parts.append(text[k - shown[0] : k + BLOCK + shown[1]])
+            before.append(shown[0])
+            after.append(shown[1])
+            size += len(parts[-1])
+            if size >= BLOCK:
                 yield flush()
-                rows, pieces, size = [], [], 0
+                rows, parts, before, after, size = [], [], [], [], 0
     if rows:
         yield flush()
 
@@ -91,15 +100,28 @@ def _slots(keys: np.ndarray) -> list[np.ndarray]:
 
 
 def _count(batches):
-    """Rows (lang, n-gram, count) of each batch."""
+    """Rows (lang, n-gram, count) of the texts, added up for COUNTED of them at a time."""
+    waiting: dict[str, list] = {}
+    size = 0
+
+    def added():
+        for lang, found in waiting.items():
+            keys, at = np.unique(np.concatenate([k for k, _ in found]), return_inverse=True)
+            counts = np.zeros(len(keys), np.int64)
+            np.add.at(counts, at, np.concatenate([c for _, c in found]))
+            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(keys), pa.string()), pa.array(keys, pa.int64()), pa.array(counts, pa.int64())], ["lang", "key", "n"])
+
     for batch in batches:
         langs = batch.column("lang").to_numpy(zero_copy_only=False)
         texts = batch.column("text").to_pylist()
         for lang in sorted(set(langs)):
-            found = [np.unique(keys, return_counts=True) for _, _, keys in _ngrams([t for t, x in zip(texts, langs, strict=True) if x == lang])]
-            keys = np.concatenate([k for k, _ in found])
-            counts = np.concatenate([c for _, c in found])
-            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(keys), pa.string()), pa.array(keys, pa.int64()), pa.array(counts, pa.int64())], ["lang", "key", "n"])
+            for _, _, keys in _ngrams([t for t, x in zip(texts, langs, strict=True) if x == lang]):
+                waiting.setdefault(lang, []).append(np.unique(keys, return_counts=True))
+                size += len(waiting[lang][-1][0])
+                if size >= COUNTED:
+                    yield from added()
+                    waiting, size = {}, 0
+    yield from added()
 
 
 @dataclass
@@ -121,7 +143,7 @@ class LanguageFilters:
 
 def learn_filters(labelled: DataFrame, share: float = 0.25, broadcast_cells: int = BROADCAST_CELLS) -> LanguageFilters:
     """Learn from columns text and lang. The model has SLOTS * slices * ceil(languages / 64) words of 64 bits."""
-    bounded_batches(labelled.sparkSession)
+    bounded_batches(labelled.sparkSession, BATCH_ROWS, BATCH_BYTES)
     labelled = labelled.select(F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang")).where("text is not null and lang is not null")
     counts = labelled.mapInArrow(_count, "lang string, key long, n long").groupBy("lang", "key").agg(F.sum("n").alias("n")).persist()
     totals = counts.groupBy("lang").agg(F.sum("n").alias("total"), F.count("*").alias("ngrams")).toPandas().sort_values("lang")
@@ -161,7 +183,7 @@ def languages_of(filters: LanguageFilters, keys: np.ndarray) -> list[np.ndarray]
 def identify(docs: DataFrame, filters: LanguageFilters) -> DataFrame:
     """``docs`` with lang_pred and score (the corrected share of n-grams in that language, 0 to 1)."""
     spark = docs.sparkSession
-    bounded_batches(spark)
+    bounded_batches(spark, BATCH_ROWS, BATCH_BYTES)
     docs = docs.drop("lang_pred", "score")
     if filters.table is not None:
         return _identify_joined(docs, filters)

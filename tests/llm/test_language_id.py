@@ -1,5 +1,8 @@
 import numpy as np
+import pyarrow as pa
 
+import corpus_pipeline
+from logloom.llm import language_id
 from logloom.llm.language_id import identify, identify_held_out, languages_of, learn_filters
 
 
@@ -67,3 +70,45 @@ def test_joined_filters_give_the_same_answers(spark, docs):
     assert np.allclose(small.false_positive_rates(), joined.false_positive_rates())
     a, b = ({r.doc_id: (r.lang_pred, round(r.score, 9)) for r in identify(docs.select("doc_id", "text"), f).collect()} for f in (small, joined))
     assert a == b
+
+
+def _plain_ngrams(text):
+    """N-grams of a text that is cut after each PIECE characters."""
+    for k in range(0, len(text), language_id.PIECE):
+        piece = ["\n", *text[k : k + language_id.PIECE].lower(), "\n"]
+        codes = [ord(c) if c.isalpha() else 0 for c in piece]
+        yield from ((a << 42) | (b << 21) | c for a, b, c in zip(codes, codes[1:], codes[2:]) if b)
+
+
+def test_a_task_holds_few_ngrams_at_once():
+    """Long and many texts: n-grams of at most a few hundred thousand characters at a time, the same as in one go."""
+    rng = np.random.default_rng(4)
+    word = lambda n: "".join(rng.choice(list("abcdefg hi 1"), n))
+    texts = [word(language_id.PIECE + 400_001), None, "", "a", *(word(3000) for _ in range(200)), word(1 << 17), word((1 << 17) + 1), word(language_id.PIECE)]
+    found = [[] for _ in texts]
+    for rows, offsets, keys in language_id._ngrams(texts):
+        assert len(keys) <= 300_000
+        for row, a, b in zip(rows, offsets[:-1], offsets[1:], strict=True):
+            found[row].append(keys[a:b])
+    for text, parts in zip(texts, found, strict=True):
+        assert np.concatenate(parts).tolist() == list(_plain_ngrams(text or ""))
+
+
+def test_counts_are_added_up_over_batches():
+    texts = ["abc abd", "abc", "xyz", "12"]
+    batch = pa.RecordBatch.from_arrays([pa.array(["x", "x", "y", "y"]), pa.array(texts)], ["lang", "text"])
+    rows = [(r["lang"], r["key"], r["n"]) for out in language_id._count([batch] * 5) for r in out.to_pylist()]
+    want = {}
+    for lang, text in zip(["x", "x", "y", "y"], texts, strict=True):
+        for key in _plain_ngrams(text):
+            want[lang, key] = want.get((lang, key), 0) + 5
+    assert len(rows) == len(want) and {(lang, key): n for lang, key, n in rows} == want
+
+
+def test_a_text_goes_to_python_once(spark, docs, monkeypatch):
+    sent = []
+    monkeypatch.setattr(corpus_pipeline, "identify", lambda inner, filters: (sent.append(inner.schema), identify(inner, filters))[1])
+    named = docs.select("doc_id", "lang", "text").withColumn("score", docs["lang"])
+    kept = corpus_pipeline.language_stage(spark, named, "")
+    assert kept.columns == named.columns and sent[0].simpleString().count("text:") == 1
+    assert {tuple(r) for r in kept.collect()} <= {tuple(r) for r in named.collect()}
