@@ -11,7 +11,7 @@ fingerprint are a class, named by their smallest id: a search finds classes, and
 
 The next document of a row is found without a global sort: ids are cut into ranges at ids of a seeded sample (it decides
 balance only), each range is sorted on its own, and the first row of a range is also sent to the range before. Texts are
-shuffled once; a task holds a few MB of texts.
+shuffled once; a task holds a batch and half a million characters of texts, or one longer text and its next.
 
 Defined cases: null text is empty text; a text without words has fingerprint 0; null ids come first; rows of equal id
 are ordered by text; a lone row is its own next. Texts are read whole. Other columns are ignored."""
@@ -33,7 +33,8 @@ from logloom.llm.words import shingle_hashes, word_hashes
 WIDTH = 3
 BITS = 64
 RADIUS = 3
-HELD_CHARS = 4 << 20
+HELD_CHARS = 1 << 19  # characters of the texts whose fingerprints a task computes at once
+BATCH_ROWS, BATCH_BYTES = 500, 8 << 20  # of an Arrow batch
 RANGES_A_PARTITION = 8
 SAMPLED_A_RANGE = 16
 NO_ID = -(1 << 63)
@@ -111,7 +112,7 @@ def _with_next(batches):
 def fingerprint_edits(docs: DataFrame) -> DataFrame:
     """PRINTS of each row of ``docs`` (doc_id, text) and of its edited text; a null id is NO_ID."""
     spark = docs.sparkSession
-    bounded_batches(spark)
+    bounded_batches(spark, BATCH_ROWS, BATCH_BYTES)
     docs = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     ranges = RANGES_A_PARTITION * partitions

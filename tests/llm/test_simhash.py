@@ -8,6 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
+from logloom.llm import simhash
 from logloom.llm.simhash import WIDTH, block_tables, fingerprint_documents, fingerprints, within_radius
 from logloom.llm.words import shingle_hashes, word_hashes
 
@@ -89,3 +90,17 @@ def test_tables_find_all_within_the_radius(spark):
         found = {tuple(r) for r in within_radius(df, df, radius).select("query", "print").collect()}
         assert found == {(a, b) for a in signed for b in signed if bin((a ^ b) & (1 << 64) - 1).count("1") <= radius}
         assert np.bitwise_or.reduce(np.array(block_tables(radius), np.uint64)) == np.uint64((1 << 64) - 1)
+
+
+def test_a_task_holds_few_texts(spark, docs, monkeypatch):
+    """Long runs of rows are fingerprinted in pieces of half a million characters, from small Arrow batches."""
+    held = []
+    monkeypatch.setattr(simhash, "_print_rows", lambda rows: held.append(sum(len(t) + len(f) for _, t, f in rows)) or len(rows))
+    text = "some words of a text " * 50
+    batches = [pa.RecordBatch.from_pydict({"range": [0] * 500, "is_next": [False] * 500, "id": list(range(500 * k, 500 * k + 500)), "text": [text] * 500})
+               for k in range(6)]
+    assert sum(simhash._with_next(batches)) == 2999
+    assert len(held) > 6 and max(held) <= (1 << 19) + 2 * len(text)
+    simhash.fingerprint_edits(docs)
+    assert int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) <= 500
+    assert int(spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")) <= 8 << 20
