@@ -13,7 +13,8 @@ component, and from then on only rows of different components meet.
 
 - Columns of at most ``block`` rows are multiplied in full.
 - Longer columns (large groups of near copies) are multiplied after a change of basis. The rows of one pivot are a group;
-  its consensus M holds the columns that more than half of the group's rows have, and a row becomes its difference
+  its consensus M holds the columns that more than half of the group's rows have (as far as tasks count them: one that
+  fewer than 9/16 have may be left out, which costs work and no link), and a row becomes its difference
   ``D_x = x ^ M``, of size d_x. As ``x ^ y = D_x ^ D_y``, sizes alone decide most pairs: where d_x + d_y is within the
   allowance ``T = (1-t)/(1+t) * (n_x + n_y)`` a pair is linked for sure, and all those rows are linked with the row
   nearest to M. Any other link needs ``(d_x + d_y - T) / 2`` changes in common. In an order of the changes by frequency
@@ -44,8 +45,10 @@ from logloom.llm.words import mix64, shingle_hashes, word_hashes
 
 FREQUENT_ROWS = 24  # rows that make a column frequent: it goes to the end of the order
 FREQUENT_COLUMNS = 1 << 16  # columns moved to the end: 512 kB in each task, whatever the input
-BATCH_ROWS = 500  # rows of an Arrow batch: two whole sets a row while pairs are checked
+BATCH_ROWS, BATCH_BYTES = 500, 8 << 20  # of an Arrow batch: two whole sets a row while pairs are checked
 LATE_SHARE = 16  # changes of more than this part of a group's rows go to the end of the group's order
+COUNTED_CELLS = 1 << 20  # changes that a task counts at once
+GROUP_PARTS = 16  # parts that a group's rows are dealt in where they meet what is known of the group
 ID_FILTER_BITS = 1 << 20  # fixed-size filter of the ids whose whole sets are needed
 COLUMN_FILTER_BITS = 1 << 23  # fixed-size filter of the columns that may have a second row
 
@@ -215,41 +218,58 @@ def _checked(docs: DataFrame, pairs: DataFrame, width: int, num: int, den: int,
 
 
 def _local_often(keys: list[str], share: int):
-    """(keys, some, counts): the changes that more than 1 / share of a group's rows in this task hold, with their
-    counts. What more than 1 / share of all rows of a group hold is among these in some task."""
+    """(keys, some, counts): of each COUNTED_CELLS changes in this task, those that more than 1 / share of a group's rows
+    there hold, with their counts. So the counts of a change add up to at most 1 / share of the group's rows too few."""
+    def counted(groups: dict[tuple, list[np.ndarray]]) -> pa.RecordBatch:
+        names, some, counts = [], [], []
+        for key, rows in groups.items():
+            cells, n = np.unique(np.concatenate(rows), return_counts=True)
+            if (often := share * n > len(rows)).any():
+                names.append(key)
+                some.append(cells[often])
+                counts.append(n[often])
+        columns = [pa.array([n[k] for n in names], pa.int64()) for k in range(len(keys))]
+        return pa.RecordBatch.from_arrays([*columns, _lists(some, pa.int64()), _lists(counts, pa.int64())], [*keys, "some", "counts"])
+
     def run(batches):
         groups: dict[tuple, list[np.ndarray]] = {}
+        held = 0
         for batch in batches:
             lists = batch.column("diff")
             offsets, cells = lists.offsets.to_numpy(), lists.values.to_numpy()
             for key, lo, hi in zip(zip(*(batch.column(k).to_pylist() for k in keys), strict=True), offsets[:-1], offsets[1:], strict=True):
                 groups.setdefault(key, []).append(cells[lo:hi])
-        names, some, counted = [], [], []
-        for key, rows in groups.items():
-            cells, counts = np.unique(np.concatenate(rows), return_counts=True)
-            if (often := share * counts > len(rows)).any():
-                names.append(key)
-                some.append(cells[often])
-                counted.append(counts[often])
-        columns = [pa.array([n[k] for n in names], pa.int64()) for k in range(len(keys))]
-        yield pa.RecordBatch.from_arrays([*columns, _lists(some, pa.int64()), _lists(counted, pa.int64())], [*keys, "some", "counts"])
+            held += int(offsets[-1] - offsets[0])
+            if held >= COUNTED_CELLS:
+                yield counted(groups)
+                groups, held = {}, 0
+        yield counted(groups)
     return run
 
 
-def _often(rows: DataFrame, keys: list[str], share: int) -> DataFrame:
+def _often(rows: DataFrame, keys: list[str], share: int, count: str) -> DataFrame:
+    """(keys, h, count): the changes that more than 1 / share of a group's rows hold, and others, counted by the tasks
+    that read them: the rows are neither expanded nor shuffled."""
     kinds = ", ".join(f"{k} long" for k in keys)
-    return rows.select(*keys, "diff").mapInArrow(_local_often(keys, share), f"{kinds}, some array<long>, counts array<long>")
+    often = rows.select(*keys, "diff").mapInArrow(_local_often(keys, share), f"{kinds}, some array<long>, counts array<long>")
+    often = often.select(*keys, F.explode(F.arrays_zip("some", "counts")).alias("x"))
+    return often.groupBy(*keys, F.col("x.some").alias("h")).agg(F.sum("x.counts").alias(count))
+
+
+def _of_group(rows: DataFrame, groups: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """``rows`` (keys, id, ...) with the row of their group; the rows of a large group are dealt in GROUP_PARTS parts."""
+    parts = groups.select("*", F.explode(F.array(*(F.lit(k) for k in range(GROUP_PARTS)))).alias("part"))
+    return rows.withColumn("part", F.pmod(F.hash("id"), F.lit(GROUP_PARTS))).join(parts, [*keys, "part"], how).drop("part")
 
 
 def _rebased(rows: DataFrame, keys: list[str]) -> DataFrame:
     """``rows`` (keys, id, n, diff) with each difference taken from the consensus of its group instead: what more than
-    half of the group's differences hold is flipped in all of them. Only what may be that is counted."""
+    half of the group's differences are counted to hold is flipped in all of them."""
     sizes = rows.groupBy(*keys).agg(F.count("*").alias("size"))
-    may = _often(rows, keys, 2).groupBy(*keys).agg(F.array_distinct(F.flatten(F.collect_list("some"))).alias("may"))
-    often = rows.join(may, keys).select(*keys, F.explode(F.array_intersect("diff", "may")).alias("h")).groupBy(*keys, "h").agg(F.count("*").alias("c"))
+    often = _often(rows, keys, LATE_SHARE, "c")
     most = often.join(sizes, keys).where(2 * F.col("c") > F.col("size")).groupBy(*keys).agg(F.collect_list("h").alias("most"))
     flipped = F.concat(F.array_except("diff", "most"), F.array_except("most", "diff"))
-    return rows.join(most, keys, "left").select(*keys, "id", "n", F.when(F.col("most").isNull(), F.col("diff")).otherwise(flipped).alias("diff"))
+    return _of_group(rows, most, keys, "left").select(*keys, "id", "n", F.when(F.col("most").isNull(), F.col("diff")).otherwise(flipped).alias("diff"))
 
 
 def _excess(num: int, den: int):
@@ -261,7 +281,7 @@ def _sure_links(rows: DataFrame, keys: list[str], num: int, den: int) -> DataFra
     """(a, b): every row that sizes alone link with its group's nearest row to the consensus."""
     rows = rows.select(*keys, "id", _excess(num, den).alias("e"))
     least = rows.groupBy(*keys).agg(F.min(F.struct("e", "id")).alias("least"))
-    sure = rows.join(least, keys).where((F.col("e") + F.col("least.e") <= 0) & (F.col("id") != F.col("least.id")))
+    sure = _of_group(rows, least, keys).where((F.col("e") + F.col("least.e") <= 0) & (F.col("id") != F.col("least.id")))
     return sure.select(F.col("least.id").alias("a"), F.col("id").alias("b"))
 
 
@@ -273,11 +293,10 @@ def _placed(rows: DataFrame, num: int, den: int) -> DataFrame:
     further links with rows of an excess above -e0, so its first common change stands early; any other row has it
     within its allowance."""
     group = rows.groupBy("pivot").agg(F.count("*").alias("size"), F.min(_excess(num, den)).alias("e0"))
-    late = _often(rows, ["pivot"], LATE_SHARE).select("pivot", F.explode(F.arrays_zip("some", "counts")).alias("x"))
-    late = late.groupBy("pivot", F.col("x.some").alias("h")).agg(F.sum("x.counts").alias("f")).join(group, "pivot").where(LATE_SHARE * F.col("f") > F.col("size"))
+    late = _often(rows, ["pivot"], LATE_SHARE, "f").join(group, "pivot").where(LATE_SHARE * F.col("f") > F.col("size"))
     late = late.groupBy("pivot").agg(F.array_sort(F.collect_list(F.struct("f", "h"))).alias("late")).select("pivot", F.col("late.h").alias("late"))
-    none = F.array().cast("array<long>")
-    own = rows.join(group, "pivot").join(late, "pivot", "left").withColumn("late", F.coalesce("late", none)).withColumn("e", _excess(num, den))
+    group = group.join(late, "pivot", "left").withColumn("late", F.coalesce("late", F.array().cast("array<long>")))
+    own = _of_group(rows, group, ["pivot"]).withColumn("e", _excess(num, den))
     ordered = F.concat(F.array_sort(F.array_except("diff", "late")), F.array_intersect("late", "diff"))
     near = F.floor(((num + den) * F.size("diff") + (den - num) * F.col("n") + F.col("e0")) / (2 * (num + den)))
     last = F.when(F.col("e") + F.col("e0") <= 0, near).otherwise(F.floor(F.col("n") * (den - num) / num))
@@ -357,7 +376,7 @@ def ngram_jaccard_join(docs: DataFrame, width: int = 4, num: int = 85, den: int
     ``docs`` has doc_id (long) and text. Two documents link when ``den * intersection >= num * union`` of their
     distinct word n-grams of ``width`` words. ``block`` bounds the rows of a column that is multiplied in full."""
     spark = docs.sparkSession
-    bounded_batches(spark, BATCH_ROWS)
+    bounded_batches(spark, BATCH_ROWS, BATCH_BYTES)
     scratch = Scratch(spark, "ngram-join")
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     wide = scratch.save(docs.mapInArrow(_describe(width, num, den), "doc_id long, n long, k1 long, k2 long, first array<long>"), "wide")

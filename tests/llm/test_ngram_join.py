@@ -1,7 +1,9 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
+from logloom.llm import ngram_join
 from logloom.llm.ngram_join import ngram_jaccard_join
 from tests.llm.brute import components
 
@@ -122,3 +124,42 @@ def test_families_within_a_group(spark):
         rows += [(len(rows) + i, " ".join(_edited(rng, v, rng.randrange(0, 7)))) for i in range(n)]
     rng.shuffle(rows)
     check(spark, rows, block=16)
+
+
+def group_of(rows, keys, shared, own, rng):
+    """Differences of ``rows`` rows: ``shared`` changes that all have, ``own`` that few have."""
+    few = [rng.getrandbits(62) for _ in range(4000)]
+    all_ = [rng.getrandbits(62) for _ in range(shared)]
+    return [(*keys, k, 500, sorted({*all_, *rng.sample(few, own)})) for k in range(rows)], set(all_)
+
+
+def test_changes_of_a_group_are_counted_where_they_are(spark, monkeypatch):
+    """Rows are not expanded into the changes that all have, tasks hold few of them, and what most rows have is flipped."""
+    monkeypatch.setattr(ngram_join, "COUNTED_CELLS", 20_000)
+    rows, shared = group_of(6000, (1,), 24, 10, random.Random(6))
+    other, theirs = group_of(3, (2,), 5, 1, random.Random(7))
+    rows = spark.createDataFrame(rows + other, "pivot long, id long, n long, diff array<long>").repartition(4)
+    seen = []
+    run = ngram_join._local_often(["pivot"], 16)
+    for batch in run(rows.select("pivot", "diff").toArrow().to_batches(max_chunksize=500)):
+        seen += [(p, len(x)) for p, x in zip(batch.column("pivot").to_pylist(), batch.column("some"))]
+    assert len(seen) >= 8 and sum(m for _, m in seen) < 6000
+    plan = ngram_join._rebased(rows, ["pivot"])
+    assert "array_intersect" not in plan._jdf.queryExecution().optimizedPlan().toString()
+    left = {(r["pivot"], r["id"]): set(r["diff"]) for r in plan.collect()}
+    was = {(r["pivot"], r["id"]): set(r["diff"]) for r in rows.collect()}
+    assert left == {k: d - (shared if k[0] == 1 else theirs) for k, d in was.items()}
+
+
+def test_a_large_group_meets_its_row_in_parts(spark):
+    rows = spark.range(5000).select(F.lit(1).cast("long").alias("pivot"), "id").unionByName(spark.createDataFrame([(2, 1), (3, 1)], "pivot long, id long"))
+    groups = spark.createDataFrame([(1, "a"), (2, "b")], "pivot long, name string")
+    inner, left = (ngram_join._of_group(rows, groups, ["pivot"], how) for how in ("inner", "left"))
+    assert {tuple(r) for r in inner.groupBy("name").count().collect()} == {("a", 5000), ("b", 1)}
+    assert {tuple(r) for r in left.groupBy("pivot", "name").count().collect()} == {(1, "a", 5000), (2, "b", 1), (3, None, 1)}
+    assert "part" not in inner.columns
+
+
+def test_arrow_batches_are_small(spark, docs):
+    ngram_jaccard_join(docs)
+    assert int(spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")) <= 8 << 20
